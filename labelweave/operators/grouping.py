@@ -34,6 +34,14 @@ def _joined_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) ->
     return left.join(renamed, on).drop(*[f"_r{i}" for i in range(len(keys))])
 
 
+def _field(name: str):
+    return lambda item: item[name]
+
+
+def _repeated(name: str):
+    return lambda item: F.array_repeat(item["_item"][name], item["_times"])
+
+
 def gather_lists(
     df: DataFrame,
     keys: Sequence[str],
@@ -66,10 +74,7 @@ def gather_lists(
         rest = [c for c in grouped.columns if c not in keys and c != "_items"]
         return grouped.select(
             *cols(keys),
-            *[
-                F.transform("_items", lambda s, i=i: s[f"v{i}"]).alias(name)
-                for i, name in enumerate(lists)
-            ],
+            *[F.transform("_items", _field(f"v{i}")).alias(name) for i, name in enumerate(lists)],
             *cols(rest),
         )
     return _gather_in_parts(df, keys, lists, order, values, aggs, max_items)
@@ -112,11 +117,7 @@ def _gather_in_parts(df, keys, lists, order, values, aggs, max_items) -> DataFra
         .select(
             *cols(keys),
             *[
-                F.flatten(
-                    F.transform(
-                        "_items", lambda s, i=i: F.array_repeat(s["_item"][f"v{i}"], s["_times"])
-                    )
-                ).alias(name)
+                F.flatten(F.transform("_items", _repeated(f"v{i}"))).alias(name)
                 for i, name in enumerate(lists)
             ],
         )

@@ -142,14 +142,17 @@ register(
 
 # --- Hurricanes24 -------------------------------------------------------------
 
-# Label columns, and the record layout.
+# Label columns.
 HURRICANES24_LABELS = (
     "admiration", "ecstasy", "interest", "sadness", "vigilance", "acceptance", "amazement",
     "anger", "annoyance", "anticipation", "apprehension", "boredom", "disgust", "distraction",
     "fear", "grief", "joy", "loathing", "pensiveness", "rage", "serenity", "surprise",
     "terror", "trust",
 )
-HURRICANES24_SCHEMA = "text string, annotations map<string, map<string, boolean>>"
+# The label list is closed, so each worker's answers are a struct, not a map.
+HURRICANES24_SCHEMA = "text string, annotations map<string, struct<{}>>".format(
+    ", ".join(f"{name}: boolean" for name in HURRICANES24_LABELS)
+)
 
 
 def _hurricanes24_read(spark: SparkSession, folder: str) -> Raws:
@@ -158,8 +161,8 @@ def _hurricanes24_read(spark: SparkSession, folder: str) -> Raws:
 
 
 def _hurricanes24_build(raws: Raws) -> DataFrame:
-    votes = vote_counts(col("annotations"), HURRICANES24_LABELS)
-    return raws["tweets"].select("hurricane", "text", *votes)
+    keep = ["hurricane", "text"]
+    return vote_counts(raws["tweets"], "annotations", HURRICANES24_LABELS, keep)
 
 
 register(

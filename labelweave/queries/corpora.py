@@ -651,10 +651,7 @@ def pipe_electoraltweets(spark, sf_dir):
 )
 def pipe_hurricanes24(spark, sf_dir):
     def ballot(key):
-        cells = []
-        for i, name in enumerate(HURRICANES24_LABELS):
-            cells += [F.lit(name), F.col(key) % (i + 2) == 0]
-        return F.create_map(*cells)
+        return F.struct(*flags(HURRICANES24_LABELS, lambda i: F.col(key) % (i + 2) == 0))
 
     tweets = table(spark, sf_dir, "events").select(
         F.col("event_type").alias("hurricane"),

@@ -108,8 +108,9 @@ def dataset_manifest(spark, sf_dir):
         write_dataset(table(spark, sf_dir, source), f"{base}/{dataset}", overwrite=True)
         return file_stats(spark, f"{base}/{dataset}", base).withColumn("dataset", F.lit(dataset))
 
-    before = entry("texts", "documents").unionByName(entry("turns", "conversations"))
-    return merge_manifest(before, entry("turns", "conversations"))
+    entry("texts", "documents").unionByName(entry("turns", "labels")).write.parquet(f"{base}/_seen")
+    seen = read_dataset(spark, f"{base}/_seen")
+    return merge_manifest(seen, entry("turns", "conversations"))
 
 
 @query(

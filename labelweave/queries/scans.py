@@ -125,32 +125,45 @@ CASE WHEN l_returnflag = 'R' THEN CAST(l_quantity > 25 AS BIGINT) + CAST(l_disco
 FROM lineitem"""
 
 
+VOTE_LABELS = ("A", "N", "R")
+
+
 def _ballots(spark, sf_dir):
     """Each line item as a text with the ballots of three workers."""
-    flag, asked = F.col("l_returnflag"), F.create_map
+
+    def on_own_flag(vote):
+        # This worker is asked about the label the line carries, and no other.
+        asked = [F.when(F.col("l_returnflag") == n, vote).alias(n) for n in VOTE_LABELS]
+        return F.struct(*asked)
+
+    nothing = F.lit(None).cast("boolean")
+    only_n = F.struct(nothing.alias("A"), (F.col("l_tax") > 0.04).alias("N"), nothing.alias("R"))
     return table(spark, sf_dir, "lineitem").select(
         F.format_string("order %d line %d", "l_orderkey", "l_linenumber").alias("text"),
         F.create_map(
-            F.lit("w1"), asked(flag, F.col("l_quantity") > 25),
-            F.lit("w2"), asked(flag, F.col("l_discount") > 0.05),
-            F.lit("w3"), asked(F.lit("N"), F.col("l_tax") > 0.04),
+            F.lit("w1"),
+            on_own_flag(F.col("l_quantity") > 25),
+            F.lit("w2"),
+            on_own_flag(F.col("l_discount") > 0.05),
+            F.lit("w3"),
+            only_n,
         ).alias("annotations"),
-    )
+    )
 
 
 @query("scan_jsonl_nested_votes", VOTE_SQL.format(end="END"))
 def scan_jsonl_nested_votes(spark, sf_dir):
     path = staging(spark)
     _ballots(spark, sf_dir).write.json(path)
-    schema = "text string, annotations map<string, map<string, boolean>>"
+    schema = "text string, annotations map<string, struct<A: boolean, N: boolean, R: boolean>>"
     lines = read_json_records(spark, path, schema)
-    return lines.select("text", *vote_counts(F.col("annotations"), ["A", "N", "R"]))
+    return vote_counts(lines, "annotations", VOTE_LABELS, keep=["text"])
 
 
 @query("nested_vote_count", VOTE_SQL.format(end="ELSE 0 END"))
 def nested_vote_count(spark, sf_dir):
-    votes = vote_counts(F.col("annotations"), ["A", "N", "R"], unasked=0)
-    return _ballots(spark, sf_dir).select("text", *votes)
+    ballots = _ballots(spark, sf_dir)
+    return vote_counts(ballots, "annotations", VOTE_LABELS, keep=["text"], unasked=0)
 
 
 @query(

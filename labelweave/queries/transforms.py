@@ -294,8 +294,8 @@ def html_unescape_(spark, sf_dir):
 
 @query(
     "regex_tag_capture",
-    "SELECT page_id, regexp_extract(t, '<(.*?)>(.*)</([^br][A-Za-z0-9]+)>', 1) AS label, "
-    "regexp_extract(t, '<(.*?)>(.*)</([^br][A-Za-z0-9]+)>', 2) AS text FROM "
+    "SELECT page_id, trim(regexp_extract(t, '<(.*?)>(.*)</([^br][A-Za-z0-9]+)>', 1)) AS label, "
+    "trim(regexp_extract(t, '<(.*?)>(.*)</([^br][A-Za-z0-9]+)>', 2)) AS text FROM "
     "(SELECT page_id, regexp_extract(html, '<title>.*?</title>') AS t FROM pages)",
 )
 def regex_tag_capture(spark, sf_dir):
