@@ -50,7 +50,8 @@ def last_item(text: Column, sep: str) -> Column:
 
 
 def _literal(sep: str) -> str:
-    return "\\Q" + sep + "\\E"
+    """A separator as a regular expression, in the form Java splits on fastest."""
+    return "".join("\\" + c if c in r".$|()[{^?*+\\" else c for c in sep)
 
 
 def drop_inline_tag(text: Column, pattern: str) -> Column:
@@ -68,18 +69,40 @@ def collapse_punctuation(text: Column) -> Column:
     Runs of spaces become one; no space before closing punctuation, after an
     opening bracket, or inside a contraction.
     """
-    text = F.regexp_replace(text, " +", " ")
+    text = F.regexp_replace(text, " {2,}", " ")
     text = F.regexp_replace(text, r" ([.,!?;:%)\]}])", "$1")
     text = F.regexp_replace(text, r"([(\[{]) ", "$1")
     text = F.regexp_replace(text, r" ('(s|m|d|re|ve|ll)\b)", "$1")
     return F.trim(text)
 
 
+# The entities resolved without Python; the ampersand comes last,
+# so that what it uncovers is not resolved again.
+COMMON_ENTITIES = (
+    ("&lt;", "<"),
+    ("&gt;", ">"),
+    ("&quot;", '"'),
+    ("&#39;", "'"),
+    ("&amp;", "&"),
+)
+# Anything else that could be an entity, with or without its semicolon.
+_RARE_ENTITY = "&(?!(?:lt|gt|quot|#39|amp);)[#A-Za-z]"
+
+
 @F.pandas_udf(T.StringType())
 def _unescape(values: pd.Series) -> pd.Series:
     return values.map(html.unescape, na_action="ignore")
 
 
 def html_unescape(text: Column) -> Column:
-    """Resolve HTML entities; only values with an ampersand travel to Python."""
-    return F.coalesce(_unescape(F.when(F.contains(text, F.lit("&")), text)), text)
+    """Resolve HTML entities.
+
+    Texts with none but the common entities stay in the JVM; the others travel
+    to Python, which knows all of them. ``text`` occurs several times in the
+    expression: pass a column of the frame, not a long computation.
+    """
+    common = text
+    for entity, character in COMMON_ENTITIES:
+        common = F.replace(common, F.lit(entity), F.lit(character))
+    rare = F.contains(text, F.lit("&")) & text.rlike(_RARE_ENTITY)
+    return F.when(rare, _unescape(F.when(rare, text))).otherwise(common)

@@ -70,7 +70,7 @@ register(
 
 # Label columns, and the two patterns of an annotated line.
 STIMULUS_LABELS = ("anger", "disgust", "fear", "happy", "sad", "shame", "surprise")
-STIMULUS_LINE = r"^<(.*?)>(.*)<\\[^br][A-Za-z0-9]+>"
+STIMULUS_LINE = r"^\s*<(.*?)>(.*)<\\[^br][A-Za-z0-9]+>"
 STIMULUS_CAUSE = r"<cause>(.*)<\\cause>"
 
 
@@ -82,13 +82,17 @@ def _stimulus_read(spark: SparkSession, folder: str) -> Raws:
 
 
 def _stimulus_build(raws: Raws, strict: bool = False) -> DataFrame:
-    value = strip_text(F.col("value"))
-    uncaused = raws["with_cause"].select(drop_inline_tag(value, STIMULUS_CAUSE).alias("value"))
-    lines = append_by_name(uncaused, raws["without_cause"].select(value.alias("value")))
-    clean = lines.select(html_unescape(collapse_punctuation(F.col("value"))).alias("value"))
-    records = regex_records(clean, STIMULUS_LINE, ("emotion", "text"), strict=strict).select(
-        strip_text(F.col("text")).alias("text"), strip_text(F.col("emotion")).alias("emotion")
+    """Lines are matched as read, so the costly clean-up runs once, on matches."""
+    lines = append_by_name(
+        *[raws[n].select("value") for n in ("with_cause", "without_cause")]
     )
+    matched = regex_records(lines, STIMULUS_LINE, ("emotion", "text"), strict=strict)
+    spaced = matched.select(
+        collapse_punctuation(drop_inline_tag(col("text"), STIMULUS_CAUSE)).alias("text"),
+        strip_text(col("emotion")).alias("emotion"),
+    )
+    plain = spaced.select(html_unescape(col("text")).alias("text"), "emotion")
+    records = plain.select(strip_text(col("text")).alias("text"), "emotion")
     return pivot_flag(records, "emotion", STIMULUS_LABELS)
 
 
@@ -288,11 +292,12 @@ def _tec_read(spark: SparkSession, folder: str) -> Raws:
 def _tec_build(raws: Raws) -> DataFrame:
     """Lines are ``<id>:<tab>text, which may hold tabs<tab>:: <emotion>``."""
     line = F.col("value")
-    records = raws["lines"].select(
+    fields = raws["lines"].select(
         right_strip_chars(split_item(line, "\t", 0), 1).cast("bigint").alias("id"),
-        html_unescape(strip_text(join_middle(line, "\t"))).alias("text"),
+        strip_text(join_middle(line, "\t")).alias("text"),
         strip_text(left_strip_chars(last_item(line, "\t"), 2)).alias("emotion"),
     )
+    records = fields.select("id", html_unescape(col("text")).alias("text"), "emotion")
     return pivot_flag(records, "emotion", TEC_LABELS)
 
 

@@ -149,17 +149,22 @@ REN_RENAMES = {"content": "text"}
 
 
 def _ren_read(spark: SparkSession, folder: str) -> Raws:
-    """One raw frame per distinct header; cells are repaired here.
+    """One raw frame per distinct header; text cells are repaired here.
 
-    Decoding cells rather than lines keeps an encoded quote or comma data. A
-    row with too few fields is left out; surplus fields are ignored.
+    Decoding cells rather than lines keeps an encoded quote or comma data, and
+    leaves numbers out of Python. A row with too few fields is left out; surplus
+    fields are ignored.
     """
     raws = {}
     for i, frame in enumerate(read_by_header(spark, f"{folder}/*/*/*.csv", malformed="_bad")):
         names = [n for n in frame.columns if n != "_bad"]
         whole = frame.filter(F.col("_bad").isNull() | col(names[-1]).isNotNull())
-        # A cell left empty is an empty string here, not a missing one.
-        cells = [redecode_utf7(F.coalesce(col(n), F.lit(""))).alias(n) for n in names]
+        cells = []
+        for n in names:
+            # A cell left empty is an empty string here, not a missing one.
+            cell = F.coalesce(col(n), F.lit(""))
+            is_number = n.strip().lower() in REN_LABELS
+            cells.append((cell if is_number else redecode_utf7(cell)).alias(n))
         raws[f"part{i}"] = whole.select(*cells)
     return raws
 

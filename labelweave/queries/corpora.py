@@ -301,8 +301,14 @@ def tec_raws(spark, sf_dir):
         .otherwise("sadness")
     )
     lines = table(spark, sf_dir, "lineitem").select(
-        F.format_string(
-            "%d:\t tom &amp; %s\t%d \t:: %s", "l_orderkey", "l_linestatus", "l_linenumber", emotion
+        F.concat(
+            F.col("l_orderkey").cast("string"),
+            F.lit(":\t tom &amp; "),
+            F.col("l_linestatus"),
+            F.lit("\t"),
+            F.col("l_linenumber").cast("string"),
+            F.lit(" \t:: "),
+            emotion,
         ).alias("value")
     )
     return {"lines": lines}
@@ -371,7 +377,7 @@ def pipe_hurricanes8(spark, sf_dir):
 def pipe_emoint(spark, sf_dir):
     ratings = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("id"),
-        F.format_string("part %d", "l_partkey").alias("text"),
+        F.concat(F.lit("part "), F.col("l_partkey").cast("string")).alias("text"),
         pick(INTENSITY_LABELS, F.col("l_linenumber") % 4).alias("emotion"),
         F.col("l_quantity").alias("intensity"),
     )
@@ -394,7 +400,7 @@ def pipe_semeval2018intensity(spark, sf_dir):
     def raw(name, key, dimension, score):
         return table(spark, sf_dir, name).select(
             F.col(key).cast("string").alias("ID"),
-            F.format_string("order %d", key).alias("Tweet"),
+            F.concat(F.lit("order "), F.col(key).cast("string")).alias("Tweet"),
             dimension.alias("Affect Dimension"),
             F.col(score).alias("Intensity Score"),
         )

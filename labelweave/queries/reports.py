@@ -122,8 +122,9 @@ def dataset_manifest(spark, sf_dir):
 )
 def sample_one_per_dataset(spark, sf_dir):
     keys = {"documents": "doc_id", "benchmark": "item_id"}
+    draw = F.md5(F.concat(F.lit("7:"), F.col("id").cast("string")))
     picked = [
-        sample_one(table(spark, sf_dir, n).select(F.col(k).alias("id"), "text"), ["id"], seed=7)
+        sample_one(table(spark, sf_dir, n).select(F.col(k).alias("id"), "text"), ["id"], draw=draw)
         .select(F.lit(n).alias("dataset"), "id", "text")
         for n, k in keys.items()
     ]

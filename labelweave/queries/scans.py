@@ -139,7 +139,12 @@ def _ballots(spark, sf_dir):
     nothing = F.lit(None).cast("boolean")
     only_n = F.struct(nothing.alias("A"), (F.col("l_tax") > 0.04).alias("N"), nothing.alias("R"))
     return table(spark, sf_dir, "lineitem").select(
-        F.format_string("order %d line %d", "l_orderkey", "l_linenumber").alias("text"),
+        F.concat(
+            F.lit("order "),
+            F.col("l_orderkey").cast("string"),
+            F.lit(" line "),
+            F.col("l_linenumber").cast("string"),
+        ).alias("text"),
         F.create_map(
             F.lit("w1"),
             on_own_flag(F.col("l_quantity") > 25),

@@ -52,15 +52,19 @@ def store_manifest(spark: SparkSession, data_dir: str, dataset: str) -> None:
     _store(stats.withColumn("dataset", F.lit(dataset)), f"{data_dir}/_manifest")
 
 
-def sample_one(df: DataFrame, key: Sequence[str] | None = None, seed: int = 0) -> DataFrame:
+def sample_one(
+    df: DataFrame, key: Sequence[str] | None = None, seed: int = 0, draw: Column | None = None
+) -> DataFrame:
     """One random row, the same one for the same seed.
 
     Each task keeps its own best row, so nothing is sorted or shuffled whole.
-    ``key`` identifies a row; without it the whole row does.
+    ``key`` identifies a row; without it the whole row does. ``draw`` is the
+    random order, by default a hash of seed and key.
     """
     names = list(key) if key else df.columns
-    drawn = F.md5(F.concat_ws(":", F.lit(str(seed)), *[c.cast("string") for c in cols(names)]))
-    return df.orderBy(drawn, *cols(names)).limit(1)
+    if draw is None:
+        draw = F.xxhash64(F.lit(seed), *cols(names))
+    return df.orderBy(draw, *cols(names)).limit(1)
 
 
 def store_sample(df: DataFrame, data_dir: str, dataset: str, seed: int = 0) -> None:
