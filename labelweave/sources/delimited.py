@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..columns import col
+from ..functions.labels import parse_number
 
 # What to do with a row that does not fit the schema.
 BAD_ROW_MODES = {"raise": "FAILFAST", "null": "PERMISSIVE", "drop": "DROPMALFORMED"}
@@ -77,16 +78,33 @@ def read_delimited(
     dialect: Dialect = COMMA,
     bad_rows: str = "raise",
 ) -> DataFrame:
-    """Scan one file, a list of files, or globs, as one table."""
-    reader = (
-        spark.read.schema(as_schema(schema))
-        .options(**dialect.options())
-        .option("mode", BAD_ROW_MODES[bad_rows])
+    """Scan one file, a list of files, or globs, as one table.
+
+    ``bad_rows`` says what becomes of a row with the wrong number of fields or
+    a value that is not of its type: ``raise``, ``drop``, or ``null`` (keep the
+    row, with nulls for what is wrong).
+    """
+    declared = as_schema(schema)
+    reader = spark.read.options(**dialect.options()).option("mode", BAD_ROW_MODES[bad_rows])
+    if bad_rows != "drop":
+        return reader.schema(declared).csv(_paths(paths))
+    # Spark checks only the columns a query picks, so which rows survive would
+    # depend on the query. Here the number of fields is checked by an unpruned
+    # scan of strings, and the types by a filter over all typed columns.
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in declared.fields])
+    rows = reader.schema(text).option("columnPruning", "false").csv(_paths(paths))
+    typed = [f for f in declared.fields if f.dataType != T.StringType()]
+    for f in typed:
+        parsed = parse_number(col(f.name), f.dataType.simpleString())
+        rows = rows.filter(col(f.name).isNull() | parsed.isNotNull())
+    return rows.select(
+        *[
+            parse_number(col(f.name), f.dataType.simpleString()).alias(f.name)
+            if f in typed
+            else col(f.name)
+            for f in declared.fields
+        ]
     )
-    if bad_rows == "drop":
-        # Which rows survive must not depend on the columns a query picks.
-        reader = reader.option("columnPruning", "false")
-    return reader.csv(_paths(paths))
 
 
 def count_malformed(
@@ -95,24 +113,28 @@ def count_malformed(
     schema: T.StructType | str,
     dialect: Dialect = COMMA,
 ) -> DataFrame:
-    """Rows read and rows a ``bad_rows="drop"`` scan leaves out, per file."""
-    declared = as_schema(schema)
-    flagged = T.StructType([*declared.fields, T.StructField("_bad", T.StringType())])
+    """Rows read, and rows a ``bad_rows="drop"`` scan leaves out, per file."""
+    declared = as_schema(schema).fields
+    text = [T.StructField(f.name, T.StringType()) for f in declared]
     scan = (
-        spark.read.schema(flagged)
-        .options(**{**dialect.options(), "enforceSchema": "true"})
-        .option("mode", "PERMISSIVE")
+        spark.read.schema(T.StructType([*text, T.StructField("_bad", T.StringType())]))
+        .options(**{**dialect.options(), "enforceSchema": "true", "mode": "PERMISSIVE"})
         .option("columnNameOfCorruptRecord", "_bad")
+        .option("columnPruning", "false")
         .csv(_paths(paths))
     )
-    fields = F.struct(*[col(f.name) for f in declared.fields])
+    bad = F.col("_bad").isNotNull()
+    for f in declared:
+        if f.dataType != T.StringType():
+            parsed = parse_number(col(f.name), f.dataType.simpleString())
+            bad = bad | (col(f.name).isNotNull() & parsed.isNull())
+    # Spark wants a data column read beside the malformed one.
+    first = col(declared[0].name)
+    rows = F.count(first) + F.coalesce(F.sum(first.isNull().cast("long")), F.lit(0))
     return (
-        scan.select(F.col("_metadata.file_name").alias("file_name"), "_bad", fields.alias("_row"))
+        scan.withColumn("file_name", F.col("_metadata.file_name"))
         .groupBy("file_name")
-        .agg(
-            F.count("_row").alias("n_rows"),
-            F.count("_bad").alias("n_malformed"),
-        )
+        .agg(rows.alias("n_rows"), F.count(F.when(bad, 1)).alias("n_malformed"))
     )
 
 
@@ -202,6 +224,7 @@ def read_by_header(
         )
         if malformed:
             reader = reader.option("columnNameOfCorruptRecord", malformed)
+            reader = reader.option("columnPruning", "false")
         frames.append(reader.csv(files))
     return frames
 
