@@ -37,6 +37,8 @@ class Corpus:
     info: CorpusInfo
     read: Callable[[SparkSession, str], Raws]
     build: Callable[..., DataFrame]
+    # Columns the written rows are ordered by, if any.
+    order_by: tuple[str, ...] = ()
 
 
 CORPORA: dict[str, Corpus] = {}

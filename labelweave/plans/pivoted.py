@@ -228,6 +228,7 @@ register(
         ),
         _isear_read,
         _isear_build,
+        order_by=("id",),
     )
 )
 

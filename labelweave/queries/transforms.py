@@ -283,8 +283,10 @@ TITLE = r"<title>(.*?)</title>"
 
 @query(
     "html_unescape",
-    "SELECT page_id, replace(replace(replace(replace(replace(title, '&lt;', '<'), '&gt;', '>'), "
-    "'&quot;', '\"'), '&#39;', ''''), '&amp;', '&') AS title FROM (SELECT page_id, "
+    # Titles are cut at a fixed length, so an entity may lack its semicolon.
+    "SELECT page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace("
+    "title, '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', '\"', 'g'), '&#39;?', chr(39), 'g'), "
+    "'&amp;?', '&', 'g') AS title FROM (SELECT page_id, "
     "regexp_extract(html, '<title>(.*?)</title>', 1) AS title FROM pages)",
 )
 def html_unescape_(spark, sf_dir):

@@ -69,10 +69,11 @@ def run_one(
         max_shard_size=max_shard_size,
         info=_documentation(corpus),
         storage_options=storage_options,
+        order_by=corpus.order_by,
     )
     written = read_dataset(spark, folder)
     store_manifest(spark, data_dir, corpus.name)
-    store_sample(written, data_dir, corpus.name, seed)
+    store_sample(spark, data_dir, corpus.name, seed)
     return written.count()
 
 

@@ -7,6 +7,7 @@ from .reports import (
     merge_manifest,
     row_counts,
     sample_one,
+    sample_stored,
     store_manifest,
     store_sample,
 )
@@ -19,6 +20,7 @@ __all__ = [
     "read_dataset",
     "row_counts",
     "sample_one",
+    "sample_stored",
     "store_manifest",
     "store_sample",
     "write_dataset",

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..columns import cols
+
 # Fixed value: default upper size of one output file.
 MAX_SHARD_SIZE = "500MB"
 # Spark skips folders that start with an underscore when it reads a dataset.
@@ -58,13 +60,15 @@ def write_dataset(
     max_shard_size: int | str | None = MAX_SHARD_SIZE,
     info: Mapping[str, object] | None = None,
     storage_options: Mapping[str, str] | None = None,
+    order_by: Sequence[str] = (),
 ) -> None:
     """Write a frame as Parquet.
 
     ``num_shards`` fixes the number of files. Otherwise Spark rebalances the
     rows at run time so that no file is much over ``max_shard_size``; None
-    skips that shuffle and writes one file per partition. ``info`` is stored
-    next to the data, ``storage_options`` go to the writer.
+    skips that shuffle and writes one file per partition. With ``order_by`` the
+    files hold the rows in that order, file after file. ``info`` is stored next
+    to the data, ``storage_options`` go to the writer.
     """
     spark = df.sparkSession
     if holds_data(spark, folder) and not overwrite:
@@ -74,13 +78,19 @@ def write_dataset(
         # The guard above has settled what may be replaced.
         frame.write.mode("overwrite").options(**(storage_options or {})).parquet(folder)
 
+    keys = cols(order_by)
     if num_shards is not None:
-        save(df.repartition(num_shards))
+        save(
+            df.repartitionByRange(num_shards, *keys).sortWithinPartitions(*keys)
+            if keys
+            else df.repartition(num_shards)
+        )
     elif max_shard_size is not None:
+        # A sort ranges the rows over partitions by itself; only their size is set.
         with _setting(spark, _ADVISORY, str(size_in_bytes(max_shard_size))):
-            save(df.hint("rebalance"))
+            save(df.orderBy(*keys) if keys else df.hint("rebalance"))
     else:
-        save(df)
+        save(df.orderBy(*keys) if keys else df)
     if info:
         row = spark.createDataFrame([tuple(info.values())], list(info.keys()))
         row.coalesce(1).write.mode("overwrite").json(f"{folder}/{INFO_FOLDER}")

@@ -67,9 +67,28 @@ def sample_one(
     return df.orderBy(draw, *cols(names)).limit(1)
 
 
-def store_sample(df: DataFrame, data_dir: str, dataset: str, seed: int = 0) -> None:
+def sample_stored(spark: SparkSession, folder: str, seed: int = 0) -> DataFrame:
+    """One random row of a Parquet dataset, drawn by its place in the files.
+
+    The draw reads no data column, the row itself comes from one file.
+    """
+    stored = spark.read.parquet(folder)
+    part = F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1)
+    place = [F.col("_metadata.file_path"), F.col("_metadata.row_index")]
+    drawn = (
+        stored.select(part.alias("part"), place[0].alias("path"), place[1].alias("row"))
+        .orderBy(F.xxhash64(F.lit(seed), "part", "row"), "path", "row")
+        .limit(1)
+        .collect()
+    )
+    if not drawn:
+        return stored.limit(0)
+    return stored.filter((place[0] == drawn[0]["path"]) & (place[1] == drawn[0]["row"]))
+
+
+def store_sample(spark: SparkSession, data_dir: str, dataset: str, seed: int = 0) -> None:
     """Upsert one sample row, as JSON, into ``data_dir/_samples``."""
-    row = sample_one(df, seed=seed)
+    row = sample_stored(spark, f"{data_dir}/{dataset}", seed)
     packed = row.select(
         F.to_json(F.struct(*cols(sorted(row.columns)))).alias("sample"),
         F.lit(dataset).alias("dataset"),

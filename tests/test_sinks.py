@@ -10,6 +10,7 @@ from labelweave.sinks import (
     merge_manifest,
     read_dataset,
     sample_one,
+    sample_stored,
     write_dataset,
 )
 from labelweave.sinks.dataset import read_info, size_in_bytes
@@ -73,6 +74,27 @@ def test_sample_is_seeded(spark):
     assert len({sample_one(df, ["id"], seed=s).first().id for s in range(10)}) > 5
 
 
+def test_ordered_files(spark, tmp_path):
+    df = spark.range(0, 50_000, 1, 6).select((F.hash("id") % 1000).alias("k"), "id")
+    for name, options in (("a", {"num_shards": 3}), ("b", {}), ("c", {"max_shard_size": None})):
+        write_dataset(df, f"{tmp_path}/{name}", order_by=["k", "id"], **options)
+        files = sorted((tmp_path / name).glob("part-*.parquet"))
+        rows = [r for f in files for r in spark.read.parquet(str(f)).collect()]
+        assert rows == sorted(rows) and len(rows) == 50_000
+        assert name != "a" or len(files) == 3
+
+
+def test_stored_sample(spark, tmp_path):
+    df = spark.range(0, 1000, 1, 4).withColumn("t", F.col("id").cast("string"))
+    write_dataset(df, f"{tmp_path}/d", max_shard_size=None)
+    picks = [sample_stored(spark, f"{tmp_path}/d", seed=s).collect() for s in range(8)]
+    assert all(len(p) == 1 and str(p[0].id) == p[0].t for p in picks)
+    assert len({p[0].id for p in picks}) > 4
+    assert picks[0] == sample_stored(spark, f"{tmp_path}/d", seed=0).collect()
+    write_dataset(df.limit(0), f"{tmp_path}/e")
+    assert sample_stored(spark, f"{tmp_path}/e").count() == 0
+
+
 def test_run_one_writes_everything(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "data.csv").write_text(TWEETS)
