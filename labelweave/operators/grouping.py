@@ -90,26 +90,26 @@ def _gather_in_parts(df, keys, lists, order, values, aggs, max_items) -> DataFra
         .filter(F.col("n") > max_items)
         .select("_h", F.ceil(F.col("n") / per_part).cast("int").alias("_parts"))
     )
-    # Copies of one row would all hash alike: count them first, then cut the
-    # count into chunks that can be spread.
-    counted = df.groupBy(
-        *cols(keys), F.struct(*order, *values).alias("_item"), hashed
-    ).agg(F.count(F.lit(1)).alias("_copies"))
+    item = F.struct(*order, *values).alias("_item")
+    rows = df.select(*cols(keys), item, hashed)
+    if largest_group(rows, [*keys, "_item"]) <= chunk:
+        times = rows.select("*", F.lit(0).alias("_chunk"), F.lit(1).alias("_times"))
+    else:
+        # Copies of one row all hash alike: count them first, then cut the count
+        # into chunks that can be spread.
+        copies = rows.groupBy(*cols(rows.columns)).agg(F.count(F.lit(1)).alias("_copies"))
+        chunks = F.sequence(F.lit(0), F.expr(f"(_copies - 1) div {chunk}"))
+        left = F.col("_copies") - F.col("_chunk") * chunk
+        times = copies.withColumn("_chunk", F.explode(chunks)).withColumn(
+            "_times", F.least(F.lit(chunk), left).cast("int")
+        )
     if hot.count() <= MAX_BROADCAST_KEYS:
         hot = F.broadcast(hot)
-    spread = (
-        counted.join(hot, "_h", "left")
-        .withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.expr(f"(_copies - 1) div {chunk}"))))
-        .withColumn(
-            "_times",
-            F.least(F.lit(chunk), F.col("_copies") - F.col("_chunk") * chunk).cast("int"),
-        )
-        .withColumn(
-            "_part",
-            F.when(F.col("_parts").isNull(), F.lit(0)).otherwise(
-                F.pmod(F.xxhash64("_item", "_chunk"), F.col("_parts")).cast("int")
-            ),
-        )
+    spread = times.join(hot, "_h", "left").withColumn(
+        "_part",
+        F.when(F.col("_parts").isNull(), F.lit(0)).otherwise(
+            F.pmod(F.xxhash64("_item", "_chunk"), F.col("_parts")).cast("int")
+        ),
     )
     parts = (
         spread.groupBy(*cols(keys), "_part")

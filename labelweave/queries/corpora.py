@@ -638,7 +638,7 @@ def pipe_electoraltweets(spark, sf_dir):
             pick(arousal, F.col(person) % 5).alias("arousal"),
         )
 
-    ordered = F.format_string("user %d click", "o_custkey")
+    ordered = F.concat(F.lit("user "), F.col("o_custkey").cast("string"), F.lit(" click"))
     raws = {
         "Batch1": batch("events", "event_id", "value", user_text(), "event_id", "user_id"),
         "Batch2": batch("orders", "o_orderkey", "o_totalprice", ordered, "o_custkey", "o_custkey"),

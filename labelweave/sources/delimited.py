@@ -11,6 +11,7 @@ from collections import defaultdict
 from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -167,30 +168,43 @@ def read_headerless(
     return read_delimited(spark, paths, schema, plain, bad_rows)
 
 
+# Up to this many files, one job per file that stops at the first line is cheaper
+# than one job over all lines.
+MAX_HEADER_JOBS = 200
+
+
+def _first_lines(spark: SparkSession, paths: list[str]) -> list[tuple[str, str]]:
+    def lines(of: str | list[str]) -> DataFrame:
+        # Every file has one block that starts at 0; its first line is the header.
+        located = spark.read.text(of).select(
+            F.col("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_block_start").alias("start"),
+            F.monotonically_increasing_id().alias("pos"),
+            F.col("value").alias("header"),
+        )
+        return located.filter(F.col("start") == 0)
+
+    files = spark.read.text(paths).inputFiles()
+    if len(files) <= MAX_HEADER_JOBS:
+        heads = [lines(unquote(file)).select("path", "header").head() for file in files]
+    else:
+        heads = lines(paths).groupBy("path").agg(F.min_by("header", "pos").alias("header")).collect()
+    # Spark reports paths percent-encoded, but takes them plain.
+    return [(unquote(h["path"]), h["header"]) for h in heads if h is not None]
+
+
 def _files_by_header(
     spark: SparkSession, paths: list[str], dialect: Dialect
 ) -> dict[tuple[str, ...], list[str]]:
     """Group files by their header.
 
-    Returns one entry per distinct header. The driver sees one line per file,
-    the same order of size as the file listing Spark keeps there anyway.
+    The driver sees one line per file, the same order of size as the file
+    listing Spark keeps there anyway.
     """
-    first_lines = (
-        spark.read.text(paths)
-        .select(
-            F.col("_metadata.file_path").alias("path"),
-            F.col("_metadata.file_block_start").alias("start"),
-            F.monotonically_increasing_id().alias("pos"),
-            "value",
-        )
-        .filter(F.col("start") == 0)
-        .groupBy("path")
-        .agg(F.min_by("value", "pos").alias("header"))
-    )
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for row in first_lines.collect():
-        names = next(csv.reader([row["header"]], delimiter=dialect.sep, quotechar=dialect.quote))
-        groups[tuple(names)].append(row["path"])
+    for path, header in _first_lines(spark, paths):
+        names = next(csv.reader([header], delimiter=dialect.sep, quotechar=dialect.quote))
+        groups[tuple(names)].append(path)
     return dict(sorted(groups.items()))
 
 

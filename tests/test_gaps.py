@@ -120,9 +120,11 @@ def test_header_order_is_never_ignored(spark, tmp_path):
     assert set(values(by_name.select("a", "b"))) == {("1", "2"), ("4", "3")}
 
 
-def test_union_by_name_fills_missing_columns(spark, tmp_path):
+@pytest.mark.parametrize("jobs", [0, 200])
+def test_union_by_name_fills_missing_columns(spark, tmp_path, monkeypatch, jobs):
+    monkeypatch.setattr("labelweave.sources.delimited.MAX_HEADER_JOBS", jobs)
     (tmp_path / "a.csv").write_text("a,b\n1,2\n")
-    (tmp_path / "b.csv").write_text("a,c\n3,4\n")
+    (tmp_path / "b +ü 100%.csv").write_text("a,c\n3,4\n")
     (tmp_path / "empty.csv").write_text("")
     both = read_union_by_name(spark, str(tmp_path / "*.csv"))
     assert set(values(both.select("a", "b", "c"))) == {("1", "2", None), ("3", None, "4")}

@@ -24,14 +24,16 @@ KEYS, LISTS, ORDER = ["k"], {"ids": "i", "marks": "m"}, ["i"]
 
 def rows_of(n_hot, n_copies):
     rows = [("hot", i, None if i % 3 else float(i)) for i in range(n_hot)]
-    rows += [("copies", 7, None)] * n_copies
+    rows += [("copies", i if n_copies < 0 else 7, None) for i in range(abs(n_copies))]
     rows += [(None, i, 1.0) for i in range(2)] + [("one", 5, None)]
     return rows
 
 
 @pytest.mark.parametrize("max_items", [3, 4, 10, 1000])
-def test_gather_keeps_every_item(spark, max_items):
-    rows = rows_of(50, 40)
+@pytest.mark.parametrize("n_copies", [40, -40])
+def test_gather_keeps_every_item(spark, max_items, n_copies):
+    # With -40 no row has a copy, which takes the shorter way.
+    rows = rows_of(50, n_copies)
     df = spark.createDataFrame(rows, "k string, i int, m double")
     aggs = [F.count("m").alias("n_marks"), F.avg("i").alias("mean_i")]
     parts = gather_lists(df, KEYS, LISTS, ORDER, aggs, max_items=max_items).collect()
