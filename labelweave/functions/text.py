@@ -89,9 +89,14 @@ COMMON_ENTITIES = (
 _RARE_ENTITY = "&(?!(?:lt|gt|quot|#39|amp);)[#A-Za-z]"
 
 
-@F.pandas_udf(T.StringType())
-def _unescape(values: pd.Series) -> pd.Series:
-    return values.map(html.unescape, na_action="ignore")
+def _unescaper():
+    # Made inside a function, so that it is sent to the workers by value and they
+    # need no copy of this package.
+    @F.pandas_udf(T.StringType())
+    def unescape(values: pd.Series) -> pd.Series:
+        return values.map(html.unescape, na_action="ignore")
+
+    return unescape
 
 
 def html_unescape(text: Column) -> Column:
@@ -105,4 +110,4 @@ def html_unescape(text: Column) -> Column:
     for entity, character in COMMON_ENTITIES:
         common = F.replace(common, F.lit(entity), F.lit(character))
     rare = F.contains(text, F.lit("&")) & text.rlike(_RARE_ENTITY)
-    return F.when(rare, _unescape(F.when(rare, text))).otherwise(common)
+    return F.when(rare, _unescaper()(F.when(rare, text))).otherwise(common)

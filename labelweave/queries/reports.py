@@ -108,9 +108,9 @@ def dataset_manifest(spark, sf_dir):
         write_dataset(table(spark, sf_dir, source), f"{base}/{dataset}", overwrite=True)
         return file_stats(spark, f"{base}/{dataset}", base).withColumn("dataset", F.lit(dataset))
 
-    entry("texts", "documents").unionByName(entry("turns", "labels")).write.parquet(f"{base}/_old")
-    entry("turns", "conversations").write.parquet(f"{base}/_new")
-    return merge_manifest(read_dataset(spark, f"{base}/_old"), read_dataset(spark, f"{base}/_new"))
+    entry("texts", "documents").unionByName(entry("turns", "labels")).write.parquet(f"{base}/old")
+    entry("turns", "conversations").write.parquet(f"{base}/new")
+    return merge_manifest(read_dataset(spark, f"{base}/old"), read_dataset(spark, f"{base}/new"))
 
 
 @query(

@@ -18,8 +18,8 @@ def file_stats(spark: SparkSession, folder: str, base: str | None = None) -> Dat
     for, and there is one row per file however many records it holds.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    below = (base or folder).rstrip("/")
-    after = F.substring_index(F.col("path"), below + "/", -1)
+    below = (base or folder).rstrip("/") + "/"
+    after = F.substr("path", F.locate(below, F.col("path")) + len(below))
     return files.select(
         F.substring_index("path", "/", -1).alias("name"),
         after.alias("file_path"),
@@ -47,9 +47,9 @@ def _store(df: DataFrame, folder: str) -> None:
 
 
 def store_manifest(spark: SparkSession, data_dir: str, dataset: str) -> None:
-    """Upsert the file list of one dataset into ``data_dir/_manifest``."""
+    """Upsert the file list of one dataset into ``data_dir/manifest``."""
     stats = file_stats(spark, f"{data_dir}/{dataset}", data_dir)
-    _store(stats.withColumn("dataset", F.lit(dataset)), f"{data_dir}/_manifest")
+    _store(stats.withColumn("dataset", F.lit(dataset)), f"{data_dir}/manifest")
 
 
 def sample_one(
@@ -87,13 +87,13 @@ def sample_stored(spark: SparkSession, folder: str, seed: int = 0) -> DataFrame:
 
 
 def store_sample(spark: SparkSession, data_dir: str, dataset: str, seed: int = 0) -> None:
-    """Upsert one sample row, as JSON, into ``data_dir/_samples``."""
+    """Upsert one sample row, as JSON, into ``data_dir/samples``."""
     row = sample_stored(spark, f"{data_dir}/{dataset}", seed)
     packed = row.select(
         F.to_json(F.struct(*cols(sorted(row.columns)))).alias("sample"),
         F.lit(dataset).alias("dataset"),
     )
-    _store(packed, f"{data_dir}/_samples")
+    _store(packed, f"{data_dir}/samples")
 
 
 def dataset_profile(df: DataFrame, group: Sequence[str], label: str) -> DataFrame:

@@ -76,19 +76,22 @@ def load_splits(splits: Mapping[str, DataFrame], split_column: str | None = "spl
     return reduce(DataFrame.unionByName, frames)
 
 
-@F.pandas_udf(T.StringType())
-def _decode_utf7(values: pd.Series) -> pd.Series:
-    def decode(text: str | None) -> str | None:
-        if text is None:
-            return None
-        try:
-            decoded = text.encode("utf8", errors="ignore").decode("utf7", errors="ignore")
-            decoded.encode("utf8")
-            return decoded
-        except UnicodeError:
-            return text
+def _utf7_decoder():
+    # Made inside a function, so that it is sent to the workers by value and they
+    # need no copy of this package.
+    @F.pandas_udf(T.StringType())
+    def decode(values: pd.Series) -> pd.Series:
+        def one(text: str) -> str:
+            try:
+                decoded = text.encode("utf8", errors="ignore").decode("utf7", errors="ignore")
+                decoded.encode("utf8")
+                return decoded
+            except UnicodeError:
+                return text
 
-    return values.map(decode)
+        return values.map(one, na_action="ignore")
+
+    return decode
 
 
 def redecode_utf7(text: Column) -> Column:
@@ -99,4 +102,4 @@ def redecode_utf7(text: Column) -> Column:
     travel to Python as nulls.
     """
     may_change = text.rlike("[+]|[^\\x00-\\x7F]")
-    return F.coalesce(_decode_utf7(F.when(may_change, text)), text)
+    return F.coalesce(_utf7_decoder()(F.when(may_change, text)), text)

@@ -104,11 +104,11 @@ def test_run_one_writes_everything(spark, tmp_path):
         run_one(spark, "CrowdFlower", f"{tmp_path}/in", out)
     assert run_one(spark, "CrowdFlower", f"{tmp_path}/in", out, overwrite=True, num_shards=1) == 2
 
-    manifest = spark.read.parquet(f"{out}/_manifest")
+    manifest = spark.read.parquet(f"{out}/manifest")
     on_disk = {p.name for p in (tmp_path / "out" / "CrowdFlower").glob("*.parquet")}
     listed = {r.name for r in manifest.filter("dataset = 'CrowdFlower'").collect()}
     assert listed == on_disk
-    samples = spark.read.parquet(f"{out}/_samples").collect()
+    samples = spark.read.parquet(f"{out}/samples").collect()
     assert len(samples) == 1 and '"tweet_id"' in samples[0].sample
     assert read_info(spark, f"{out}/CrowdFlower").first().dataset == "CrowdFlower"
     with pytest.raises(KeyError, match="choose one of"):
