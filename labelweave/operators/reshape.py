@@ -80,9 +80,16 @@ def unpivot(
     value: str,
     keep: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Columns to rows, leaving null cells out."""
+    """Columns to rows, leaving null cells out.
+
+    One column needs no expansion of the rows, only a projection.
+    """
     ids = others(df, *columns) if keep is None else list(keep)
-    long = df.unpivot(cols(ids), cols(columns), name, value)
+    if len(columns) == 1:
+        only = columns[0]
+        long = df.select(*cols(ids), F.lit(only).alias(name), col(only).alias(value))
+    else:
+        long = df.unpivot(cols(ids), cols(columns), name, value)
     return long.filter(col(value).isNotNull())
 
 

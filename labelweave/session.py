@@ -30,6 +30,10 @@ def build_session(
     return builder.getOrCreate()
 
 
+# Temporary folders of local sessions that name no shared one, by application.
+_local_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder that every executor can reach.
 
@@ -41,8 +45,10 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        app = spark.sparkContext.applicationId
+        if app not in _local_folders:
+            _local_folders[app] = tempfile.mkdtemp(prefix="run-")
+        base = _local_folders[app]
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
