@@ -36,17 +36,25 @@ def right_strip_chars(text: Column, n: int) -> Column:
 
 def split_item(text: Column, sep: str, index: int) -> Column:
     """The ``index``-th part (0-based) of a text split on a literal separator."""
+    if index == 0:
+        return F.substring_index(text, sep, 1)
     return F.get(F.split(text, _literal(sep)), F.lit(index))
 
 
-def join_middle(text: Column, sep: str) -> Column:
-    """All parts but the first and last, joined with the separator again."""
-    parts = F.split(text, _literal(sep))
-    return F.array_join(F.slice(parts, 2, F.greatest(F.size(parts) - 2, F.lit(0))), sep)
+def last_item(text: Column, sep: str) -> Column:
+    return F.substring_index(text, sep, -1)
 
 
-def last_item(text: Column, sep: str) -> Column:
-    return F.element_at(F.split(text, _literal(sep)), -1)
+def join_middle(text: Column, sep: str) -> Column:
+    """All parts but the first and last, with the separators between them.
+
+    The middle is cut out by position: nothing is split and joined again.
+    ``text`` occurs several times here, so pass a column of the frame.
+    """
+    first = F.length(F.substring_index(text, sep, 1))
+    last = F.length(F.substring_index(text, sep, -1))
+    size = F.length(text) - first - last - 2 * len(sep)
+    return F.substr(text, first + 1 + len(sep), F.greatest(size, F.lit(0)))
 
 
 def _literal(sep: str) -> str:

@@ -22,7 +22,7 @@ from .reshape import (
     unknown_labels,
     unpivot,
 )
-from .rows import keep_arity, keep_parseable, map_batches, sql_over
+from .rows import keep_arity, keep_parseable, map_batches, ordered, sql_over
 
 __all__ = [
     "append_by_name",
@@ -39,6 +39,7 @@ __all__ = [
     "means",
     "merge_by_key",
     "natural_self_map",
+    "ordered",
     "pivot_any_value",
     "pivot_count",
     "pivot_flag",

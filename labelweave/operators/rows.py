@@ -35,6 +35,29 @@ def keep_parseable(
     return parsed.filter(reduce(lambda a, b: a & b, present))
 
 
+# Helper columns that break ties while rows are ordered.
+TIES = ("_tie_hash", "_tie_task")
+
+
+def with_ties(df: DataFrame) -> DataFrame:
+    """Add columns that tell rows with equal keys, even copies, apart.
+
+    Spark orders rows by ranges of the sort key, and rows that agree on all of
+    it go to one task. The hash spreads rows of one key, the task number spreads
+    copies of one row.
+    """
+    return df.select(
+        "*",
+        F.xxhash64(*[col(n) for n in df.columns]).alias(TIES[0]),
+        F.spark_partition_id().alias(TIES[1]),
+    )
+
+
+def ordered(df: DataFrame, keys: Iterable[str]) -> DataFrame:
+    """Global order by keys, with a hot key spread over many tasks."""
+    return with_ties(df).orderBy(*[col(k) for k in keys], *TIES).drop(*TIES)
+
+
 def map_batches(
     df: DataFrame,
     fn: Callable[[pd.DataFrame], pd.DataFrame],

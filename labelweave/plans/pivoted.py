@@ -21,7 +21,7 @@ from ..functions import (
     strip_text,
 )
 from ..functions.text import last_item, right_strip_chars
-from ..operators import append_by_name, pivot_count, pivot_flag, pivot_presence
+from ..operators import append_by_name, ordered, pivot_count, pivot_flag, pivot_presence
 from ..sources import Dialect, read_delimited, read_header_cast, read_lines, regex_records
 from .base import Corpus, CorpusInfo, Raws, register
 
@@ -203,12 +203,13 @@ def _isear_build(raws: Raws) -> DataFrame:
         map_codes(col("EMOT").cast("string"), ISEAR_CODES).alias("emotion"),
     )
     wide = pivot_presence(answers, "emotion", ISEAR_LABELS)
-    return wide.select(
+    filled = wide.select(
         "id",
         "subject_id",
         "text",
         *[null_to(col(label), False).alias(label) for label in ISEAR_LABELS],
-    ).orderBy("id")
+    )
+    return ordered(filled, ["id"])
 
 
 register(

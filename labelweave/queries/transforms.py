@@ -43,6 +43,7 @@ from ..operators import (
     means,
     merge_by_key,
     natural_self_map,
+    ordered,
     pivot_any_value,
     pivot_count,
     pivot_flag,
@@ -493,7 +494,7 @@ def append_heterogeneous(spark, sf_dir):
 
 @query("order_by_key", "SELECT doc_id, lang FROM documents ORDER BY doc_id")
 def order_by_key(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", "lang").orderBy("doc_id")
+    return ordered(table(spark, sf_dir, "documents").select("doc_id", "lang"), ["doc_id"])
 
 
 @query(

@@ -9,6 +9,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 from ..columns import cols
+from ..operators.rows import TIES, ordered, with_ties
 
 # Fixed value: default upper size of one output file.
 MAX_SHARD_SIZE = "500MB"
@@ -40,16 +41,15 @@ def holds_data(spark: SparkSession, folder: str) -> bool:
 
 
 @contextmanager
-def _setting(spark: SparkSession, key: str, value: str):
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, value)
+def _shard_size(spark: SparkSession, size: int | str | None):
+    """Have Spark aim at partitions of this size for the time of one write."""
+    before = spark.conf.get(_ADVISORY)
+    if size is not None:
+        spark.conf.set(_ADVISORY, str(size_in_bytes(size)))
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+        spark.conf.set(_ADVISORY, before)
 
 
 def write_dataset(
@@ -78,19 +78,23 @@ def write_dataset(
         # The guard above has settled what may be replaced.
         frame.write.mode("overwrite").options(**(storage_options or {})).parquet(folder)
 
-    keys = cols(order_by)
-    if num_shards is not None:
-        save(
-            df.repartitionByRange(num_shards, *keys).sortWithinPartitions(*keys)
-            if keys
-            else df.repartition(num_shards)
-        )
-    elif max_shard_size is not None:
+    if order_by:
         # A sort ranges the rows over partitions by itself; only their size is set.
-        with _setting(spark, _ADVISORY, str(size_in_bytes(max_shard_size))):
-            save(df.orderBy(*keys) if keys else df.hint("rebalance"))
+        sized = max_shard_size if num_shards is None else None
+        with _shard_size(spark, sized):
+            if num_shards is None:
+                save(ordered(df, order_by))
+            else:
+                keys = [*cols(order_by), *TIES]
+                ranged = with_ties(df).repartitionByRange(num_shards, *keys)
+                save(ranged.sortWithinPartitions(*keys).drop(*TIES))
+    elif num_shards is not None:
+        save(df.repartition(num_shards))
+    elif max_shard_size is not None:
+        with _shard_size(spark, max_shard_size):
+            save(df.hint("rebalance"))
     else:
-        save(df.orderBy(*keys) if keys else df)
+        save(df)
     if info:
         row = spark.createDataFrame([tuple(info.values())], list(info.keys()))
         row.coalesce(1).write.mode("overwrite").json(f"{folder}/{INFO_FOLDER}")

@@ -29,9 +29,9 @@ def file_stats(spark: SparkSession, folder: str, base: str | None = None) -> Dat
 
 
 def merge_manifest(old: DataFrame, new: DataFrame, key: str = "dataset") -> DataFrame:
-    """Replace the entries of each dataset that occurs in ``new``, sorted by dataset."""
+    """Replace the entries of each dataset that occurs in ``new``, in order."""
     kept = old.join(new.select(key).distinct(), key, "left_anti")
-    return kept.unionByName(new).orderBy(key)
+    return kept.unionByName(new).orderBy(key, *[c for c in new.columns if c != key])
 
 
 def _store(df: DataFrame, folder: str) -> None:

@@ -11,6 +11,7 @@ from labelweave.operators import (
     largest_group,
     merge_by_key,
     natural_self_map,
+    ordered,
     pivot_count,
     pivot_sum,
     positional_join,
@@ -150,3 +151,21 @@ def test_parquet_row_position_over_files(spark, tmp_path):
     scan = spark.read.parquet(*[f"{tmp_path}/p{i}" for i in range(3)])
     got = with_row_position(scan, "n", parquet=True).orderBy("n").collect()
     assert [tuple(r) for r in got] == [(i, i) for i in range(301)]
+
+
+def test_order_spreads_a_hot_key_and_copies(spark):
+    # Two thirds of the rows share one key, half of those are copies.
+    hot = F.when(F.col("id") % 3 < 2, 500).otherwise(F.col("id"))
+    same = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id"))
+    df = spark.range(0, 60_000, 1, 16).select(hot.alias("k"), same.alias("v"))
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        done = ordered(df, ["k"])
+        sizes = done.groupBy(F.spark_partition_id()).count().collect()
+        keys = [r.k for r in done.collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert done.columns == ["k", "v"]
+    assert keys == sorted(keys) and len(keys) == 60_000
+    assert max(r["count"] for r in sizes) < 20_000
