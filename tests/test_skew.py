@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from labelweave.operators import (
     full_outer_merge,
     gather_lists,
+    join_on,
     largest_group,
     merge_by_key,
     natural_self_map,
@@ -169,3 +170,26 @@ def test_order_spreads_a_hot_key_and_copies(spark):
     assert done.columns == ["k", "v"]
     assert keys == sorted(keys) and len(keys) == 60_000
     assert max(r["count"] for r in sizes) < 20_000
+
+
+def test_join_splits_a_hot_key(spark):
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "40000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {k: spark.conf.get(k, None) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        key = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000)
+        texts = spark.range(0, 90_000, 1, 8).select(key.alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("t"))
+        meta = spark.range(5000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("m"))
+        joined = join_on(texts, meta, ["k"])
+        assert len(joined.collect()) == 90_000
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
