@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -30,25 +29,15 @@ def build_session(
     return builder.getOrCreate()
 
 
-# Temporary folders of local sessions that name no shared one, by application.
-_local_folders: dict[str, str] = {}
-
-
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder that every executor can reach.
 
-    It lies below ``spark.checkpoint.dir``. Only a local session without that
-    setting gets a temporary folder of its own; on a cluster a machine-local
-    path would lose data, so there it is an error.
+    It lies below ``spark.checkpoint.dir``, or below the session's warehouse, which
+    executors share as well, where that setting is absent.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        app = spark.sparkContext.applicationId
-        if app not in _local_folders:
-            _local_folders[app] = tempfile.mkdtemp(prefix="run-")
-        base = _local_folders[app]
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/working"
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

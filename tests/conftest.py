@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -17,6 +18,7 @@ def make_session(cores: int = 8):
         "spark.ui.enabled": "false",
         "spark.driver.memory": "8g",
         "spark.ui.showConsoleProgress": "false",
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="run-"),
     }
     session = build_session("labelweave-tests", f"local[{cores}]", **conf)
     session.sparkContext.setLogLevel("ERROR")
