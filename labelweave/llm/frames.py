@@ -31,11 +31,13 @@ def with_row_id(df: DataFrame) -> DataFrame:
     """``df`` and two long columns, ``rid_a`` and ``rid_b``, that together name a row.
 
     The id is the file and the row's place in it, the same in every evaluation. A
-    frame that is not a bare file scan is frozen first. Keys such as ``doc_id`` may
-    be null or repeated, so operators tell rows apart by this.
+    frame that is more than a file scan, filtered or projected, is frozen first. Keys
+    such as ``doc_id`` may be null or repeated, so operators tell rows apart by this.
     """
-    plan = df._jdf.queryExecution().analyzed().nodeName()
-    scan = df if plan.startswith("LogicalRelation") else frozen(df, "rows")
+    plan = df._jdf.queryExecution().analyzed()
+    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.children().head()
+    scan = df if plan.nodeName().startswith("LogicalRelation") else frozen(df, "rows")
     return scan.select(
         "*",
         F.xxhash64("_metadata.file_path").alias("rid_a"),

@@ -6,15 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, secrets, sharding
+from . import anchors, mixing, secrets, sharding
 from .frames import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pareto_mixing": lambda spark, sf: mixing.op1(documents(spark, sf)),
+    "op2_anchor_dedup": lambda spark, sf: anchors.op2(documents(spark, sf)),
     "op7_secret_scan": lambda spark, sf: secrets.op7(documents(spark, sf)),
     "op10_jump_sharding": lambda spark, sf: sharding.op10(documents(spark, sf)),
 }
 ORACLES: dict[str, str] = {
     "op1_pareto_mixing": mixing.OP1_SQL,
+    "op2_anchor_dedup": lambda spark, sf: anchors.op2(documents(spark, sf)),
     "op7_secret_scan": secrets.OP7_SQL,
 }
