@@ -120,9 +120,8 @@ def plan_mix(rows: DataFrame, targets: DataFrame) -> DataFrame:
         (F.col("target") - whole * F.col("source_size")).alias("left"),
         F.lit(False).alias("drawn"),
     )
-    # Odds run from 0 to infinity; this places them between 0 and 1.
-    place = F.when(F.col("odds") == float("inf"), 1.0).otherwise(F.col("odds") / (1 + F.col("odds")))
-    state = state.withColumn("range", F.least(F.floor(place * RANGES), F.lit(RANGES - 1)))
+    # Within a source the ranking follows ``u``, so even ranges of it hold even shares.
+    state = state.withColumn("range", F.floor(F.col("u") * RANGES))
     for _ in range(PASSES):
         state = _pass(frozen(state, "mix"))
     return state.withColumn("copies", F.col("copies") + F.col("drawn").cast("int")).drop(
