@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import anchors, minhash, mixing, secrets, sharding
-from .frames import documents
+from . import anchors, minhash, mixing, neighbours, secrets, sharding
+from .frames import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pareto_mixing": lambda spark, sf: mixing.op1(documents(spark, sf)),
     "op2_anchor_dedup": lambda spark, sf: anchors.op2(documents(spark, sf)),
+    "op6_neighbour_descent": lambda spark, sf: neighbours.op6(table(spark, sf, "embeddings")),
     "op7_secret_scan": lambda spark, sf: secrets.op7(documents(spark, sf)),
     "op9_minhash_near_dedup": lambda spark, sf: minhash.op9(documents(spark, sf)),
     "op10_jump_sharding": lambda spark, sf: sharding.op10(documents(spark, sf)),
@@ -20,5 +21,6 @@ ORACLES: dict[str, str] = {
     "op9_minhash_near_dedup": minhash.OP9_SQL,
     "op1_pareto_mixing": mixing.OP1_SQL,
     "op2_anchor_dedup": lambda spark, sf: anchors.op2(documents(spark, sf)),
+    "op6_neighbour_descent": lambda spark, sf: neighbours.op6(table(spark, sf, "embeddings")),
     "op7_secret_scan": secrets.OP7_SQL,
 }
