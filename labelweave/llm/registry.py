@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import anchors, minhash, mixing, neighbours, secrets, sharding
+from . import anchors, decontamination, minhash, mixing, neighbours, secrets, sharding
 from .frames import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -14,10 +14,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_anchor_dedup": lambda spark, sf: anchors.op2(documents(spark, sf)),
     "op6_neighbour_descent": lambda spark, sf: neighbours.op6(table(spark, sf, "embeddings")),
     "op7_secret_scan": lambda spark, sf: secrets.op7(documents(spark, sf)),
+    "op8_latent_decontamination": lambda spark, sf: decontamination.op8(
+        documents(spark, sf), table(spark, sf, "benchmark")
+    ),
     "op9_minhash_near_dedup": lambda spark, sf: minhash.op9(documents(spark, sf)),
     "op10_jump_sharding": lambda spark, sf: sharding.op10(documents(spark, sf)),
 }
 ORACLES: dict[str, str] = {
+    "op8_latent_decontamination": lambda spark, sf: decontamination.op8(
+        documents(spark, sf), table(spark, sf, "benchmark")
+    ),
     "op9_minhash_near_dedup": minhash.OP9_SQL,
     "op1_pareto_mixing": mixing.OP1_SQL,
     "op2_anchor_dedup": lambda spark, sf: anchors.op2(documents(spark, sf)),
