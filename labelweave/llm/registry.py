@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import anchors, decontamination, minhash, mixing, neighbours, secrets, sharding
+from . import anchors, decontamination, minhash, mixing, neighbours, secrets, sharding, toxicity
 from .frames import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pareto_mixing": lambda spark, sf: mixing.op1(documents(spark, sf)),
     "op2_anchor_dedup": lambda spark, sf: anchors.op2(documents(spark, sf)),
+    "op3_gated_toxicity": lambda spark, sf: toxicity.op3(
+        documents(spark, sf), table(spark, sf, "labels")
+    ),
     "op6_neighbour_descent": lambda spark, sf: neighbours.op6(table(spark, sf, "embeddings")),
     "op7_secret_scan": lambda spark, sf: secrets.op7(documents(spark, sf)),
     "op8_latent_decontamination": lambda spark, sf: decontamination.op8(
@@ -27,6 +30,9 @@ ORACLES: dict[str, str] = {
     "op9_minhash_near_dedup": minhash.OP9_SQL,
     "op1_pareto_mixing": mixing.OP1_SQL,
     "op2_anchor_dedup": lambda spark, sf: anchors.op2(documents(spark, sf)),
+    "op3_gated_toxicity": lambda spark, sf: toxicity.op3(
+        documents(spark, sf), table(spark, sf, "labels")
+    ),
     "op6_neighbour_descent": lambda spark, sf: neighbours.op6(table(spark, sf, "embeddings")),
     "op7_secret_scan": secrets.OP7_SQL,
 }
