@@ -9,10 +9,8 @@ A repeat of ``size`` words, wherever it lies, contains one whole block of
 3. extend: around each anchor all windows of ``size`` words that contain it are
    compared, and those that occur elsewhere are joined to maximal repeats.
 
-Nothing is paired: windows meet by fingerprint and are counted, so a passage that a
-third of all texts share costs one entry per task that read it. A probe carries 32
-bits beside the number of its partition; partitions grow in number with the input, so
-the rate of false anchors does not, and step 3 removes them with 64 bits.
+Nothing is paired: windows meet by fingerprint and are counted. Probes carry 32 bits
+beside the number of their partition, and step 3 removes false anchors with 64 bits.
 """
 
 from __future__ import annotations
@@ -25,315 +23,90 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import meeting
 from .frames import hidden, with_row_id
-from .packing import pack, unpack
 from .words import Hasher, covered
 
-U = np.uint64
 SIZE = 35
-# Windows gathered by a task before they are sorted and sent, and the windows that one
-# partition of fingerprints should hold.
-CHUNK = 1 << 20
-PER_PART = 1 << 22
-
-_PROBES = "part int, once binary, often binary, fp binary, doc binary, place binary, ids_a binary, ids_b binary"
-_RUNS = "rid_a long, rid_b long, start int, length int"
-
-
-def _texts(batches: Iterator[pa.RecordBatch], *more: str):
-    """(row id, text as bytes, further columns) of every row; null texts are empty."""
-    for batch in batches:
-        columns = [batch.column(c) for c in ("rid_a", "rid_b", "text", *more)]
-        for i in range(batch.num_rows):
-            a, b, text, *rest = (c[i] for c in columns)
-            yield (a.as_py(), b.as_py()), (text.as_py() or "").encode(), rest
-
-
-def _part_of(h: np.ndarray, parts: int) -> np.ndarray:
-    return ((h >> U(32)) * U(parts)) >> U(32)
-
-
-def _row(part, once, often, fp, doc, place, ids) -> dict:
-    return {
-        "part": int(part),
-        "once": pack(once),
-        "often": pack(often),
-        "fp": pack(fp),
-        "doc": pack(doc.astype(np.uint32)),
-        "place": pack(place.astype(np.uint32)),
-        "ids_a": pack(ids[:, 0]),
-        "ids_b": pack(ids[:, 1]),
-    }
-
-
-_ARROW = pa.schema(
-    [("part", pa.int32())]
-    + [(c, pa.binary()) for c in ("once", "often", "fp", "doc", "place", "ids_a", "ids_b")]
-)
-
-
-def _slices(parts: np.ndarray):
-    """(part, from, to) of each run of equal numbers in a sorted array."""
-    edges = np.flatnonzero(np.diff(parts, prepend=-1, append=-1).astype(bool))
-    for lo, hi in zip(edges[:-1], edges[1:], strict=True):
-        yield int(parts[lo]), lo, hi
-
-
-def _cut(values: np.ndarray, parts: np.ndarray, part: int) -> np.ndarray:
-    lo, hi = np.searchsorted(parts, [part, part + 1])
-    return values[lo:hi]
 
 
 def _probe(block: int, parts: int):
-    def flush(ids, windows, blocks):
-        h = np.concatenate(windows)
-        key = (_part_of(h, parts) << U(32)) | (h & U(0xFFFFFFFF))
-        key, n = np.unique(key, return_counts=True)
-        where, fp = (key >> U(32)).astype(np.int64), key.astype(np.uint32)
-        anchors = np.concatenate([b[0] for b in blocks])
-        doc = np.repeat(np.arange(len(blocks)), [len(b[0]) for b in blocks])
-        place = np.concatenate([np.arange(len(b[0])) for b in blocks])
-        home = _part_of(anchors, parts).astype(np.int64)
-        order = np.argsort(home, kind="stable")
-        home, anchors, doc, place = home[order], anchors[order], doc[order], place[order]
-        ids = np.array(ids, np.int64).reshape(-1, 2)
-        rows = []
-        for part, lo, hi in _slices(where):
-            single = n[lo:hi] == 1
-            rows.append(
-                _row(
-                    part,
-                    fp[lo:hi][single],
-                    fp[lo:hi][~single],
-                    _cut(anchors, home, part).astype(np.uint32),
-                    _cut(doc, home, part),
-                    _cut(place, home, part),
-                    ids,
-                )
-            )
-        return pa.RecordBatch.from_pylist(rows, _ARROW)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
-        ids, windows, blocks, held = [], [], [], 0
-        for rid, text, _ in _texts(batches):
+        ids, windows, held = [], [], 0
+
+        def flush():
+            blocks = [w[::block] for w in windows]
+            places = [np.arange(len(b)) for b in blocks]
+            return meeting.pack_probes(ids, windows, blocks, places, parts)
+
+        for rid, text, _ in meeting.texts(batches):
             rolling = hasher.windows(hasher.words(text), block)
             if not len(rolling):
                 continue
             ids.append(rid)
             windows.append(rolling)
-            blocks.append((rolling[::block],))
             held += len(rolling)
-            if held >= CHUNK:
-                yield flush(ids, windows, blocks)
-                ids, windows, blocks, held = [], [], [], 0
+            if held >= meeting.CHUNK:
+                yield flush()
+                ids, windows, held = [], [], 0
         if held:
-            yield flush(ids, windows, blocks)
-
-    return run
-
-
-def _by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
-    """The rows of one part at a time; rows come sorted by part."""
-    rows: list[dict] = []
-    for batch in batches:
-        for row in batch.to_pylist():
-            if rows and rows[0]["part"] != row["part"]:
-                yield rows
-                rows = []
-            rows.append(row)
-    if rows:
-        yield rows
-
-
-def _repeated(rows: list[dict], kind) -> np.ndarray:
-    """Sorted fingerprints that occur more than once in all."""
-    often = [unpack(r["often"], kind) for r in rows]
-    once = np.sort(np.concatenate([unpack(r["once"], kind) for r in rows]))
-    twice = once[1:][once[1:] == once[:-1]]
-    # A fingerprint may occur once in one task and often in another, and in either case
-    # it is repeated.
-    return np.unique(np.concatenate([twice, *often]))
-
-
-def _found(sorted_values: np.ndarray, values: np.ndarray) -> np.ndarray:
-    if not len(sorted_values):
-        return np.zeros(len(values), bool)
-    at = np.minimum(np.searchsorted(sorted_values, values), len(sorted_values) - 1)
-    return sorted_values[at] == values
-
-
-def _run_batch(ids, doc, start, length) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(ids[doc, 0]),
-            pa.array(ids[doc, 1]),
-            pa.array(start.astype(np.int32)),
-            pa.array(length.astype(np.int32)),
-        ],
-        names=["rid_a", "rid_b", "start", "length"],
-    )
-
-
-def _runs(doc: np.ndarray, place: np.ndarray):
-    """Consecutive places of a text as (doc, start, length)."""
-    if not len(doc):
-        return doc, place, place
-    fresh = np.flatnonzero(
-        (np.diff(doc, prepend=-1) != 0) | (np.diff(place, prepend=-2) != 1)
-    )
-    return doc[fresh], place[fresh], np.diff(np.append(fresh, len(doc)))
-
-
-def _hits(kind):
-    """The entries of each part's rows whose fingerprint is repeated, as runs."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _by_part(batches):
-            repeated = _repeated(rows, kind)
-            for r in rows:
-                hit = _found(repeated, unpack(r["fp"], kind))
-                doc = unpack(r["doc"], np.uint32).astype(np.int64)[hit]
-                place = unpack(r["place"], np.uint32).astype(np.int64)[hit]
-                ids = np.stack([unpack(r["ids_a"], np.int64), unpack(r["ids_b"], np.int64)], 1)
-                yield _run_batch(ids, *_runs(doc, place))
+            yield flush()
 
     return run
 
 
-def _lowest(values: np.ndarray, span: int) -> np.ndarray:
-    """The least of every ``span`` neighbours."""
-    out, width = values, 1
-    while width < span:
-        step = min(width, span - width)
-        out = np.minimum(out[: len(out) - step], out[step:])
-        width += step
-    return out
-
-
 def _extend(size: int, block: int, parts: int):
     """Windows of ``size`` words around anchors, sent by their least inner fingerprint,
-    so that neighbours mostly travel together. Windows that repeat within the task go
-    as one entry for others to meet, and their places as such."""
-
-    def flush(ids, hashes, homes, docs, places):
-        h, home = np.concatenate(hashes), np.concatenate(homes)
-        doc, place = np.concatenate(docs), np.concatenate(places)
-        ids = np.array(ids, np.int64).reshape(-1, 2)
-        values, back, n = np.unique(h, return_inverse=True, return_counts=True)
-        single = n[back] == 1
-        value_home = np.zeros(len(values), np.int64)
-        value_home[back] = home
-        many = np.flatnonzero(n > 1)
-        many = many[np.argsort(value_home[many], kind="stable")]
-        often, often_home = values[many], value_home[many]
-        order = np.argsort(home, kind="stable")
-        rows = []
-        for part, lo, hi in _slices(home[order]):
-            mine = order[lo:hi]
-            known = mine[~single[mine]]
-            mine = mine[single[mine]]
-            row = _row(
-                part,
-                h[mine],
-                _cut(often, often_home, part),
-                h[mine],
-                doc[mine],
-                place[mine],
-                ids,
-            )
-            # ``once`` would repeat ``fp``; it holds the places known to repeat instead.
-            d, s, n_run = _runs(doc[known], place[known])
-            row["once"] = pack(np.concatenate([d, s, n_run]).astype(np.uint32))
-            rows.append(row)
-        return pa.RecordBatch.from_pylist(rows, _ARROW)
+    so that neighbours mostly travel together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
-        ids, hashes, homes, docs, places, held = [], [], [], [], [], 0
-        for rid, text, (anchors,) in _texts(batches, "anchors"):
+        ids, hashes, homes, places, held = [], [], [], [], 0
+        for rid, text, (anchors,) in meeting.texts(batches, "anchors"):
             spans = anchors.as_py()
             if not spans:
                 continue
             words = hasher.words(text)
             whole = hasher.windows(words, size)
-            if not len(whole):
-                continue
             hot = np.zeros(len(words) // block + 2, bool)
-            for s in spans:
-                hot[s["start"] : s["start"] + s["length"]] = True
+            hot[meeting.expand(spans)] = True
             at = np.arange(len(whole))
             place = at[hot[(at + block - 1) // block]]
             if not len(place):
                 continue
-            least = _lowest(hasher.windows(words, block), size - block + 1)
+            least, _ = meeting.lowest(hasher.windows(words, block), size - block + 1)
+            ids.append(rid)
             hashes.append(whole[place])
-            homes.append(_part_of(least[place], parts).astype(np.int64))
-            docs.append(np.full(len(place), len(ids)))
+            homes.append(meeting.part_of(least[place], parts))
             places.append(place)
-            ids.append(rid)
             held += len(place)
-            if held >= CHUNK:
-                yield flush(ids, hashes, homes, docs, places)
-                ids, hashes, homes, docs, places, held = [], [], [], [], [], 0
+            if held >= meeting.CHUNK:
+                yield meeting.pack_windows(ids, hashes, homes, places)
+                ids, hashes, homes, places, held = [], [], [], [], 0
         if held:
-            yield flush(ids, hashes, homes, docs, places)
+            yield meeting.pack_windows(ids, hashes, homes, places)
 
     return run
 
 
-def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of window starts whose words also start elsewhere."""
-    for rows in _by_part(batches):
-        singles = np.sort(np.concatenate([unpack(r["fp"], U) for r in rows]))
-        repeated = np.unique(
-            np.concatenate(
-                [singles[1:][singles[1:] == singles[:-1]], *[unpack(r["often"], U) for r in rows]]
-            )
-        )
-        for r in rows:
-            ids = np.stack([unpack(r["ids_a"], np.int64), unpack(r["ids_b"], np.int64)], 1)
-            doc, start, length = unpack(r["once"], np.uint32).astype(np.int64).reshape(3, -1)
-            yield _run_batch(ids, doc, start, length)
-            hit = _found(repeated, unpack(r["fp"], U))
-            doc = unpack(r["doc"], np.uint32).astype(np.int64)[hit]
-            place = unpack(r["place"], np.uint32).astype(np.int64)[hit]
-            yield _run_batch(ids, *_runs(doc, place))
-
-
-def _gathered(runs: DataFrame, name: str) -> DataFrame:
-    """A row per text: its runs. A text's runs are bounded by its length."""
-    return runs.groupBy("rid_a", "rid_b").agg(
-        F.collect_list(F.struct("start", "length")).alias(name)
-    ).withColumnsRenamed({"rid_a": "_a", "rid_b": "_b"})
-
-
 def repeats(rows: DataFrame, size: int = SIZE) -> DataFrame:
     """``rows`` (rid_a, rid_b, text, ...) with ``repeats``: the runs (start, length) of
     places where a window of ``size`` words starts that also starts elsewhere. Null
     where there is none."""
     if size < 2:
         raise ValueError("a repeat has at least two words")
-    spark = rows.sparkSession
     block = (size + 1) // 2
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(2 * tasks, total // (6 * PER_PART))
-    tasks = max(tasks, parts // 4)
-    same = (F.col("rid_a") == F.col("_a")) & (F.col("rid_b") == F.col("_b"))
-
-    def by_part(df):
-        return df.repartition(tasks, "part").sortWithinPartitions("part")
-
+    parts, tasks = meeting.plan_parts(rows)
     texts = rows.select("rid_a", "rid_b", "text")
-    probes = by_part(texts.mapInArrow(_probe(block, parts), _PROBES))
-    anchors = _gathered(probes.mapInArrow(_hits(np.uint32), _RUNS), "anchors")
+    probes = meeting.by_part(texts.mapInArrow(_probe(block, parts), meeting.PACKED), tasks)
+    anchors = meeting.gathered(probes.mapInArrow(meeting.hits, meeting.RUNS), "anchors")
     # All columns go along, so that both joins with the texts share one exchange.
-    near = rows.join(anchors, same, "left").drop("_a", "_b")
+    near = rows.join(anchors, meeting.same_row(), "left").drop("_a", "_b")
     near = near.sortWithinPartitions("rid_a", "rid_b")
-    windows = by_part(near.mapInArrow(_extend(size, block, parts), _PROBES))
-    found = _gathered(windows.mapInArrow(_confirm, _RUNS), "repeats")
-    return rows.join(found, same, "left").drop("_a", "_b")
+    windows = meeting.by_part(near.mapInArrow(_extend(size, block, parts), meeting.PACKED), tasks)
+    found = meeting.gathered(windows.mapInArrow(meeting.confirm, meeting.RUNS), "repeats")
+    return rows.join(found, meeting.same_row(), "left").drop("_a", "_b")
 
 
 def _kept(size: int, digest: bool, name: str, extra: str):
@@ -347,10 +120,7 @@ def _kept(size: int, digest: bool, name: str, extra: str):
                 words = (texts[i].as_py() or "").encode().split()
                 spans = runs[i].as_py() or []
                 if spans:
-                    starts = np.concatenate(
-                        [np.arange(s["start"], s["start"] + s["length"]) for s in spans]
-                    )
-                    drop = covered(len(words), starts, size)
+                    drop = covered(len(words), meeting.expand(spans), size)
                     kept = b" ".join(w for w, d in zip(words, drop.tolist(), strict=True) if not d)
                     gone.append(int(drop.sum()))
                 else:

@@ -10,8 +10,8 @@ group of edited copies is the one they were made from.
 Texts with equal sets are one node throughout, and links are confirmed on full sets.
 Members of a bucket that the stars leave in different components are compared with one
 another in blocks of bounded size, inside tasks that give out only links that join
-components. So no link is lost but to banding: a pair at the threshold misses all bands
-with a probability below 1e-6.
+components. So no link is lost but to banding: bands are as long as keeps the chance
+that a pair at the threshold agrees in none below ``MISS``.
 """
 
 from __future__ import annotations
@@ -28,8 +28,9 @@ from .components import components
 from .frames import frozen, with_row_id
 from .words import MIX_A, MIX_B, U, Hasher, mix
 
-ROWS, BANDS = 7, 36
-BINS = ROWS * BANDS
+BINS = 252
+# Most chance that banding misses a pair at the threshold.
+MISS = 1e-6
 # Bins that agree, below which a pair cannot plausibly reach the threshold: five
 # standard deviations of the estimate.
 SLACK = 5.0
@@ -77,17 +78,27 @@ def signature(values: np.ndarray) -> np.ndarray:
     return out
 
 
-def band_keys(sig: np.ndarray) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        weights = mix(np.arange(1, ROWS + 1, dtype=U) * MIX_A)
-        sums = (sig.reshape(BANDS, ROWS) * weights).sum(axis=1, dtype=U)
-        return mix(sums + np.arange(BANDS, dtype=U) * MIX_B)
+def band_rows(percent: int) -> int:
+    """Bins per band for a threshold."""
+    share = percent / 100
+    fine = [r for r in range(1, 17) if (1 - share**r) ** (BINS // r) <= MISS]
+    return max(fine, default=1)
+
+
+def bands_of(sig: np.ndarray, rows: int) -> np.ndarray:
+    return sig[: BINS // rows * rows].reshape(-1, rows)
+
+
+def band_keys(sig: np.ndarray, rows: int) -> np.ndarray:
+    weights = mix(np.arange(1, rows + 1, dtype=U) * MIX_A)
+    sums = (bands_of(sig, rows) * weights).sum(axis=1, dtype=U)
+    return mix(sums + np.arange(len(sums), dtype=U) * MIX_B)
 
 
 _SIGNED = "rid_a long, rid_b long, doc_id long, n_shingles long, node binary, bands array<long>"
 
 
-def _sign(size: int):
+def _sign(size: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         for batch in batches:
@@ -97,7 +108,7 @@ def _sign(size: int):
                 count.append(len(values))
                 if len(values):
                     nodes.append(hashlib.blake2b(values.tobytes(), digest_size=16).digest())
-                    bands.append(band_keys(signature(values)).view(np.int64))
+                    bands.append(band_keys(signature(values), rows).view(np.int64))
                 else:
                     nodes.append(None)
                     bands.append(None)
@@ -164,7 +175,7 @@ def _groups(batches: Iterator[pa.RecordBatch]):
 
 def _compare(size: int, percent: int):
     """Links between members of a block pair that join components not yet joined."""
-    share = percent / 100
+    share, per_band = percent / 100, band_rows(percent)
     floor = BINS * share - SLACK * np.sqrt(BINS * share * (1 - share))
 
     def links(rows, hasher):
@@ -193,8 +204,8 @@ def _compare(size: int, percent: int):
                 if group[b] == group[a]:
                     continue
                 # A pair that meets in several buckets is compared in the first.
-                same = (full[a] == full[b]).reshape(BANDS, ROWS).all(axis=1)
-                if band_keys(full[a]).view(np.int64)[int(np.argmax(same))] != mine:
+                same = bands_of(full[a] == full[b], per_band).all(axis=1)
+                if band_keys(full[a], per_band).view(np.int64)[int(np.argmax(same))] != mine:
                     continue
                 if _similar(sets[a], sets[b], percent):
                     group[group == group[b]] = group[a]
@@ -230,7 +241,7 @@ def near_duplicates(
     rows = with_row_id(df).select(
         "rid_a", "rid_b", F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")
     )
-    signed = frozen(rows.mapInArrow(_sign(size), _SIGNED), "signed")
+    signed = frozen(rows.mapInArrow(_sign(size, band_rows(percent)), _SIGNED), "signed")
     nodes = frozen(
         signed.filter("node is not null")
         .groupBy("node")

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import anchors, decontamination, minhash, mixing, neighbours, secrets, sharding, toxicity
+from . import anchors, decontamination, minhash, mixing, neighbours, pages, secrets, sharding, suffixes, toxicity
 from .frames import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -15,6 +16,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_gated_toxicity": lambda spark, sf: toxicity.op3(
         documents(spark, sf), table(spark, sf, "labels")
     ),
+    "op4_tree_extraction": lambda spark, sf: pages.op4(table(spark, sf, "pages")),
+    "op5_sparse_suffixes": lambda spark, sf: suffixes.op5(documents(spark, sf)),
     "op6_neighbour_descent": lambda spark, sf: neighbours.op6(table(spark, sf, "embeddings")),
     "op7_secret_scan": lambda spark, sf: secrets.op7(documents(spark, sf)),
     "op8_latent_decontamination": lambda spark, sf: decontamination.op8(
@@ -23,6 +26,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_minhash_near_dedup": lambda spark, sf: minhash.op9(documents(spark, sf)),
     "op10_jump_sharding": lambda spark, sf: sharding.op10(documents(spark, sf)),
 }
+QUERIES["pipeline"] = corpus_pipeline.run
+
 ORACLES: dict[str, str] = {
     "op8_latent_decontamination": lambda spark, sf: decontamination.op8(
         documents(spark, sf), table(spark, sf, "benchmark")
@@ -33,6 +38,10 @@ ORACLES: dict[str, str] = {
     "op3_gated_toxicity": lambda spark, sf: toxicity.op3(
         documents(spark, sf), table(spark, sf, "labels")
     ),
+    "op4_tree_extraction": lambda spark, sf: pages.op4(table(spark, sf, "pages")),
+    "op5_sparse_suffixes": lambda spark, sf: suffixes.op5(documents(spark, sf)),
     "op6_neighbour_descent": lambda spark, sf: neighbours.op6(table(spark, sf, "embeddings")),
     "op7_secret_scan": secrets.OP7_SQL,
 }
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
