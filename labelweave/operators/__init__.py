@@ -1,6 +1,6 @@
 """Relational operators: pivots, merges, joins, grouping."""
 
-from .grouping import count_non_null, gather_lists, largest_group, means, sorted_registry
+from .grouping import count_non_null, gather_lists, means, sorted_registry
 from .merging import (
     append_by_name,
     append_by_position,
@@ -33,7 +33,6 @@ __all__ = [
     "join_on",
     "keep_arity",
     "keep_parseable",
-    "largest_group",
     "long_to_wide",
     "map_batches",
     "means",

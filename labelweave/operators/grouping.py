@@ -6,40 +6,70 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..columns import col, cols
 
-# A list of this many items is still a comfortable single cell.
-MAX_ITEMS = 1_000_000
-# Hot keys are sent as (8-byte hash, 4-byte count): 1 M of them is some 16 MB.
-MAX_BROADCAST_KEYS = 1_000_000
+# Items of one output row: a layout of the result, the same rule for every group.
+ITEMS_PER_PART = 1_000_000
+# A key with more rows than this is ranked in several ranges, about so many.
+RANGE_ROWS, RANGES = 1_000_000, 256
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Upper bound of the largest group's size.
-
-    Reads only the key columns and shuffles one hash and count per group and
-    task. A hash collision can only raise the answer.
-    """
-    sizes = df.groupBy(F.xxhash64(*cols(keys)).alias("h")).agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.max("n")).first()[0] or 0
-
-
-def _joined_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _joined_null_safe(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner"
+) -> DataFrame:
     renamed = right.select(
         *[col(k).alias(f"_r{i}") for i, k in enumerate(keys)],
         *[col(c) for c in right.columns if c not in keys],
     )
     on = [col(k).eqNullSafe(F.col(f"_r{i}")) for i, k in enumerate(keys)]
-    return left.join(renamed, on).drop(*[f"_r{i}" for i in range(len(keys))])
+    return left.join(renamed, on, how).drop(*[f"_r{i}" for i in range(len(keys))])
 
 
-def _field(name: str):
-    return lambda item: item[name]
+def _ranked(
+    rows: DataFrame, keys: Sequence[str], order: Sequence[str], range_rows: int
+) -> DataFrame:
+    """Add ``_rank``: the row's place within its key, from 0.
+
+    A key with very many rows is cut into ranges of the order at rows that a hash of
+    the row picks, so every evaluation cuts alike. Ranges are ranked on their own and
+    start where the ones before end.
+    """
+    place = F.struct(*cols(order))
+    step = F.ceil(F.col("_n") / RANGES)
+    hot = rows.groupBy(*cols(keys)).agg(F.count(F.lit(1)).alias("_n")).filter(
+        F.col("_n") > range_rows
+    )
+    marks = (
+        _joined_null_safe(rows, hot, keys)
+        .filter(F.pmod(F.xxhash64(*cols(order)), step) == 0)
+        .groupBy(*cols(keys))
+        .agg(F.sort_array(F.collect_set(place)).alias("_marks"))
+    )
+    below = F.size(F.filter("_marks", lambda mark: mark <= place))
+    cut = F.when(F.col("_marks").isNull(), F.lit(0)).otherwise(below)
+    placed = _joined_null_safe(rows, marks, keys, "left").withColumn("_range", cut)
+    within = Window.partitionBy(*cols(keys), "_range").orderBy(*cols(order))
+    before = Window.partitionBy(*cols(keys)).orderBy("_range")
+    starts = (
+        placed.filter(F.col("_marks").isNotNull())
+        .groupBy(*cols(keys), "_range")
+        .agg(F.count(F.lit(1)).alias("_size"))
+        .select(
+            *cols(keys),
+            "_range",
+            F.sum("_size").over(before.rowsBetween(Window.unboundedPreceding, -1)).alias("_start"),
+        )
+    )
+    numbered = placed.drop("_marks").withColumn("_row", F.row_number().over(within))
+    joined = _joined_null_safe(numbered, starts, [*keys, "_range"], "left")
+    rank = F.coalesce("_start", F.lit(0)) + F.col("_row") - 1
+    return joined.withColumn("_rank", rank).drop("_start", "_row", "_range")
 
 
-def _repeated(name: str):
-    return lambda item: F.array_repeat(item["_item"][name], item["_times"])
+def _field(name: str):
+    return lambda item: item[name]
 
 
 def gather_lists(
@@ -48,83 +78,39 @@ def gather_lists(
     lists: Mapping[str, str],
     order_by: Sequence[str],
     aggs: Iterable[Column] = (),
-    max_items: int = MAX_ITEMS,
-    size_bound: int | None = None,
+    items_per_part: int = ITEMS_PER_PART,
+    range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
     """Group rows and collect columns into lists aligned with one another.
 
-    ``lists`` maps output name to input column. Nulls keep their place, and all
-    lists of a group are ordered by ``order_by``. ``aggs`` are further
-    aggregates over the whole group.
+    ``lists`` maps output name to input column. Nulls keep their place. The rows of a
+    key are ranked by ``order_by`` (then by the listed values) and every
+    ``items_per_part`` of them make one row of the result, numbered by ``part`` from 0;
+    the parts of a key, put together, are its whole lists in order. ``aggs`` are further
+    aggregates over the whole key; they stand on part 0 and are null on others, so that
+    nothing is counted twice.
 
-    No task ever collects more than about ``max_items`` rows of one key. When
-    the largest group is within that, each key gives one row. Otherwise a key
-    with more rows is continued on further rows: same key and aggregates, the
-    next part of the lists. Nothing is dropped. ``size_bound`` is a known upper
-    bound of the largest group; without it one narrow pass measures it.
+    No job runs when the frame is built, and one rule holds for every size: a task
+    collects at most ``items_per_part`` rows of a key. ``range_rows`` decides how the
+    ranking is spread over tasks, and has no effect on the result.
     """
     aggs = list(aggs)
-    bound = largest_group(df, keys) if size_bound is None else size_bound
-    order = [col(o).alias(f"o{i}") for i, o in enumerate(order_by)]
-    values = [col(v).alias(f"v{i}") for i, v in enumerate(lists.values())]
-
-    if bound <= max_items:
-        items = F.sort_array(F.collect_list(F.struct(*order, *values)))
-        grouped = df.groupBy(*cols(keys)).agg(items.alias("_items"), *aggs)
-        rest = [c for c in grouped.columns if c not in keys and c != "_items"]
-        return grouped.select(
-            *cols(keys),
-            *[F.transform("_items", _field(f"v{i}")).alias(name) for i, name in enumerate(lists)],
-            *cols(rest),
-        )
-    return _gather_in_parts(df, keys, lists, order, values, aggs, max_items)
-
-
-def _gather_in_parts(df, keys, lists, order, values, aggs, max_items) -> DataFrame:
-    hashed = F.xxhash64(*cols(keys)).alias("_h")
-    per_part = max(1, max_items // 2)
-    chunk = max(1, max_items // 4)
-    hot = (
-        df.groupBy(hashed)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") > max_items)
-        .select("_h", F.ceil(F.col("n") / per_part).cast("int").alias("_parts"))
-    )
-    item = F.struct(*order, *values).alias("_item")
-    rows = df.select(*cols(keys), item, hashed)
-    if largest_group(rows, [*keys, "_item"]) <= chunk:
-        times = rows.select("*", F.lit(0).alias("_chunk"), F.lit(1).alias("_times"))
-    else:
-        # Copies of one row all hash alike: count them first, then cut the count
-        # into chunks that can be spread.
-        copies = rows.groupBy(*cols(rows.columns)).agg(F.count(F.lit(1)).alias("_copies"))
-        chunks = F.sequence(F.lit(0), F.expr(f"(_copies - 1) div {chunk}"))
-        left = F.col("_copies") - F.col("_chunk") * chunk
-        times = copies.withColumn("_chunk", F.explode(chunks)).withColumn(
-            "_times", F.least(F.lit(chunk), left).cast("int")
-        )
-    if hot.count() <= MAX_BROADCAST_KEYS:
-        hot = F.broadcast(hot)
-    spread = times.join(hot, "_h", "left").withColumn(
-        "_part",
-        F.when(F.col("_parts").isNull(), F.lit(0)).otherwise(
-            F.pmod(F.xxhash64("_item", "_chunk"), F.col("_parts")).cast("int")
-        ),
-    )
-    parts = (
-        spread.groupBy(*cols(keys), "_part")
-        .agg(F.sort_array(F.collect_list(F.struct("_item", "_times"))).alias("_items"))
-        .select(
-            *cols(keys),
-            *[
-                F.flatten(F.transform("_items", _repeated(f"v{i}"))).alias(name)
-                for i, name in enumerate(lists)
-            ],
-        )
+    order = {f"_o{i}": o for i, o in enumerate(order_by)}
+    values = {f"_v{i}": v for i, v in enumerate(lists.values())}
+    rows = df.select(*cols(keys), *[col(v).alias(n) for n, v in {**order, **values}.items()])
+    ranked = _ranked(rows, keys, [*order, *values], range_rows)
+    part = F.floor(F.col("_rank") / items_per_part).cast("int")
+    items = F.sort_array(F.collect_list(F.struct("_rank", *values)))
+    grouped = ranked.groupBy(*cols(keys), part.alias("part")).agg(items.alias("_items"))
+    parts = grouped.select(
+        *cols(keys),
+        "part",
+        *[F.transform("_items", _field(v)).alias(n) for n, v in zip(lists, values, strict=True)],
     )
     if not aggs:
         return parts
-    return _joined_null_safe(parts, df.groupBy(*cols(keys)).agg(*aggs), keys)
+    whole = df.groupBy(*cols(keys)).agg(*aggs).withColumn("part", F.lit(0))
+    return _joined_null_safe(parts, whole, [*keys, "part"], "left")
 
 
 def count_non_null(df: DataFrame, keys: Sequence[str], columns: Iterable[str]) -> DataFrame:

@@ -3,18 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from ..columns import col, cols
 from ..session import ensure_checkpoint_dir
 
-# One offset row is a path and two numbers; this many stay well below 32 MB.
-MAX_BROADCAST_BLOCKS = 100_000
-
 
 def append_by_position(target: DataFrame, source: DataFrame) -> DataFrame:
     """Append rows, matching columns by position and casting to the target's types."""
@@ -109,8 +105,9 @@ def with_row_position(scan: DataFrame, name: str = "_pos", parquet: bool = False
     Call it on the scan itself. Parquet rows know their index in the file. For
     other formats the scan is checkpointed with a running id first, so that the
     row counts and the numbering come from the very same rows even if tasks
-    are run again. There is no single-task window; the driver sees one count
-    per file block.
+    are run again. Rows are not gathered: a file is a row of the only window over
+    everything, a block a row of the windows within files, and nothing goes through
+    the driver.
     """
     path = F.col("_metadata.file_path").alias("_path")
     start = F.col("_metadata.file_block_start").alias("_start")
@@ -125,34 +122,20 @@ def with_row_position(scan: DataFrame, name: str = "_pos", parquet: bool = False
             "*", path, start, F.monotonically_increasing_id().alias("_row")
         ).checkpoint()
         first = F.min("_row")
-    blocks = (
-        located.groupBy("_path", "_start")
-        .agg(F.count(F.lit(1)).alias("n"), first.alias("first"))
-        .orderBy("_path", "_start")
-        .collect()
+    # Blocks start where those before them in their file end, files where files end.
+    blocks = located.groupBy("_path", "_start").agg(F.count(F.lit(1)).alias("_n"), first.alias("_first"))
+    files = blocks.groupBy("_path").agg(F.sum("_n").alias("_rows"))
+    preceding = (Window.unboundedPreceding, -1)
+    by_file = Window.orderBy("_path").rowsBetween(*preceding)
+    in_file = Window.partitionBy("_path").orderBy("_start").rowsBetween(*preceding)
+    shift = F.coalesce("_before", F.lit(0)) + F.coalesce("_inside", F.lit(0)) - F.col("_first")
+    shifts = (
+        blocks.withColumn("_inside", F.sum("_n").over(in_file))
+        .join(files.select("_path", F.sum("_rows").over(by_file).alias("_before")), "_path")
+        .select("_path", "_start", shift.alias("_shift"))
     )
-    begins = accumulate((b["n"] for b in blocks), initial=0)
-    shifts = [(b["_path"], b["_start"], s - b["first"]) for b, s in zip(blocks, begins)]
-    if len(shifts) <= 1:
-        shift = shifts[0][2] if shifts else 0
-        placed = located.withColumn(name, F.col("_row") + F.lit(shift).cast("long"))
-    else:
-        table = scan.sparkSession.createDataFrame(
-            shifts,
-            T.StructType(
-                [
-                    T.StructField("_path", T.StringType()),
-                    T.StructField("_start", T.LongType()),
-                    T.StructField("_shift", T.LongType()),
-                ]
-            ),
-        )
-        if len(shifts) <= MAX_BROADCAST_BLOCKS:
-            table = F.broadcast(table)
-        placed = located.join(table, ["_path", "_start"]).withColumn(
-            name, F.col("_row") + F.col("_shift")
-        )
-    return placed.select(*cols(scan.columns), name)
+    placed = located.join(shifts, ["_path", "_start"])
+    return placed.select(*cols(scan.columns), (F.col("_row") + F.col("_shift")).alias(name))
 
 
 def positional_join(

@@ -11,7 +11,6 @@ from ..functions import as_flag, null_to, project, title_case
 from ..operators import (
     full_outer_merge,
     gather_lists,
-    largest_group,
     long_to_wide,
     pivot_any_value,
     pivot_mean,
@@ -128,8 +127,6 @@ def _emoint_read(spark: SparkSession, folder: str) -> Raws:
 def _emoint_build(raws: Raws, **gather_options) -> DataFrame:
     ratings = raws["ratings"].select("id", "text", "emotion", "intensity")
     wide = pivot_sum(ratings, "emotion", INTENSITY_LABELS, "intensity")
-    # A text has at most as many ids as raw rows, and those are cheap to count.
-    gather_options.setdefault("size_bound", largest_group(ratings, ["text"]))
     return gather_lists(
         wide,
         keys=["text"],
@@ -137,7 +134,7 @@ def _emoint_build(raws: Raws, **gather_options) -> DataFrame:
         order_by=["id"],
         aggs=[F.avg(col(n)).alias(n) for n in INTENSITY_LABELS],
         **gather_options,
-    ).select("ids", "text", *INTENSITY_LABELS)
+    ).select("ids", "text", "part", *INTENSITY_LABELS)
 
 
 register(

@@ -82,13 +82,25 @@ def _stimulus_read(spark: SparkSession, folder: str) -> Raws:
 
 
 def _stimulus_build(raws: Raws, strict: bool = False) -> DataFrame:
-    """Lines are matched as read, so the costly clean-up runs once, on matches."""
+    """Cause tags go first, as they may lie outside the emotion's; then each line is
+    matched once and the parts are cut from the match."""
     lines = append_by_name(
         *[raws[n].select("value") for n in ("with_cause", "without_cause")]
+    ).select(drop_inline_tag(col("value"), STIMULUS_CAUSE).alias("value"))
+    match = F.regexp_extract(col("value"), STIMULUS_LINE, 0)
+    if strict:
+        error = F.raise_error(F.concat(F.lit("line does not match: "), col("value")))
+        match = F.when(col("value").isNotNull() & (match == ""), error).otherwise(match)
+    matched = lines.select(match.alias("match")).filter(F.col("match") != "")
+    # The emotion ends at the first ">", the text at the last closing tag.
+    head = matched.select("match", F.substring_index("match", ">", 1).alias("head"))
+    body = head.select(
+        F.substring_index("head", "<", -1).alias("emotion"),
+        F.substr("match", F.char_length("head") + 2).alias("rest"),
     )
-    matched = regex_records(lines, STIMULUS_LINE, ("emotion", "text"), strict=strict)
-    spaced = matched.select(
-        collapse_punctuation(drop_inline_tag(col("text"), STIMULUS_CAUSE)).alias("text"),
+    closing = F.char_length(F.substring_index("rest", "<\\", -1)) + 2
+    spaced = body.select(
+        collapse_punctuation(F.left("rest", F.char_length("rest") - closing)).alias("text"),
         strip_text(col("emotion")).alias("emotion"),
     )
     plain = spaced.select(html_unescape(col("text")).alias("text"), "emotion")
@@ -209,7 +221,7 @@ def _isear_build(raws: Raws) -> DataFrame:
         "text",
         *[null_to(col(label), False).alias(label) for label in ISEAR_LABELS],
     )
-    return ordered(filled, ["id"])
+    return filled  # the writer orders it, see ``order_by``
 
 
 register(

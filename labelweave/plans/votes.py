@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from ..columns import col
 from ..functions import map_codes, pair_votes, project, split_item, vote_counts
-from ..operators import append_by_name, gather_lists, largest_group, natural_self_map, pivot_presence
+from ..operators import append_by_name, gather_lists, natural_self_map, pivot_presence
 from ..sources import Dialect, read_delimited, read_json_records, with_path_parts
 from ..sources.delimited import as_schema
 from .base import Corpus, CorpusInfo, Raws, register
@@ -55,17 +55,16 @@ EMOTION_QUESTION = (
 AROUSAL_QUESTION = (
     "fontcolorolivetweetertweetfontbrq5howstronglyistheemotionbeingexpressedinthistweet"
 )
-VALENCE_QUESTION = (
-    "q4ifwhenansweringq2youhavechosenanemotionfromtheotheremotionscategory"
-    "orifyouansweredq{}thenpleasetellusiftheemotioninthistweetispositivenegativeorneither"
-)
-BATCH_VALENCE_DIGIT = {"Batch1": "4", "Batch2": "3"}
+VALENCE_QUESTIONS = {
+    "Batch1": "q4ifwhenansweringq2youhavechosenanemotionfromtheotheremotionscategoryorifyouansweredq4thenpleasetellusiftheemotioninthistweetispositivenegativeorneither",
+    "Batch2": "q4ifwhenansweringq2youhavechosenanemotionfromtheotheremotionscategoryorifyouansweredq3thenpleasetellusiftheemotioninthistweetispositivenegativeorneither",
+}
 UNANSWERED = "BLANK"
 
 
 def _electoral_read(spark: SparkSession, folder: str) -> Raws:
     raws = {}
-    for batch, digit in BATCH_VALENCE_DIGIT.items():
+    for batch, valence in VALENCE_QUESTIONS.items():
         path = f"{folder}/{batch}/AnnotatedTweets.txt"
         dialect = Dialect(sep="\t", null_token=UNANSWERED)
         header = spark.read.options(**dialect.options()).csv(path).columns
@@ -78,21 +77,16 @@ def _electoral_read(spark: SparkSession, folder: str) -> Raws:
                 "annotator_trust": "trust",
                 "text": "tweet",
                 "emotion": EMOTION_QUESTION,
-                "valence": VALENCE_QUESTION.format(digit),
+                "valence": valence,
                 "arousal": AROUSAL_QUESTION,
             },
         )
     return raws
 
 
-def _electoral_build(raws: Raws, natural_join: bool = False, **gather_options) -> DataFrame:
-    """One row per text: aligned lists of its annotations, votes per emotion.
-
-    The answer codes are mapped in place. ``natural_join`` maps them through a
-    self-join on the annotation id instead, which repeats rows where an id does.
-    """
-    answers = append_by_name(*[raws[b] for b in BATCH_VALENCE_DIGIT])
-    gather_options.setdefault("size_bound", largest_group(answers, ["text"]))
+def _electoral_build(raws: Raws, **gather_options) -> DataFrame:
+    """Aligned lists of each text's annotations, votes per emotion on part 0."""
+    answers = append_by_name(*[raws[b] for b in VALENCE_QUESTIONS])
     wide = pivot_presence(answers, "emotion", ELECTORAL_LABELS)
     mapped = natural_self_map(
         wide,
@@ -101,7 +95,6 @@ def _electoral_build(raws: Raws, natural_join: bool = False, **gather_options) -
             "_valence": map_codes(col("valence"), VALENCE_CODES),
             "_arousal": map_codes(col("arousal"), AROUSAL_CODES),
         },
-        as_join=natural_join,
     )
     return gather_lists(
         mapped,
@@ -116,7 +109,7 @@ def _electoral_build(raws: Raws, natural_join: bool = False, **gather_options) -
         aggs=[F.count(col(n)).alias(n) for n in ELECTORAL_LABELS],
         **gather_options,
     ).select(
-        "ids", "annotator_trusts", "text", "valence", "arousal", *[col(n) for n in ELECTORAL_LABELS]
+        "ids", "annotator_trusts", "text", "part", "valence", "arousal", *[col(n) for n in ELECTORAL_LABELS]
     )
 
 

@@ -80,3 +80,20 @@ USER_TEXT_SQL = "'user ' || CAST(user_id AS VARCHAR) || ' ' || event_type"
 
 def user_text() -> Column:
     return F.concat(F.lit("user "), F.col("user_id").cast("string"), F.lit(" "), F.col("event_type"))
+
+
+def sql_gathered(
+    rows: str, key: str, order: str, lists: dict[str, str], aggs: dict[str, str], items: int
+) -> str:
+    """Aligned lists in parts of ``items``, aggregates on part 0."""
+    gathered = ", ".join(f"ARRAY_AGG({v} ORDER BY {order}) AS {n}" for n, v in lists.items())
+    sums = ", ".join(f'{v} AS "{n}"' for n, v in aggs.items())
+    names = ", ".join([*lists, *(f'a."{n}"' for n in aggs)])
+    return (
+        f"WITH r AS ({rows}), k AS (SELECT *, CAST((row_number() OVER (PARTITION BY {key} ORDER BY {order}) "
+        f"- 1) // {items} AS INTEGER) AS part FROM r), "
+        f"p AS (SELECT {key}, part, {gathered} FROM k GROUP BY {key}, part), "
+        f"a AS (SELECT {key}, 0 AS part, {sums} FROM r GROUP BY {key}) "
+        f"SELECT p.{key}, p.part, {names} FROM p LEFT JOIN a "
+        f"ON p.{key} IS NOT DISTINCT FROM a.{key} AND p.part = a.part"
+    )

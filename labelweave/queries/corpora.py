@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..columns import col
+from ..operators.grouping import ITEMS_PER_PART
 from ..plans import get_corpus
 from ..plans.direct import GO_LABELS, LIAR_SCORES, PLUTCHIK, SEMEVAL_LABELS, USVSTHEM_LABELS
 from ..plans.longwide import HURRICANES8_LABELS, INTENSITY_LABELS
@@ -30,9 +31,11 @@ from .base import (
     USER_TEXT_SQL,
     pick,
     query,
+    sql_gathered,
     sql_in,
     sql_names,
     sql_pick,
+    sql_text,
     table,
     user_text,
 )
@@ -218,7 +221,12 @@ def pipe_emotionstimulus(spark, sf_dir):
     tag = pick(STIMULUS_LABELS, F.col("o_orderkey") % 7)
     plain = table(spark, sf_dir, "orders").select(
         F.format_string(
-            "<%s>order ( %s ) of %d &amp; co .<\\%s>", tag, "o_orderpriority", "o_custkey", tag
+            # The cause lies outside the emotion's tags.
+            "<%s>order ( %s ) of %d &amp; co .<\\%s> because <cause>it rained<\\cause> .",
+            tag,
+            "o_orderpriority",
+            "o_custkey",
+            tag,
         ).alias("value")
     )
     raws = {"with_cause": caused, "without_cause": plain}
@@ -252,7 +260,7 @@ def pipe_goodnewseveryone(spark, sf_dir):
     + f" FROM (PIVOT (SELECT event_id AS id, user_id AS subject_id, {USER_TEXT_SQL} AS text, "
     "map_extract(MAP {1: 'joy', 2: 'fear', 3: 'anger', 4: 'sadness', 5: 'disgust', 6: 'shame', "
     "7: 'guilt'}, event_id % 9)[1] AS emotion FROM events) "
-    f"ON emotion IN {sql_in(ISEAR_LABELS)} USING arbitrary(true)) ORDER BY id",
+    f"ON emotion IN {sql_in(ISEAR_LABELS)} USING arbitrary(true))",
 )
 def pipe_isear(spark, sf_dir):
     answers = table(spark, sf_dir, "events").select(
@@ -368,11 +376,16 @@ def pipe_hurricanes8(spark, sf_dir):
 
 @query(
     "pipe_emoint",
-    "SELECT list_sort(ARRAY_AGG(id)) AS ids, text, "
-    + sql_names(INTENSITY_LABELS, "MEAN({q}) AS {q}")
-    + " FROM (PIVOT (SELECT l_orderkey AS id, 'part ' || CAST(l_partkey AS VARCHAR) AS text, "
-    f"{sql_pick(INTENSITY_LABELS, 'l_linenumber % 4')} AS emotion, l_quantity AS intensity "
-    f"FROM lineitem) ON emotion IN {sql_in(INTENSITY_LABELS)} USING sum(intensity)) GROUP BY text",
+    sql_gathered(
+        "FROM (PIVOT (SELECT l_orderkey AS id, 'part ' || CAST(l_partkey AS VARCHAR) AS text, "
+        f"{sql_pick(INTENSITY_LABELS, 'l_linenumber % 4')} AS emotion, l_quantity AS intensity "
+        f"FROM lineitem) ON emotion IN {sql_in(INTENSITY_LABELS)} USING sum(intensity))",
+        "text",
+        "id",
+        {"ids": "id"},
+        {n: f'MEAN("{n}")' for n in INTENSITY_LABELS},
+        ITEMS_PER_PART,
+    ),
 )
 def pipe_emoint(spark, sf_dir):
     ratings = table(spark, sf_dir, "lineitem").select(
@@ -608,21 +621,20 @@ AROUSAL_SQL = sql_pick(["high", "medium", "low"], "{} % 5")
 
 @query(
     "pipe_electoraltweets",
-    "WITH r AS (SELECT DISTINCT event_id AS id, CAST(value AS FLOAT) AS trust_, "
-    f"{USER_TEXT_SQL} AS text, {sql_pick(ELECTORAL_LABELS, 'event_id % 19')} AS emotion, "
-    f"{VALENCE_SQL.format('user_id')} AS valence, {AROUSAL_SQL.format('user_id')} AS arousal "
-    "FROM events UNION ALL SELECT o_orderkey, CAST(o_totalprice AS FLOAT), "
-    "'user ' || CAST(o_custkey AS VARCHAR) || ' click', "
-    f"{sql_pick(ELECTORAL_LABELS, 'o_custkey % 19')}, {VALENCE_SQL.format('o_custkey')}, "
-    f"{AROUSAL_SQL.format('o_custkey')} FROM orders) "
-    "SELECT list_sort(ARRAY_AGG(id)) AS ids, "
-    + ", ".join(
-        f"list_transform(list_sort(ARRAY_AGG({{'i': id, 'x': {raw}}})), lambda s: s.x) AS {out}"
-        for raw, out in (("trust_", "annotator_trusts"), ("valence", "valence"), ("arousal", "arousal"))
-    )
-    + ", text, "
-    + sql_names(ELECTORAL_LABELS, "COUNT(*) FILTER (WHERE emotion = {t}) AS {q}")
-    + " FROM r GROUP BY text",
+    sql_gathered(
+        "SELECT DISTINCT event_id AS id, CAST(value AS FLOAT) AS trust_, "
+        f"{USER_TEXT_SQL} AS text, {sql_pick(ELECTORAL_LABELS, 'event_id % 19')} AS emotion, "
+        f"{VALENCE_SQL.format('user_id')} AS valence, {AROUSAL_SQL.format('user_id')} AS arousal "
+        "FROM events UNION ALL SELECT o_orderkey, CAST(o_totalprice AS FLOAT), "
+        "'user ' || CAST(o_custkey AS VARCHAR) || ' click', "
+        f"{sql_pick(ELECTORAL_LABELS, 'o_custkey % 19')}, {VALENCE_SQL.format('o_custkey')}, "
+        f"{AROUSAL_SQL.format('o_custkey')} FROM orders",
+        "text",
+        "id",
+        {"ids": "id", "annotator_trusts": "trust_", "valence": "valence", "arousal": "arousal"},
+        {n: f"COUNT(*) FILTER (WHERE emotion = {sql_text(n)})" for n in ELECTORAL_LABELS},
+        ITEMS_PER_PART,
+    ),
 )
 def pipe_electoraltweets(spark, sf_dir):
     valence = [*VALENCE_CODES, "no answer"]

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..plans import catalog, get_corpus
+from ..plans.base import CORPORA
 from ..runner import run_many, run_one
 from ..sinks import (
     TargetNotEmpty,
@@ -18,7 +21,7 @@ from ..sinks import (
     sample_one,
     write_dataset,
 )
-from .base import query, staging, table
+from .base import query, sql_text, staging, table
 from .corpora import TEC_SQL, carer_raws, crowdflower_raws, emobank_raws, tec_raws, usvsthem_raws
 
 
@@ -75,21 +78,32 @@ def write_guard(spark, sf_dir):
     return reduce(lambda a, b: a.union(b), steps)
 
 
-@query(
-    "dataset_catalog",
-    "SELECT * FROM (SELECT 'CARER' AS dataset, 6 AS n_labels, false AS multilabel, "
-    "false AS continuous, (SELECT COUNT(*) FROM documents) + (SELECT COUNT(*) FROM conversations) "
-    "+ (SELECT COUNT(*) FROM benchmark) AS size UNION ALL "
-    "SELECT 'EmoBank', 3, false, true, (SELECT COUNT(*) FROM labels) UNION ALL "
-    "SELECT 'UsVsThem', 13, true, false, (SELECT COUNT(*) FROM documents))",
-)
+def _catalog_sql() -> str:
+    sizes = {
+        "CARER": "(SELECT COUNT(*) FROM documents) + (SELECT COUNT(*) FROM conversations) "
+        "+ (SELECT COUNT(*) FROM benchmark)",
+        "EmoBank": "(SELECT COUNT(*) FROM labels)",
+        "UsVsThem": "(SELECT COUNT(*) FROM documents)",
+    }
+    rows = []
+    for name in CORPORA:
+        info = get_corpus(name).info
+        rows.append(
+            f"SELECT {sql_text(name)} AS dataset, {len(info.labels)} AS n_labels, "
+            f"{str(info.multilabel).lower()} AS multilabel, {str(info.continuous).lower()} AS continuous, "
+            f"CAST({sizes.get(name, 'NULL')} AS BIGINT) AS size"
+        )
+    return " UNION ALL ".join(rows)
+
+
+@query("dataset_catalog", _catalog_sql())
 def dataset_catalog(spark, sf_dir):
-    """Documentation of three corpora beside the size of what their plans produce."""
+    """Documentation of all corpora, and the size of those built from the tables here."""
     raws = {"CARER": carer_raws, "EmoBank": emobank_raws, "UsVsThem": usvsthem_raws}
     sizes = row_counts({n: get_corpus(n).build(f(spark, sf_dir)) for n, f in raws.items()})
     return (
         catalog(spark)
-        .join(sizes, "dataset")
+        .join(sizes, "dataset", "left")
         .select(
             "dataset",
             F.size("emotions").alias("n_labels"),
@@ -100,17 +114,50 @@ def dataset_catalog(spark, sf_dir):
     )
 
 
-@query("dataset_manifest")
+@query(
+    "dataset_manifest",
+    "SELECT dataset, n_rows, true AS in_order, true AS placed, true AS sized FROM "
+    "(SELECT 'texts' AS dataset, COUNT(*) AS n_rows FROM documents UNION ALL "
+    "SELECT 'turns', COUNT(*) FROM conversations)",
+)
 def dataset_manifest(spark, sf_dir):
+    """The manifest after the files of one of two datasets were replaced: per dataset the
+    rows in the files it lists, and whether entries are in order, named and sized right."""
     base = staging(spark)
 
-    def entry(dataset, source):
-        write_dataset(table(spark, sf_dir, source), f"{base}/{dataset}", overwrite=True)
-        return file_stats(spark, f"{base}/{dataset}", base).withColumn("dataset", F.lit(dataset))
-
-    entry("texts", "documents").unionByName(entry("turns", "labels")).write.parquet(f"{base}/old")
-    entry("turns", "conversations").write.parquet(f"{base}/new")
-    return merge_manifest(read_dataset(spark, f"{base}/old"), read_dataset(spark, f"{base}/new"))
+    def entry(dataset, source, folder):
+        write_dataset(table(spark, sf_dir, source), f"{base}/{folder}/{dataset}", overwrite=True)
+        stats = file_stats(spark, f"{base}/{folder}/{dataset}", f"{base}/{folder}")
+        return stats.withColumn("dataset", F.lit(dataset)).withColumn("round", F.lit(folder))
+
+    old = entry("texts", "documents", "first").unionByName(entry("turns", "labels", "first"))
+    old.write.parquet(f"{base}/old")
+    entry("turns", "conversations", "second").write.parquet(f"{base}/new")
+    merged = merge_manifest(read_dataset(spark, f"{base}/old"), read_dataset(spark, f"{base}/new"))
+    listed = merged.withColumn("at", F.monotonically_increasing_id())
+    earlier = F.lag("dataset").over(Window.orderBy("at"))
+    listed = listed.withColumn("sorted", F.coalesce(earlier <= F.col("dataset"), F.lit(True)))
+    rows = reduce(
+        DataFrame.union,
+        [
+            read_dataset(spark, f"{base}/{folder}/{dataset}").select(
+                F.lit(folder).alias("round"), F.lit(dataset).alias("dataset"), F.col("_metadata.file_name").alias("name")
+            )
+            for folder, dataset in (("first", "texts"), ("first", "turns"), ("second", "turns"))
+        ],
+    )
+    counts = rows.groupBy("round", "dataset", "name").agg(F.count(F.lit(1)).alias("n_rows"))
+    placed = F.col("file_path") == F.concat_ws("/", "dataset", "name")
+    return (
+        listed.join(counts, ["round", "dataset", "name"], "left")
+        .groupBy("dataset")
+        .agg(
+            F.sum("n_rows").alias("n_rows"),
+            F.bool_and("sorted").alias("in_order"),
+            F.bool_and(placed).alias("placed"),
+            F.bool_and(F.col("file_size") > 0).alias("sized"),
+        )
+    )
 
 
 @query(

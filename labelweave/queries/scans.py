@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import base64
+
 from pyspark.sql import functions as F
 
 from ..columns import col
@@ -232,13 +234,24 @@ def scan_path_columns(spark, sf_dir):
     return placed.select("doc_id", "author", "story", "n_chars")
 
 
-@query("text_redecode")
+def utf7_letter(letter: str) -> str:
+    return "+" + base64.b64encode(letter.encode("utf-16-be")).decode().rstrip("=") + "-"
+
+
+@query(
+    "text_redecode",
+    "SELECT unnest(string_split(text, chr(10))) AS repaired FROM documents",
+)
 def text_redecode(spark, sf_dir):
-    # Texts hold their e-acute the way a UTF-7 file would.
+    # Texts hold their plus signs and accented letters the way a UTF-7 file would.
+    encoded = F.replace("text", F.lit("+"), F.lit("+-"))
+    for letter in "äçèéêíñóößü":
+        for form in dict.fromkeys((letter, letter.upper())):
+            if len(form) == 1:
+                encoded = F.replace(encoded, F.lit(form), F.lit(utf7_letter(form)))
     path = staging(spark)
-    encoded = F.regexp_replace("text", "é", "+AOk-")
     table(spark, sf_dir, "documents").select(encoded.alias("value")).write.text(path)
-    return read_lines(spark, path).select("value", redecode_utf7(F.col("value")).alias("repaired"))
+    return read_lines(spark, path).select(redecode_utf7(F.col("value")).alias("repaired"))
 
 
 @query("dataset_roundtrip", "SELECT doc_id, text, lang FROM documents")

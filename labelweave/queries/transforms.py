@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import functions as F
 
 from ..columns import col
@@ -29,6 +31,7 @@ from ..functions import (
     tagged,
     title_case,
 )
+from ..operators.grouping import ITEMS_PER_PART
 from ..operators import (
     append_by_name,
     append_by_position,
@@ -54,7 +57,9 @@ from ..operators import (
     sorted_registry,
     unpivot,
 )
-from .base import query, sql_in, table
+from ..plans.records import XED_CODES
+from ..sources import read_delimited, regex_records
+from .base import query, sql_gathered, sql_in, sql_names, staged_csv, staging, table
 
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 EVENTS_IN = sql_in(EVENT_TYPES)
@@ -158,25 +163,12 @@ def one_hot_label(spark, sf_dir):
     )
 
 
-MULTI_HOT_CODES = {
-    "1": "anger",
-    "2": "anticipation",
-    "3": "disgust",
-    "4": "fear",
-    "5": "joy",
-    "6": "sadness",
-    "7": "surprise",
-    "8": "trust",
-    "9": "neutral",
-}
-
-
 @query(
     "multi_hot_label_list",
     "SELECT doc_id, "
     + ", ".join(
         f"doc_id % 9 + 1 = {code} OR n_chars % 4 + 1 = {code} AS \"{label}\""
-        for code, label in MULTI_HOT_CODES.items()
+        for code, label in XED_CODES.items()
     )
     + " FROM documents",
 )
@@ -185,7 +177,7 @@ def multi_hot_label_list(spark, sf_dir):
         ", ", (F.col("doc_id") % 9 + 1).cast("string"), (F.col("n_chars") % 4 + 1).cast("string")
     )
     docs = table(spark, sf_dir, "documents").select("doc_id", codes.alias("codes"))
-    return docs.select("doc_id", *multi_hot(col("codes"), MULTI_HOT_CODES))
+    return docs.select("doc_id", *multi_hot(col("codes"), XED_CODES))
 
 
 @query(
@@ -238,14 +230,12 @@ def filter_unparseable_numeric(spark, sf_dir):
 
 @query(
     "filter_prefix",
-    "SELECT c_custkey, c_name FROM customer WHERE substr(c_name, 1, 9) = 'Customer#' "
-    "UNION ALL SELECT c_custkey, c_mktsegment FROM customer WHERE substr(c_mktsegment, 2, 4) = 'UILD'",
+    "SELECT c_custkey, regexp_extract(c_name, '^Customer#(\\d+)$', 1) AS number FROM customer "
+    "WHERE substr(c_name, 1, 9) = 'Customer#' AND regexp_matches(c_name, '^Customer#(\\d+)$')",
 )
 def filter_prefix(spark, sf_dir):
-    customer = table(spark, sf_dir, "customer")
-    named = customer.filter(F.col("c_name").startswith("Customer#")).select("c_custkey", "c_name")
-    inner = F.substring("c_mktsegment", 2, 4) == "UILD"
-    return named.union(customer.filter(inner).select("c_custkey", "c_mktsegment"))
+    lines = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_name").alias("value"))
+    return regex_records(lines, r"^Customer#(\d+)$", ["number"], prefix=(1, "Customer#"))
 
 
 # --- text ----------------------------------------------------------------------
@@ -279,37 +269,43 @@ def join_middle_fields(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", mid)
 
 
-TITLE = r"<title>(.*?)</title>"
+def _sql_replaced(text: str, pairs: Sequence[tuple[str, str]]) -> str:
+    for pattern, value in pairs:
+        text = f"regexp_replace({text}, '{pattern}', {value}, 'g')"
+    return text
 
 
 @query(
     "html_unescape",
-    # Titles are cut at a fixed length, so an entity may lack its semicolon.
-    "SELECT page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace("
-    "title, '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', '\"', 'g'), '&#39;?', chr(39), 'g'), "
-    "'&amp;?', '&', 'g') AS title FROM (SELECT page_id, "
-    "regexp_extract(html, '<title>(.*?)</title>', 1) AS title FROM pages)",
-)
+    # Text may be cut inside an entity, so the semicolon may be missing.
+    "SELECT page_id, "
+    + _sql_replaced(
+        "html",
+        [
+            ("&lt;?", "'<'"), ("&gt;?", "'>'"), ("&quot;?", "'\"'"), ("&#39;?", "chr(39)"),
+            ("&copy;?", "chr(169)"), ("&middot;?", "chr(183)"), ("&amp;?", "'&'"),
+        ],
+    )
+    + " AS html FROM pages",
+)
 def html_unescape_(spark, sf_dir):
-    title = html_unescape(F.regexp_extract("html", TITLE, 1)).alias("title")
-    return table(spark, sf_dir, "pages").select("page_id", title)
+    html = html_unescape(col("html")).alias("html")
+    return table(spark, sf_dir, "pages").select("page_id", html)
+
+
+HEADLINE = "<(h[1-6])>(.*?)</h[1-6]>"
 
 
 @query(
     "regex_tag_capture",
-    "SELECT page_id, trim(regexp_extract(t, '<(.*?)>(.*)</([^br][A-Za-z0-9]+)>', 1)) AS label, "
-    "trim(regexp_extract(t, '<(.*?)>(.*)</([^br][A-Za-z0-9]+)>', 2)) AS text FROM "
-    "(SELECT page_id, regexp_extract(html, '<title>.*?</title>') AS t FROM pages)",
+    f"SELECT page_id, trim(regexp_extract(html, '{HEADLINE}', 1)) AS label, "
+    f"trim(regexp_extract(html, '{HEADLINE}', 2)) AS text FROM pages",
 )
 def regex_tag_capture(spark, sf_dir):
-    pattern = r"<(.*?)>(.*)</([^br][A-Za-z0-9]+)>"
-    titles = table(spark, sf_dir, "pages").select(
-        "page_id", F.regexp_extract("html", "<title>.*?</title>", 0).alias("t")
-    )
-    return titles.select(
+    return table(spark, sf_dir, "pages").select(
         "page_id",
-        tagged(col("t"), pattern, 1).alias("label"),
-        tagged(col("t"), pattern, 2).alias("text"),
+        tagged(col("html"), HEADLINE, 1).alias("label"),
+        tagged(col("html"), HEADLINE, 2).alias("text"),
     )
 
 
@@ -415,18 +411,21 @@ def join_natural_self(spark, sf_dir):
 
 @query(
     "join_full_outer",
-    "SELECT a.user_id, a.d, click_value, view_value FROM (SELECT user_id, CAST(ts AS DATE) AS d, "
-    "COUNT(*) AS click_value FROM events WHERE event_type = 'click' GROUP BY ALL) a FULL JOIN "
-    "(SELECT user_id, CAST(ts AS DATE) AS d, COUNT(*) AS view_value FROM events "
-    "WHERE event_type = 'view' GROUP BY ALL) b ON a.user_id = b.user_id AND a.d = b.d",
+    "SELECT a.user_id, a.d, visits, outcomes FROM (SELECT user_id, CAST(ts AS DATE) AS d, "
+    "COUNT(*) AS visits FROM events WHERE event_type IN ('click', 'view') GROUP BY ALL) a FULL JOIN "
+    "(SELECT user_id, CAST(ts AS DATE) AS d, COUNT(*) AS outcomes FROM events "
+    "WHERE event_type NOT IN ('click', 'view') GROUP BY ALL) b ON a.user_id = b.user_id AND a.d = b.d",
 )
 def join_full_outer(spark, sf_dir):
-    def daily(kind):
-        rows = table(spark, sf_dir, "events").filter(F.col("event_type") == kind)
+    events = table(spark, sf_dir, "events")
+    visit = F.col("event_type").isin("click", "view")
+
+    def daily(rows, name):
         day = F.col("ts").cast("date").alias("d")
-        return rows.groupBy("user_id", day).agg(F.count(F.lit(1)).alias(f"{kind}_value"))
+        return rows.groupBy("user_id", day).agg(F.count(F.lit(1)).alias(name))
 
-    return full_outer_merge(daily("click"), daily("view"), ["user_id", "d"], coalesce_keys=False)
+    left, right = daily(events.filter(visit), "visits"), daily(events.filter(~visit), "outcomes")
+    return full_outer_merge(left, right, ["user_id", "d"], coalesce_keys=False)
 
 
 @query(
@@ -457,6 +456,23 @@ def join_positional(spark, sf_dir):
     return positional_join(left, right, left_parquet=True, right_parquet=True)
 
 
+@query(
+    "join_positional_delimited",
+    "SELECT a.doc_id, b.item_id FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS rn "
+    "FROM documents) a FULL JOIN (SELECT item_id, row_number() OVER (ORDER BY item_id) AS rn "
+    "FROM benchmark) b USING (rn)",
+)
+def join_positional_delimited(spark, sf_dir):
+    base = staging(spark)
+
+    def scan(name, key, files):
+        rows = table(spark, sf_dir, name).select(key).repartitionByRange(files, key)
+        folder = staged_csv(rows.sortWithinPartitions(key), f"{base}/{name}")
+        return read_delimited(spark, folder, f"{key} bigint")
+
+    return positional_join(scan("documents", "doc_id", 6), scan("benchmark", "item_id", 2))
+
+
 @query(
     "append_by_position",
     "SELECT CAST(doc_id AS VARCHAR) AS id, text FROM documents "
@@ -541,14 +557,14 @@ def pivot_bool_and(spark, sf_dir):
 
 @query(
     "pivot_sum",
-    'SELECT user_id, CAST(click AS BIGINT) AS click, CAST("view" AS BIGINT) AS "view" FROM (PIVOT '
+    "SELECT user_id, " + sql_names(EVENT_TYPES, "CAST({q} AS BIGINT) AS {q}") + " FROM (PIVOT "
     "(SELECT user_id, event_type, CAST(value > 5 AS INTEGER) AS v FROM events) "
-    "ON event_type IN ('click', 'view') USING sum(v))",
+    "ON event_type IN ('click', 'error', 'purchase', 'signup', 'view') USING sum(v))",
 )
 def pivot_sum_(spark, sf_dir):
     high = (F.col("value") > 5).cast("int").alias("v")
     events = table(spark, sf_dir, "events").select("user_id", "event_type", high)
-    return pivot_sum(events, "event_type", ("click", "view"), "v")
+    return pivot_sum(events, "event_type", EVENT_TYPES, "v")
 
 
 @query(
@@ -612,30 +628,40 @@ def unpivot_merge_pivot(spark, sf_dir):
 
 @query(
     "pivot_dedup",
-    "SELECT text, en, de FROM (PIVOT (SELECT text, lang FROM documents) ON lang IN ('en', 'de'))",
+    "SELECT text, de, en, es, fr FROM (PIVOT (SELECT text, lang FROM documents) "
+    "ON lang IN ('de', 'en', 'es', 'fr'))",
 )
 def pivot_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("text", "lang")
-    return pivot_count(docs, "lang", ("en", "de"))
+    return pivot_count(docs, "lang", ("de", "en", "es", "fr"))
 
 
 @query(
     "pivot_flag",
-    'SELECT user_id, CAST(click AS BOOLEAN) AS click, CAST("view" AS BOOLEAN) AS "view" FROM (PIVOT '
-    "(SELECT user_id, event_type FROM events WHERE value > 60) ON event_type IN ('click', 'view'))",
+    "SELECT user_id, " + sql_names(EVENT_TYPES, "CAST({q} AS BOOLEAN) AS {q}") + " FROM (PIVOT "
+    f"(SELECT user_id, event_type FROM events) ON event_type IN {sql_in(EVENT_TYPES)})",
 )
 def pivot_flag_(spark, sf_dir):
-    events = table(spark, sf_dir, "events").filter(F.col("value") > 60)
-    return pivot_flag(events.select("user_id", "event_type"), "event_type", ("click", "view"))
+    events = table(spark, sf_dir, "events")
+    return pivot_flag(events.select("user_id", "event_type"), "event_type", EVENT_TYPES)
 
 
 # --- grouping ----------------------------------------------------------------------
 
 
+DOC_LABELS_SQL = "SELECT text, source, doc_id, l.quality FROM documents LEFT JOIN labels l USING (doc_id)"
+
+
 @query(
     "dedup_merge_by_text",
-    "SELECT text, list_sort(ARRAY_AGG(doc_id)) AS ids, COUNT(l.quality) AS n_quality, "
-    "MEAN(l.quality) AS quality FROM documents LEFT JOIN labels l USING (doc_id) GROUP BY text",
+    sql_gathered(
+        DOC_LABELS_SQL,
+        "text",
+        "doc_id",
+        {"ids": "doc_id"},
+        {"n_quality": "COUNT(quality)", "quality": "MEAN(quality)"},
+        ITEMS_PER_PART,
+    ),
 )
 def dedup_merge_by_text(spark, sf_dir):
     return gather_lists(
@@ -647,20 +673,33 @@ def dedup_merge_by_text(spark, sf_dir):
     )
 
 
-@query(
-    "collect_nullable_arrays",
-    "SELECT source, list_transform(list_sort(ARRAY_AGG({'i': doc_id, 'q': l.quality})), "
-    "lambda x: x.q) AS quality FROM documents LEFT JOIN labels l USING (doc_id) GROUP BY source",
-)
-def collect_nullable_arrays(spark, sf_dir):
+def by_source(spark, sf_dir, **options):
     return gather_lists(
         docs_with_labels(spark, sf_dir, "source"),
         keys=["source"],
         lists={"quality": "quality"},
         order_by=["doc_id"],
+        aggs=[F.count("quality").alias("n_quality")],
+        **options,
     )
 
 
+def by_source_sql(items):
+    lists, aggs = {"quality": "quality"}, {"n_quality": "COUNT(quality)"}
+    return sql_gathered(DOC_LABELS_SQL, "source", "doc_id", lists, aggs, items)
+
+
+@query("collect_nullable_arrays", by_source_sql(ITEMS_PER_PART))
+def collect_nullable_arrays(spark, sf_dir):
+    return by_source(spark, sf_dir)
+
+
+@query("collect_arrays_in_parts", by_source_sql(20))
+def collect_arrays_in_parts(spark, sf_dir):
+    # Parts and ranges small enough that every source has several of both.
+    return by_source(spark, sf_dir, items_per_part=20, range_rows=30)
+
+
 @query(
     "count_non_null",
     "SELECT lang, COUNT(l.quality) AS quality, COUNT(l.toxic) AS toxic FROM documents "

@@ -7,6 +7,7 @@ come from a declared schema or from the header, never from type inference.
 from __future__ import annotations
 
 import csv
+import re
 from collections import defaultdict
 from collections.abc import Iterable
 from dataclasses import dataclass
@@ -168,29 +169,27 @@ def read_headerless(
     return read_delimited(spark, paths, schema, plain, bad_rows)
 
 
-# Up to this many files, one job per file that stops at the first line is cheaper
-# than one job over all lines.
-MAX_HEADER_JOBS = 200
+# Files whose first lines one job fetches; the plan has a scan per file.
+HEADERS_PER_JOB = 100
 
 
-def _first_lines(spark: SparkSession, paths: list[str]) -> list[tuple[str, str]]:
-    def lines(of: str | list[str]) -> DataFrame:
-        # Every file has one block that starts at 0; its first line is the header.
-        located = spark.read.text(of).select(
-            F.col("_metadata.file_path").alias("path"),
-            F.col("_metadata.file_block_start").alias("start"),
-            F.monotonically_increasing_id().alias("pos"),
-            F.col("value").alias("header"),
-        )
-        return located.filter(F.col("start") == 0)
+def _literal(path: str) -> str:
+    """A path that is taken as it is where globs are accepted."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
 
-    files = spark.read.text(paths).inputFiles()
-    if len(files) <= MAX_HEADER_JOBS:
-        heads = [lines(unquote(file)).select("path", "header").head() for file in files]
-    else:
-        heads = lines(paths).groupBy("path").agg(F.min_by("header", "pos").alias("header")).collect()
+def _first_lines(spark: SparkSession, paths: list[str]) -> list[tuple[str, str]]:
     # Spark reports paths percent-encoded, but takes them plain.
-    return [(unquote(h["path"]), h["header"]) for h in heads if h is not None]
+    files = [unquote(file) for file in spark.read.text(paths).inputFiles()]
+    heads: list[tuple[str, str]] = []
+    for at in range(0, len(files), HEADERS_PER_JOB):
+        # Each scan ends at its limit, so no more than a file's first lines are read.
+        scans = [
+            spark.read.text(_literal(file)).limit(1).select(F.lit(file).alias("path"), "value")
+            for file in files[at : at + HEADERS_PER_JOB]
+        ]
+        heads += [(r["path"], r["value"]) for r in reduce(DataFrame.union, scans).collect()]
+    return heads
 
 
 def _files_by_header(
@@ -204,7 +203,7 @@ def _files_by_header(
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
     for path, header in _first_lines(spark, paths):
         names = next(csv.reader([header], delimiter=dialect.sep, quotechar=dialect.quote))
-        groups[tuple(names)].append(path)
+        groups[tuple(names)].append(_literal(path))
     return dict(sorted(groups.items()))
 
 

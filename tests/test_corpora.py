@@ -12,7 +12,7 @@ from labelweave.plans.votes import (
     ELECTORAL_LABELS,
     EMOTION_QUESTION,
     HURRICANES24_LABELS,
-    VALENCE_QUESTION,
+    VALENCE_QUESTIONS,
 )
 
 
@@ -120,15 +120,15 @@ def test_crowdflower(made):
 
 
 def electoral_files():
-    def batch(digit, lines):
+    def batch(name, lines):
         head = ["id", "extra", "trust", "tweet", EMOTION_QUESTION]
-        head += [VALENCE_QUESTION.format(digit), AROUSAL_QUESTION]
+        head += [VALENCE_QUESTIONS[name], AROUSAL_QUESTION]
         return "\n".join("\t".join(x) for x in [head, *lines]) + "\n"
 
     high = "the emotion is being expressed with a high intensity"
     return {
         "Batch1/AnnotatedTweets.txt": batch(
-            "4",
+            "Batch1",
             [
                 ["2", "-", "0.5", "same", "like", "positive emotion", high],
                 ["1", "-", "0.25", "same", "BLANK", "BLANK", "BLANK"],
@@ -137,7 +137,7 @@ def electoral_files():
             ],
         ),
         "Batch2/AnnotatedTweets.txt": batch(
-            "3",
+            "Batch2",
             [
                 ["3", "-", "1.0", "same", "like", "who knows", high],
                 ["4", "-", "1.0", "other", "hate", "negative emotion", high],
@@ -146,10 +146,9 @@ def electoral_files():
     }
 
 
-@pytest.mark.parametrize("natural_join", [False, True])
-def test_electoraltweets(made, natural_join):
+def test_electoraltweets(made):
     columns = ["text", "ids", "annotator_trusts", "valence", "arousal", "like", "hate"]
-    rows, df = made("ElectoralTweets", electoral_files(), columns, natural_join=natural_join)
+    rows, df = made("ElectoralTweets", electoral_files(), columns)
     assert rows == [
         ("other", [4], [1.0], ["negative"], ["high"], 0, 1),
         ("same", [1, 2, 3], [0.25, 0.5, 1.0], [None, "positive", None], [None, "high", "high"], 2, 0),
@@ -158,9 +157,9 @@ def test_electoraltweets(made, natural_join):
 
 
 def test_electoraltweets_in_parts(made):
-    rows, _ = made("ElectoralTweets", electoral_files(), ["text", "ids", "like"], max_items=1)
-    assert sorted(i for text, ids, _ in rows if text == "same" for i in ids) == [1, 2, 3]
-    assert all(like == 2 for text, _, like in rows if text == "same")
+    columns = ["text", "part", "ids", "like"]
+    rows, _ = made("ElectoralTweets", electoral_files(), columns, items_per_part=2)
+    assert rows == [("other", 0, [4], 0), ("same", 0, [1, 2], 2), ("same", 1, [3], None)]
 
 
 def test_emobank(made):
@@ -183,8 +182,8 @@ def test_emoint(made):
         },
     )
     assert rows == [
-        ([1, 2, 3], 'same "x', 0.75, None, 0.25, None),
-        ([4], "other", None, None, 0.5, None),
+        ([1, 2, 3], 'same "x', 0, 0.75, None, 0.25, None),
+        ([4], "other", 0, None, None, 0.5, None),
     ]
 
 
@@ -193,13 +192,14 @@ def test_emotionstimulus(made):
         "EmotionStimulus",
         {
             "Emotion Cause.txt": "<happy>I  am glad <cause>that you &amp; he came<\\cause> . <\\happy>\n"
-            "no tags here\n",
+            "no tags here\n<happy>I smiled<\\happy> because <cause>it rained<\\cause> .\n",
             "No Cause.txt": "<sad>It is sad , really !<\\sad>\n<sad>It is sad, really!<\\sad>\n",
         },
         ["text", "happy", "sad", "anger"],
     )
     assert rows == [
         ("I am glad that you & he came.", True, False, False),
+        ("I smiled", True, False, False),
         ("It is sad, really!", False, True, False),
     ]
 

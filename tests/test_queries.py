@@ -4,7 +4,8 @@ import html
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from labelweave.queries import ORACLES, QUERIES
 from oracle import arrow, database, differences
 
 SF = "/root/testdata/sf0.001"
@@ -15,43 +16,21 @@ def con():
     return database(SF)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_sql(spark, con, name):
-    got = arrow(queries()[name](spark, SF))
-    want = con.sql(oracle_sql()[name]).to_arrow_table()
+    got = arrow(QUERIES[name](spark, SF))
+    want = con.sql(ORACLES[name]).to_arrow_table()
     assert differences(got, want) == []
 
 
 def test_every_sql_has_a_query():
-    assert set(oracle_sql()) <= set(queries())
+    assert set(ORACLES) <= set(QUERIES)
 
 
 def test_entry_has_rows(spark):
     assert entry(spark).count() > 0
 
 
-def test_text_redecode_matches_brute_force(spark):
-    rows = queries()["text_redecode"](spark, SF).collect()
-    assert rows
-    changed = 0
-    for row in rows:
-        try:
-            want = row.value.encode("utf8", "ignore").decode("utf7", "ignore")
-            want.encode("utf8")
-        except UnicodeError:
-            want = row.value
-        assert row.repaired == want
-        changed += want != row.value
-    assert changed
-
-
-def test_manifest_replaces_one_dataset(spark):
-    rows = queries()["dataset_manifest"](spark, SF).collect()
-    assert [r.dataset for r in rows] == sorted(r.dataset for r in rows)
-    assert {r.dataset for r in rows} == {"texts", "turns"}
-    assert all(r.file_size > 0 and r.file_path == f"{r.dataset}/{r.name}" for r in rows)
-
-
 def test_html_unescape_on_awkward_entities(spark):
     from pyspark.sql import functions as F
 

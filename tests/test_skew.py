@@ -9,7 +9,6 @@ from labelweave.operators import (
     full_outer_merge,
     gather_lists,
     join_on,
-    largest_group,
     merge_by_key,
     natural_self_map,
     ordered,
@@ -20,6 +19,7 @@ from labelweave.operators import (
     unpivot,
     with_row_position,
 )
+from labelweave.plans import get_corpus
 
 KEYS, LISTS, ORDER = ["k"], {"ids": "i", "marks": "m"}, ["i"]
 
@@ -31,43 +31,54 @@ def rows_of(n_hot, n_copies):
     return rows
 
 
-@pytest.mark.parametrize("max_items", [3, 4, 10, 1000])
+@pytest.mark.parametrize("items", [3, 10, 1000])
+@pytest.mark.parametrize("range_rows", [5, 1000])
 @pytest.mark.parametrize("n_copies", [40, -40])
-def test_gather_keeps_every_item(spark, max_items, n_copies):
-    # With -40 no row has a copy, which takes the shorter way.
+def test_gather_cuts_ranked_rows(spark, items, range_rows, n_copies):
     rows = rows_of(50, n_copies)
-    df = spark.createDataFrame(rows, "k string, i int, m double")
+    df = spark.createDataFrame(rows, "k string, i int, m double").repartition(4)
     aggs = [F.count("m").alias("n_marks"), F.avg("i").alias("mean_i")]
-    parts = gather_lists(df, KEYS, LISTS, ORDER, aggs, max_items=max_items).collect()
+    got = gather_lists(df, KEYS, LISTS, ORDER, aggs, items_per_part=items, range_rows=range_rows)
 
-    gathered, want = defaultdict(list), defaultdict(list)
-    for r in parts:
-        assert len(r.ids) == len(r.marks)
-        assert r.ids == sorted(r.ids)
-        gathered[r.k] += list(zip(r.ids, r.marks))
+    want = defaultdict(list)
     for k, i, m in rows:
         want[k].append((i, m))
-    assert {k: sorted(v, key=repr) for k, v in gathered.items()} == {
-        k: sorted(v, key=repr) for k, v in want.items()
-    }
-    for r in parts:
-        values = want[r.k]
-        assert r.n_marks == sum(m is not None for _, m in values)
-        assert r.mean_i == pytest.approx(sum(i for i, _ in values) / len(values))
-    if max_items >= 50:
-        assert len(parts) == len(want)
-    else:
-        # Parts are cut by hash, so they are about, not exactly, the size asked for.
-        assert max(len(r.ids) for r in parts) < 50
-        assert sum(r.k == "hot" for r in parts) > 2
-        assert sum(r.k == "copies" for r in parts) > 2
-        assert sum(r.k == "one" for r in parts) == 1
-
-
-def test_largest_group(spark):
+    seen = {}
+    for r in got.collect():
+        seen[r.k, r.part] = list(zip(r.ids, r.marks, strict=True))
+        ids = [i for i, _ in want[r.k]]
+        if r.part:
+            assert (r.n_marks, r.mean_i) == (None, None)
+        else:
+            assert r.n_marks == sum(m is not None for _, m in want[r.k])
+            assert r.mean_i == pytest.approx(sum(ids) / len(ids))
+    expected = {}
+    for k, pairs in want.items():
+        pairs.sort(key=lambda p: (p[0], p[1] is not None, p[1] or 0.0))
+        for part in range(-(-len(pairs) // items)):
+            expected[k, part] = pairs[part * items : (part + 1) * items]
+    assert seen == expected
+
+
+def jobs_of(spark, action):
+    tracker, group = spark.sparkContext.statusTracker(), f"jobs-{id(action)}"
+    spark.sparkContext.setJobGroup(group, group)
+    action()
+    return len(tracker.getJobIdsForGroup(group))
+
+
+def test_building_starts_no_job(spark):
     df = spark.createDataFrame(rows_of(50, 40), "k string, i int, m double")
-    assert largest_group(df, ["k"]) == 50
-    assert largest_group(df.limit(0), ["k"]) == 0
+    assert jobs_of(spark, lambda: gather_lists(df, KEYS, LISTS, ORDER)) == 0
+    assert jobs_of(spark, df.count) > 0
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    ratings = events.select(
+        F.col("event_id").alias("id"),
+        F.col("event_type").alias("text"),
+        F.lit("joy").alias("emotion"),
+        F.col("value").alias("intensity"),
+    )
+    assert jobs_of(spark, lambda: get_corpus("EmoInt").build({"ratings": ratings})) == 0
 
 
 def test_pivot_counts_sum_to_rows(spark):
