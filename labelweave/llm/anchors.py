@@ -22,9 +22,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import meeting
-from .frames import hidden, with_row_id
+from .frames import carried, same_row, scanned, with_row_id
 from .words import Hasher, covered
 
 SIZE = 35
@@ -102,11 +103,11 @@ def repeats(rows: DataFrame, size: int = SIZE) -> DataFrame:
     probes = meeting.by_part(texts.mapInArrow(_probe(block, parts), meeting.PACKED), tasks)
     anchors = meeting.gathered(probes.mapInArrow(meeting.hits, meeting.RUNS), "anchors")
     # All columns go along, so that both joins with the texts share one exchange.
-    near = rows.join(anchors, meeting.same_row(), "left").drop("_a", "_b")
+    near = rows.join(anchors, same_row(), "left").drop("_a", "_b")
     near = near.sortWithinPartitions("rid_a", "rid_b")
     windows = meeting.by_part(near.mapInArrow(_extend(size, block, parts), meeting.PACKED), tasks)
     found = meeting.gathered(windows.mapInArrow(meeting.confirm, meeting.RUNS), "repeats")
-    return rows.join(found, meeting.same_row(), "left").drop("_a", "_b")
+    return rows.join(found, same_row(), "left").drop("_a", "_b")
 
 
 def _kept(size: int, digest: bool, name: str, extra: str):
@@ -146,20 +147,46 @@ def dedup(df: DataFrame, text: str = "text", size: int = SIZE) -> DataFrame:
     frame stays empty. Columns of ``df`` keep their names and may be called anything but
     the three.
     """
-    rows = with_row_id(df)
-    packed = hidden(df, "_row")
-    found = repeats(
-        rows.select("rid_a", "rid_b", F.col(text).alias("text"), F.struct(*df.columns).alias(packed)),
-        size,
+    scan = scanned(df)
+    rows = carried(scan).withColumn("text", F.col("row").getField(text))
+    found = repeats(rows, size)
+    schema = T.StructType(
+        [
+            found.schema["row"],
+            T.StructField("n_words", T.LongType()),
+            T.StructField("n_removed", T.LongType()),
+            T.StructField("kept_text", T.StringType()),
+        ]
     )
-    fields = f"{packed} {found.schema[packed].dataType.simpleString()}"
-    schema = f"{fields}, n_words long, n_removed long, kept_text string"
-    out = found.mapInArrow(_kept(size, False, "kept_text", packed), schema)
-    return out.select("n_words", "n_removed", "kept_text", f"{packed}.*")
+    out = found.mapInArrow(_kept(size, False, "kept_text", "row"), schema)
+    return out.select("n_words", "n_removed", "kept_text", "row.*")
 
 
 def op2(df: DataFrame) -> DataFrame:
     """Per document: words, words removed and the digest of the words kept."""
-    rows = with_row_id(df).select("rid_a", "rid_b", "doc_id", "text")
+    rows = with_row_id(scanned(df), doc_id="doc_id", text="text")
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string"
     return repeats(rows).mapInArrow(_kept(SIZE, True, "kept_sha256", "doc_id"), schema)
+
+
+def covered_sql(size: int) -> str:
+    """Common table expressions: ``d`` (r, doc_id, w) and the words ``c`` (r, j, from 1)
+    that a repeated window covers."""
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+p AS (SELECT r, w, unnest(range(1, len(w) - {size - 2})) AS i FROM d WHERE len(w) >= {size}),
+h AS (SELECT r, i, md5(array_to_string(w[i:i + {size - 1}], ' ')) AS h FROM p),
+m AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY h) AS n FROM h) WHERE n > 1),
+c AS MATERIALIZED (SELECT DISTINCT r, unnest(range(i, i + {size})) AS j FROM m)"""
+
+
+OP2_SQL = (
+    covered_sql(SIZE)
+    + """,
+x AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS j FROM d),
+k AS (SELECT r, string_agg(word, ' ' ORDER BY j) AS kept FROM x ANTI JOIN c USING (r, j) GROUP BY r),
+n AS (SELECT r, count(*) AS gone FROM c GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(gone, 0)::BIGINT AS n_removed,
+    sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (r) LEFT JOIN n USING (r)"""
+)

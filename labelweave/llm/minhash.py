@@ -25,7 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .frames import frozen, with_row_id
+from ..columns import col
+from .frames import carried, frozen, row_keys, same_row, scanned, with_row_id
 from .words import MIX_A, MIX_B, U, Hasher, mix
 
 BINS = 252
@@ -238,9 +239,7 @@ def near_duplicates(
     no set, ``n_shingles`` 0, and are linked with nothing. Rows that repeat are linked
     with each other. An empty frame gives an empty frame.
     """
-    rows = with_row_id(df).select(
-        "rid_a", "rid_b", F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")
-    )
+    rows = with_row_id(scanned(df), doc_id=col(key).cast("long"), text=text)
     signed = frozen(rows.mapInArrow(_sign(size, band_rows(percent)), _SIGNED), "signed")
     nodes = frozen(
         signed.filter("node is not null")
@@ -271,7 +270,7 @@ def near_duplicates(
         .select("node", "n_shingles", F.col("rid.rid_a").alias("_a"), F.col("rid.rid_b").alias("_b"))
     )
     texts = frozen(
-        rows.join(wanted, (F.col("rid_a") == F.col("_a")) & (F.col("rid_b") == F.col("_b"))).select(
+        rows.join(wanted, same_row()).select(
             "node", "n_shingles", "text"
         ),
         "texts",
@@ -351,17 +350,16 @@ def _labelled(signed: DataFrame, nodes: DataFrame, comps: DataFrame) -> DataFram
 def keep_one(df: DataFrame, text: str = "text", key: str = "doc_id", size: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``df``, one of each component: the one with the smallest key, of
     several the first by row id. Rows without words all stay. Columns are those of ``df``."""
-    rows = with_row_id(df)
-    found = near_duplicates(df, text, key, size, percent)
+    scan = scanned(df)
+    found = near_duplicates(scan, text, key, size, percent)
     first = (
         found.filter("comp is not null")
         .groupBy("comp")
         .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "rid_a", "rid_b")).alias("pick"))
         .select(F.col("pick.rid_a").alias("_a"), F.col("pick.rid_b").alias("_b"))
     )
-    alone = found.filter("comp is null").select(F.col("rid_a").alias("_a"), F.col("rid_b").alias("_b"))
-    same = (F.col("rid_a") == F.col("_a")) & (F.col("rid_b") == F.col("_b"))
-    return rows.join(first.union(alone), same, "left_semi").select(*[rows[c] for c in df.columns])
+    alone = found.filter("comp is null").select(*row_keys())
+    return carried(scan).join(first.union(alone), same_row(), "left_semi").select("row.*")
 
 
 def op9(df: DataFrame) -> DataFrame:

@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .frames import WORD, frozen, hidden, with_row_id
+from ..columns import col
+from .frames import WORD, carried, frozen, same_row, scanned, with_row_id
 
 WEIGHTS = (5, 2, 1)
 # Ranks are cut into this many ranges per source, so that running sums of a source
@@ -177,36 +178,30 @@ def mix(
     come in certain copies only; rows that repeat are drawn one by one; an empty
     frame gives an empty frame.
     """
-    rows = with_row_id(df)
-    copies = plan_mix(*_facts(rows, source, text, key, weights, tenths, ["rid_a", "rid_b"]))
+    scan = scanned(df)
+    copies = plan_mix(*_facts(scan, source, text, key, weights, tenths))
     copies = copies.filter("copies > 0").select(
         F.col("rid_a").alias("_a"), F.col("rid_b").alias("_b"), F.col("copies").alias("_copies")
     )
-    turn = hidden(df, "_turn")
-    out = rows.join(copies, (F.col("rid_a") == F.col("_a")) & (F.col("rid_b") == F.col("_b")))
-    return out.withColumn(turn, F.explode(F.sequence(F.lit(1), "_copies"))).select(
-        *[out[c] for c in df.columns]
-    )
+    out = carried(scan).join(copies, same_row())
+    return out.select("row", F.explode(F.sequence(F.lit(1), "_copies"))).select("row.*")
 
 
-def _facts(rows, source, text, key, weights, tenths, ids):
-    size = word_count(F.col(text))
-    facts = frozen(
-        rows.select(
-            *ids,
-            F.col(source).alias("source"),
-            size.alias("size"),
-            uniform(F.col(key)).alias("u"),
-            F.col(key).alias("tie"),
-        ),
-        "sizes",
+def _facts(scan, source, text, key, weights, tenths):
+    facts = with_row_id(
+        scan,
+        source=source,
+        size=word_count(col(text)),
+        u=uniform(col(key)),
+        tie=key,
     )
+    facts = frozen(facts, "sizes")
     return facts, source_targets(facts, weights, tenths)
 
 
 def op1(df: DataFrame) -> DataFrame:
     """Every document, its size, its source's size and target, and the words taken."""
-    facts, targets = _facts(df, "source", "text", "doc_id", WEIGHTS, 15, [])
+    facts, targets = _facts(scanned(df), "source", "text", "doc_id", WEIGHTS, 15)
     plan = plan_mix(facts, targets)
     return plan.select(
         F.col("tie").alias("doc_id"),

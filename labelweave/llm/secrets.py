@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .frames import with_row_id
+from .frames import carried, same_row, scanned, with_row_id
 
 
 @dataclass(frozen=True)
@@ -146,15 +146,13 @@ def scan(df: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text") -> Da
     A null or empty text has no spans. Rows that repeat are scanned one by one; columns
     of ``df`` stay, whatever their names, but ``spans``. An empty frame stays empty.
     """
-    rows = with_row_id(df)
-    texts = rows.select(F.coalesce(F.col(text), F.lit("")).alias("text"), "rid_a", "rid_b")
+    scan = scanned(df)
+    texts = with_row_id(scan, text=text)
     kinds = candidates(df.sparkSession, build_index(texts, rules), rules).select(
         F.col("rid_a").alias("_a"), F.col("rid_b").alias("_b"), F.col("kinds").alias("_kinds")
     )
-    flagged = rows.join(
-        kinds, (F.col("rid_a") == F.col("_a")) & (F.col("rid_b") == F.col("_b")), "left"
-    )
-    body = F.coalesce(F.col(text), F.lit(""))
+    flagged = carried(scan).join(kinds, same_row(), "left")
+    body = F.coalesce(F.col("row").getField(text), F.lit(""))
     empty = F.array().cast("array<struct<start:int,order:int,kind:string,end:int>>")
     parts = []
     for order, rule in enumerate(rules):
@@ -166,7 +164,8 @@ def scan(df: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text") -> Da
             verify = F.lit(True)
         parts.append(F.when(verify, matches(body, rule, order)).otherwise(empty))
     spans = F.array_sort(F.concat(*parts))
-    return flagged.select(*[flagged[c] for c in df.columns if c != "spans"], spans.alias("spans"))
+    kept = [F.col("row").getField(c).alias(c) for c in df.columns if c != "spans"]
+    return flagged.select(*kept, spans.alias("spans"))
 
 
 def _joined(spans: Column) -> Column:

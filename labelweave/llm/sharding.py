@@ -66,7 +66,10 @@ def with_slots(df: DataFrame, rows_per_task: int = 500_000, most_pieces: int = 1
     counts and numbers see the same rows; pass narrow rows. There are at most
     ``most_pieces`` piece counts, which bounds what is broadcast.
     """
-    rows = frozen(df.withColumn("piece_seed", F.monotonically_increasing_id()), "slots")
+    whole = F.struct(*cols([c for c in df.columns if c != "slot"])).alias("row")
+    rows = frozen(
+        df.select(whole, "shard", F.monotonically_increasing_id().alias("piece_seed")), "slots"
+    )
     shards = rows.select("shard").distinct().count()
     pieces = max(1, min(rows.count() // rows_per_task + 1, most_pieces // max(1, shards)))
     rows = rows.withColumn("piece", F.pmod(F.xxhash64("piece_seed"), F.lit(pieces)))
@@ -81,8 +84,7 @@ def with_slots(df: DataFrame, rows_per_task: int = 500_000, most_pieces: int = 1
     return (
         rows.withColumn("within", within)
         .join(F.broadcast(starts), (F.col("shard") == F.col("s")) & (F.col("piece") == F.col("p")))
-        .withColumn("slot", F.col("start") + F.col("within") - 1)
-        .drop("piece_seed", "piece", "within", "s", "p", "start")
+        .select("row.*", (F.col("start") + F.col("within") - 1).alias("slot"))
     )
 
 

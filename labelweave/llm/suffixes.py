@@ -16,10 +16,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from . import meeting
-from .frames import with_row_id
+from .anchors import covered_sql
+from .frames import same_row, scanned, with_row_id
 from .words import Hasher, covered
 
 SIZE = 50
@@ -122,11 +122,11 @@ def repeated_passages(df: DataFrame, text: str = "text", size: int = SIZE, head:
     """
     if not 1 <= head <= size:
         raise ValueError("a head is at least one word and at most a passage")
-    rows = with_row_id(df).select("rid_a", "rid_b", F.col(text).alias("text"))
+    rows = with_row_id(scanned(df), text=text)
     parts, tasks = meeting.plan_parts(rows, thinned=max(1, (size - head + 2) // 2))
     kept = meeting.by_part(rows.mapInArrow(_retain(size, head, parts), meeting.PACKED), tasks)
     matched = meeting.gathered(kept.mapInArrow(meeting.hits, meeting.RUNS), "matched")
-    near = rows.join(matched, meeting.same_row()).drop("_a", "_b")
+    near = rows.join(matched, same_row()).drop("_a", "_b")
     near = near.sortWithinPartitions("rid_a", "rid_b")
     windows = meeting.by_part(near.mapInArrow(_extend(size, head, parts), meeting.PACKED), tasks)
     found = meeting.gathered(windows.mapInArrow(meeting.confirm, meeting.RUNS), "runs")
@@ -137,6 +137,16 @@ def repeated_passages(df: DataFrame, text: str = "text", size: int = SIZE, head:
 
 def op5(df: DataFrame) -> DataFrame:
     """The repeated passages of all documents: doc_id, first_word, n_words."""
-    ids = with_row_id(df).select(F.col("rid_a").alias("_a"), F.col("rid_b").alias("_b"), "doc_id")
-    found = repeated_passages(df).join(ids, meeting.same_row())
+    scan = scanned(df)
+    ids = with_row_id(scan, doc_id="doc_id").withColumnsRenamed({"rid_a": "_a", "rid_b": "_b"})
+    found = repeated_passages(scan).join(ids, same_row())
     return found.select("doc_id", "first_word", "n_words")
+
+
+OP5_SQL = (
+    covered_sql(SIZE)
+    + """,
+g AS (SELECT r, j, j - row_number() OVER (PARTITION BY r ORDER BY j) AS island FROM c)
+SELECT doc_id, first_word, n_words FROM (SELECT r, min(j) - 1 AS first_word, count(*) AS n_words
+    FROM g GROUP BY r, island) JOIN d USING (r)"""
+)

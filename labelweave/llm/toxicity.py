@@ -19,7 +19,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..columns import col, cols
 from .frames import hidden
 from .words import MIX_A, MIX_B, U, mix, powers
 
@@ -328,7 +330,7 @@ def fit(df: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id
         part = known.filter(F.col("toxic") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
         sample = part if sample is None else sample.union(part)
     sample = sample.withColumnRenamed("doc_id", "_id")
-    rows = df.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    rows = df.select(col(key).cast("long").alias("doc_id"), col(text).alias("text"))
     # The sample has at most MOST_TOXIC + MOST_CLEAN rows.
     texts = rows.join(F.broadcast(sample), F.col("doc_id") == F.col("_id")).select("doc_id", "toxic", "text")
 
@@ -384,10 +386,11 @@ def score(df: DataFrame, model: Model, text: str = "text", name: str = "score")
     """``df`` with the toxicity of each text, 0 to 1, as a last column ``name``.
 
     Null and empty texts are one empty window. Rows that repeat get equal scores; an
-    empty frame stays empty; other columns are untouched whatever their names.
+    empty frame stays empty; other columns are untouched whatever their names, and one
+    called ``name`` is replaced.
     """
     body = hidden(df, "_body")
-    keep = df.columns
+    keep = [c for c in df.columns if c != name]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -398,8 +401,9 @@ def score(df: DataFrame, model: Model, text: str = "text", name: str = "score")
                 [*batch.columns[:-1], pa.array(scores, pa.float64())], names=[*keep, name]
             )
 
-    schema = df.schema.add(name, "double")
-    return df.select("*", F.col(text).alias(body)).mapInArrow(run, schema)
+    whole = df.select(*cols(keep), col(text).alias(body))
+    schema = T.StructType([*df.select(*cols(keep)).schema, T.StructField(name, T.DoubleType())])
+    return whole.mapInArrow(run, schema)
 
 
 def without_toxic(df: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
