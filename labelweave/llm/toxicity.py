@@ -1,7 +1,8 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling, in numpy.
 
-A word goes in as a vector of its own (hashed) and the mean of its characters' vectors
-(hashed triples of bytes). Two gated recurrent passes, one each way, read a window of
+A word goes in as a vector of its own (hashed), the mean of its characters' vectors
+(hashed triples of bytes), and how much more often than by chance the word and its
+characters stood in toxic training texts. Two gated recurrent passes, one each way, read a window of
 words; attention weighs their states into one vector, and a logit follows. Every window
 of every text is scored, and windows overlap. A text's score is a logistic function of
 its highest and mean logit and its number of windows.
@@ -26,7 +27,9 @@ from .frames import hidden
 from .words import MIX_A, MIX_B, U, mix, powers
 
 WINDOW, STRIDE = 64, 48
-WORD_BITS, CHAR_BITS = 14, 12
+WORD_BITS, CHAR_BITS, ODDS_BITS = 14, 12, 20
+LEAST_TEXTS = 3  # texts that a word must stand in for its odds to count
+FOLDS = 4  # training texts see odds counted on the other folds
 WORD_DIM, CHAR_DIM, STATE, ATTENTION = 8, 8, 8, 8
 # The sample that the network is fitted on: texts per class and windows per text.
 MOST_TOXIC, MOST_CLEAN, MOST_WINDOWS = 2000, 3000, 4
@@ -60,6 +63,7 @@ class Vocabulary:
             names = np.zeros(0, U)
         unique, first, self.index = np.unique(names, return_index=True, return_inverse=True)
         self.words = (unique >> U(64 - WORD_BITS)).astype(np.int64)
+        self.wide = (unique >> U(64 - ODDS_BITS)).astype(np.int64)
         self.sizes = heads[first]
         self.starts = np.cumsum(self.sizes) - self.sizes
         inner = np.arange(int(self.sizes.sum())) - np.repeat(self.starts, self.sizes)
@@ -87,6 +91,18 @@ def windows_of(n: int) -> np.ndarray:
 @dataclass
 class Network:
     p: dict[str, np.ndarray] = field(default_factory=dict)
+    # Not trained: odds of words and of characters.
+    word_odds: np.ndarray = field(default_factory=lambda: np.zeros(1 << ODDS_BITS, np.float32))
+    char_odds: np.ndarray = field(default_factory=lambda: np.zeros(1 << CHAR_BITS, np.float32))
+    # The same without the texts of each fold.
+    without: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)
+
+    def for_fold(self, fold: int) -> Network:
+        """The network as texts of a fold may see it."""
+        return Network(self.p, *self.without[fold])
+
+    def trained(self) -> Network:
+        return Network(self.p, self.word_odds, self.char_odds)
 
     @classmethod
     def fresh(cls, seed: int = 11) -> Network:
@@ -96,7 +112,7 @@ class Network:
             scale = scale or 1.0 / np.sqrt(shape[0])
             return (rng.normal(size=shape) * scale).astype(np.float32)
 
-        size = WORD_DIM + CHAR_DIM
+        size = WORD_DIM + CHAR_DIM + 2
         p = {
             "word": normal(1 << WORD_BITS, WORD_DIM, scale=0.1),
             "char": normal(1 << CHAR_BITS, CHAR_DIM, scale=0.3),
@@ -118,7 +134,12 @@ class Network:
             sums = np.add.reduceat(self.p["char"][vocabulary.chars], vocabulary.starts, axis=0)
             chars = sums / vocabulary.sizes[:, None].astype(np.float32)
         words = self.p["word"][vocabulary.words] * vocabulary.seen
-        return np.concatenate([words, chars], axis=1)
+        odds = np.zeros((len(vocabulary.words), 2), np.float32)
+        odds[:, 0] = self.word_odds[vocabulary.wide]
+        if len(vocabulary.words):
+            sums = np.add.reduceat(self.char_odds[vocabulary.chars], vocabulary.starts)
+            odds[:, 1] = sums / vocabulary.sizes
+        return np.concatenate([words, chars, odds], axis=1)
 
     def read(self, way: str, projected, index, lengths, trace=None) -> np.ndarray:
         """States (step, window, state) of one direction. ``index`` is (window, step)."""
@@ -146,7 +167,7 @@ class Network:
         """Logits of windows; with ``keep`` also what the way back needs."""
         x = self.inputs(vocabulary)
         if not len(x):
-            x = np.zeros((1, WORD_DIM + CHAR_DIM), np.float32)
+            x = np.zeros((1, WORD_DIM + CHAR_DIM + 2), np.float32)
         traces = {"f": [] if keep else None, "b": [] if keep else None}
         states = []
         for way in "fb":
@@ -196,7 +217,7 @@ class Network:
             d_x += d_projected @ self.p[way + "_in"].T
         if len(vocabulary.words):
             np.add.at(g["word"], vocabulary.words, d_x[:, :WORD_DIM] * vocabulary.seen)
-            share = d_x[:, WORD_DIM:] / vocabulary.sizes[:, None]
+            share = d_x[:, WORD_DIM:-2] / vocabulary.sizes[:, None]
             np.add.at(g["char"], vocabulary.chars, np.repeat(share, vocabulary.sizes, axis=0))
         return g
 
@@ -210,21 +231,57 @@ def _batch(texts: list[bytes]) -> tuple[Vocabulary, np.ndarray, np.ndarray]:
     return vocabulary, index, lengths
 
 
-def train(texts: list[bytes], labels: np.ndarray, seed: int = 5) -> Network:
-    """Fit the network to windows; both classes weigh the same. Adam steps."""
+def _split(items: list, firsts: np.ndarray) -> Iterator[list]:
+    for lo, hi in zip(firsts, [*firsts[1:], len(items)], strict=True):
+        yield items[lo:hi]
+
+
+def surplus(found: list[np.ndarray], labels: np.ndarray, bits: int) -> np.ndarray:
+    """Per hashed unit, between -1 and 1: toxic texts that hold it, beyond what chance
+    gives, in standard deviations. Units of few texts say nothing and get 0."""
+    every, toxic = np.zeros(1 << bits), np.zeros(1 << bits)
+    for units, label in zip(found, labels, strict=True):
+        every[units] += 1
+        toxic[units] += label
+    share = labels.mean()
+    z = (toxic - share * every) / np.sqrt(np.maximum(every, 1) * share * (1 - share) + 1e-9)
+    return np.where(every >= LEAST_TEXTS, np.tanh(z / 6.0), 0.0).astype(np.float32)
+
+
+def train(texts: list[bytes], labels: np.ndarray, owners: list[int], seed: int = 5) -> Network:
+    """Fit the network to windows; both classes weigh the same. Adam steps. ``owners``
+    says which text a window is of; the windows of a text come together."""
     net, rng = Network.fresh(), np.random.default_rng(seed)
+    firsts = np.flatnonzero(np.diff(owners, prepend=-1))
+    whole = [Vocabulary([b" ".join(part)]) for part in _split(texts, firsts)]
+    wide, chars = [np.unique(v.wide) for v in whole], [np.unique(v.chars) for v in whole]
+    toxic, fold = labels[firsts], np.arange(len(firsts)) % FOLDS
+
+    def odds(rows):
+        return tuple(
+            surplus([units[i] for i in rows], toxic[rows], bits)
+            for units, bits in ((wide, ODDS_BITS), (chars, CHAR_BITS))
+        )
+
+    net.word_odds, net.char_odds = odds(np.arange(len(firsts)))
+    net.without = [odds(np.flatnonzero(fold != f)) for f in range(FOLDS)]
+    window_fold = np.asarray(owners) % FOLDS
     share = max(labels.mean(), 1e-9), max(1 - labels.mean(), 1e-9)
     weights = np.where(labels == 1, 0.5 / share[0], 0.5 / share[1]).astype(np.float32)
     first = {k: np.zeros_like(v) for k, v in net.p.items()}
     second = {k: np.zeros_like(v) for k, v in net.p.items()}
     # Small samples get more rounds, so that the steps taken do not vanish.
     steps = max(EPOCHS * len(texts) // BATCH, 250)
-    order = np.concatenate([rng.permutation(len(texts)) for _ in range(-(-steps * BATCH // len(texts)))])
+    pools = [np.flatnonzero(window_fold == f) for f in range(FOLDS)]
+    pools = [(f, p) for f, p in enumerate(pools) if len(p)]
     for step in range(1, steps + 1):
-        pick = order[(step - 1) * BATCH : step * BATCH]
+        # A batch is of one fold, so that one set of odds holds for it.
+        f, pool = pools[rng.choice(len(pools), p=[len(p) / len(texts) for _, p in pools])]
+        pick = rng.choice(pool, min(BATCH, len(pool)), replace=False)
+        seen = net.for_fold(f)
         vocabulary, index, lengths = _batch([texts[i] for i in pick])
         vocabulary.seen[rng.random(len(vocabulary.words)) < WORDLESS] = 0.0
-        g = net.gradients(vocabulary, index, lengths, labels[pick], weights[pick])
+        g = seen.gradients(vocabulary, index, lengths, labels[pick], weights[pick])
         norm = np.sqrt(sum(float((v * v).sum()) for v in g.values()))
         rate = RATE * (1.0 - 0.9 * step / steps) * min(1.0, 5.0 / max(norm, 1e-9))
         for k in net.p:
@@ -358,12 +415,20 @@ def fit(df: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id
     train_labels = np.array([r.toxic for r in got for _ in r.windows], np.float32)
     if len(set(train_labels.tolist())) < 2:
         return Model(None, np.zeros(4), prior)
-    net = train(train_texts, train_labels)
+    net = train(train_texts, train_labels, [i for i, r in enumerate(got) for _ in r.windows])
+
+    fold_of = {r.doc_id: i % FOLDS for i, r in enumerate(got)}
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bodies = (t.as_py() for t in batch.column("text"))
-            found = [f for part in chunked(bodies) for f in logits(net, part)]
+            folds = np.array([fold_of[d] for d in batch.column("doc_id").to_pylist()], np.int64)
+            found = [(0.0, 0.0, 1)] * batch.num_rows
+            for f in range(FOLDS):
+                at = np.flatnonzero(folds == f)
+                bodies = (batch.column("text")[i].as_py() for i in at.tolist())
+                seen = (x for part in chunked(bodies) for x in logits(net.for_fold(f), part))
+                for i, x in zip(at, seen, strict=True):
+                    found[i] = x
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("toxic"),
                  *[pa.array([f[i] for f in found], pa.float64()) for i in range(3)]],
@@ -379,7 +444,7 @@ def fit(df: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id
     # The classes weigh as among all labels.
     drawn_share = max(y.mean(), 1e-9)
     weight = np.where(y == 1, prior / drawn_share, (1 - prior) / max(1 - drawn_share, 1e-9))
-    return Model(net, calibrate(_facts([(r.top, r.mean, r["n"]) for r in rows]), y, weight), prior)
+    return Model(net.trained(), calibrate(_facts([(r.top, r.mean, r["n"]) for r in rows]), y, weight), prior)
 
 
 def score(df: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:
