@@ -33,7 +33,9 @@ def regex_records(
     value = F.col(column)
     if prefix is not None:
         start, literal = prefix
-        lines = lines.filter(F.substring(value, start, len(literal)) == literal)
+        # A literal at the very start is a predicate that reaches the files.
+        inside = F.substring(value, start, len(literal)) == literal
+        lines = lines.filter(value.startswith(literal) if start == 1 else inside)
     if strict:
         value = F.when(value.rlike(pattern), value).otherwise(
             F.raise_error(F.concat(F.lit("line does not match: "), value))
