@@ -254,6 +254,32 @@ def test_paraphrases_and_answers(spark):
     assert {(r.doc_id, r.item_id) for r in op8(docs, bench).collect()} == {(0, 7), (1, 7), (2, 7)}
 
 
+def test_large_benchmark(spark):
+    """Every one of 2,000 items in a host is found, also one of common words among rare ones."""
+    from labelweave.llm.decontamination import op8
+
+    rng = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(6000)]
+    odds = 1.0 / np.arange(10, 6010)
+    odds /= odds.sum()
+
+    def passage(n):
+        return [words[i] for i in rng.choice(6000, n, p=odds)]
+
+    items = [passage(int(rng.integers(16, 61))) for _ in range(2000)]
+    hosts = [passage(150) + item + passage(150) for item in items]
+    plain = [f"w{i}" for i in range(20)]
+    rare = [f"rare{i}" for i in range(400)]
+    items.append(plain)
+    hosts.append(rare[:200] + plain + rare[200:])
+    hosts += [plain] * 300
+    text = [(n, " ".join(w)) for n, w in enumerate(hosts)]
+    docs = frozen(spark.createDataFrame(text, "doc_id long, text string"), "hosts")
+    bench = spark.createDataFrame([(n, " ".join(w)) for n, w in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in op8(docs, bench).collect()}
+    assert {(n, n) for n in range(len(items))} <= got
+
+
 def test_pipeline(spark):
     """Every stage against what it must do with what it was given."""
     docs, seen = documents(spark, SF), {}
