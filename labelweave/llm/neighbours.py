@@ -7,8 +7,10 @@ and each member learns of better ones. Rounds end when few lists change. A query
 the graph: it keeps the nearest vectors seen, expands those it has not expanded, and
 ends when all are.
 
-Equal vectors are one node. Vectors travel as bytes with a scale while the graph is
-built and walked; what a walk finds is ranked by the original vectors.
+Equal vectors are one node. Vectors travel whole, as bytes of double precision, or of
+single precision where that changes no component. Ties are broken by a hash of both nodes,
+so that equally far nodes do not all list the same few. The beam of the walks is widened
+until a sample of the queries, compared with all vectors, reaches the recall asked for.
 """
 
 from __future__ import annotations
@@ -22,17 +24,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .frames import frozen
+from .words import MIX_B, U, mix
 
 K = 24  # neighbours kept per vector
 REVERSE = 2 * K  # nearest of those that have a vector as their neighbour
-GIVEN = 6  # better neighbours a member learns of in one group, at most
-ROUNDS = 8
+HELD = 1 << 19  # offers that a task cuts to each member's best before it goes on
 SETTLED = 0.005  # share of list entries that change, below which rounds end
 FIRST_ORDERS, FIRST_BLOCK = 3, 192  # random cuts into blocks that the first lists come from
-BEAM = 96  # vectors a walk keeps
+BEAM = 96  # vectors a walk keeps at first
+RECALL, SAMPLE = 0.95, 100  # least recall, and queries that it is measured on
+CLOSE = 1e-6  # squared distance, against the norms, below which it is taken anew
 ENTRIES = 8  # random vectors a walk starts from, beside its own neighbours
 
-_GRAPH = "node long, code binary, scale float, near array<long>, dist array<float>, fresh array<boolean>"
+_GRAPH = "node long, code binary, near array<long>, dist array<double>, fresh array<boolean>"
 
 
 def usable(vector):
@@ -41,36 +45,48 @@ def usable(vector):
     return vector.isNotNull() & good & F.exists(vector, lambda x: x != 0)
 
 
-def _codes(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    scale = np.abs(vectors).max(axis=1) / 127.0
-    return np.rint(vectors / scale[:, None]).astype(np.int8), scale.astype(np.float32)
+def _encode(kind: str):
+    """Vectors as bytes of a numpy type."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            flat = batch.column("vector").flatten().to_numpy(zero_copy_only=False)
+            v = flat.reshape(batch.num_rows, -1).astype(kind)
+            code = pa.array([x.tobytes() for x in v], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("node"), code], names=["node", "code"])
 
-def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        flat = batch.column("vector").flatten().to_numpy(zero_copy_only=False)
-        code, scale = _codes(flat.reshape(batch.num_rows, -1).astype(np.float64))
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("node"),
-                pa.array([c.tobytes() for c in code], pa.binary()),
-                pa.array(scale, pa.float32()),
-            ],
-            names=["node", "code", "scale"],
-        )
+    return run
+
+
+def _decode(codes: list[bytes], kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(codes), kind).reshape(len(codes), -1).astype(np.float64)
 
 
-def _decode(codes: list[bytes], scales) -> np.ndarray:
-    raw = np.frombuffer(b"".join(codes), np.int8).reshape(len(codes), -1)
-    return raw.astype(np.float32) * np.asarray(scales, np.float32)[:, None]
+def _kind(nodes: DataFrame) -> str:
+    """Single precision if every component fits it, else double."""
+    whole = F.forall("vector", lambda x: x == x.cast("float").cast("double"))
+    return "f8" if nodes.filter(~whole).limit(1).count() else "f4"
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Squared Euclidean distances of every row of a to every row of b."""
-    out = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (a @ b.T)
-    return np.maximum(out, 0.0)
+    centre = b.mean(axis=0)
+    a, b = a - centre, b - centre
+    norms = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :]
+    out = np.maximum(norms - 2.0 * (a @ b.T), 0.0)
+    # Products lose the digits of near copies.
+    x, y = np.nonzero(out <= CLOSE * norms)
+    for lo in range(0, len(x), 1 << 14):
+        p, q = x[lo : lo + (1 << 14)], y[lo : lo + (1 << 14)]
+        out[p, q] = ((a[p] - b[q]) ** 2).sum(axis=1)
+    return out
+
+
+def _lot(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """What decides between equally far pairs."""
+    return mix(mix(x.astype(U)) ^ (y.astype(U) * MIX_B))
 
 
 def _runs(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]):
@@ -92,91 +108,130 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]):
 
 def _offers(x, y, d) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(x, pa.int64()), pa.array(y, pa.int64()), pa.array(d, pa.float32())],
+        [pa.array(x, pa.int64()), pa.array(y, pa.int64()), pa.array(d, pa.float64())],
         names=["node", "other", "d"],
     )
 
 
-def _best(d: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, column) of the ``most`` least finite entries of every row."""
-    most = min(most, d.shape[1])
-    column = np.argpartition(d, most - 1, axis=1)[:, :most] if most < d.shape[1] else np.tile(
-        np.arange(d.shape[1]), (len(d), 1)
-    )
-    row = np.repeat(np.arange(len(d)), most)
-    column = column.ravel()
-    fine = np.isfinite(d[row, column])
-    return row[fine], column[fine]
+def _best(x, y, d, most: int) -> np.ndarray:
+    """Which of some distinct pairs are among the ``most`` nearest of their first node."""
+    order = np.lexsort((_lot(x, y), d, x))
+    first = np.flatnonzero(np.diff(x[order], prepend=-1))
+    place = np.arange(len(x)) - np.repeat(first, np.diff(first, append=len(x)))
+    return order[place < most]
+
+
+def _nearest(nodes: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The best finite pairs of every row. A list holds ``K``, so it can take no more of
+    one group than its ``K`` best."""
+    inside = np.isfinite(d)
+    if d.shape[1] > K:
+        inside &= d <= np.partition(d, K - 1, axis=1)[:, K - 1 : K]
+    row, column = np.nonzero(inside)
+    d = d[row, column]
+    at = _best(row.astype(np.int64), nodes[column], d, K)
+    return nodes[row[at]], nodes[column[at]], d[at]
+
+
+def _offered(found) -> Iterator[pa.RecordBatch]:
+    """Offers of a task's groups, cut to each member's best as they pile up."""
+    held, size = [], 0
+
+    def cut():
+        x, y, d = (np.concatenate(c) for c in zip(*held, strict=True))
+        order = np.lexsort((y, x))
+        x, y, d = x[order], y[order], d[order]
+        once = np.flatnonzero((np.diff(x, prepend=-1) != 0) | (np.diff(y, prepend=-1) != 0))
+        x, y, d = x[once], y[once], d[once]
+        at = _best(x, y, d, K)
+        return x[at], y[at], d[at]
+
+    for part in found:
+        held.append(part)
+        size += len(part[0])
+        if size >= HELD:
+            held = [cut()]
+            size = len(held[0][0])
+            if size > HELD // 2:
+                yield _offers(*held[0])
+                held, size = [], 0
+    if held:
+        yield _offers(*cut())
+
+
+def _first(kind: str):
+    """Nearest neighbours within a block."""
 
+    def found(batches):
+        for block in _runs(batches, ("cell", "part")):
+            v = _decode(block.column("code").to_pylist(), kind)
+            d = _distances(v, v)
+            np.fill_diagonal(d, np.inf)
+            yield _nearest(block.column("node").to_numpy(), d)
 
-def _first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Nearest neighbours within a block."""
-    for block in _runs(batches, ("cell", "part")):
-        nodes = block.column("node").to_numpy()
-        v = _decode(block.column("code").to_pylist(), block.column("scale").to_numpy())
-        d = _distances(v, v)
-        np.fill_diagonal(d, np.inf)
-        row, column = _best(d, K)
-        yield _offers(nodes[row], nodes[column], d[row, column])
+    return lambda batches: _offered(found(batches))
 
 
-def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _meet(kind: str):
     """A group's members learn of one another; at least one of a pair is fresh."""
-    for group in _runs(batches, ("hub",)):
-        nodes = group.column("member").to_numpy()
-        nodes, at = np.unique(nodes, return_index=True)
-        fresh = np.zeros(len(nodes), bool)
-        every = group.column("member").to_numpy()
-        flags = group.column("fresh").to_numpy(zero_copy_only=False)
-        np.logical_or.at(fresh, np.searchsorted(nodes, every), flags)
-        if len(nodes) < 2 or not fresh.any():
-            continue
-        codes = group.column("code").take(pa.array(at)).to_pylist()
-        scale = group.column("scale").to_numpy()[at]
-        worst = group.column("worst").to_numpy()[at]
-        v = _decode(codes, scale)
-        d = _distances(v, v)
-        np.fill_diagonal(d, np.inf)
-        d[~(fresh[:, None] | fresh[None, :])] = np.inf
-        d[d >= worst[:, None]] = np.inf
-        row, column = _best(d, GIVEN)
-        yield _offers(nodes[row], nodes[column], d[row, column])
+
+    def found(batches):
+        for group in _runs(batches, ("hub",)):
+            every = group.column("member").to_numpy()
+            nodes, at = np.unique(every, return_index=True)
+            fresh = np.zeros(len(nodes), bool)
+            flags = group.column("fresh").to_numpy(zero_copy_only=False)
+            np.logical_or.at(fresh, np.searchsorted(nodes, every), flags)
+            if len(nodes) < 2 or not fresh.any():
+                continue
+            v = _decode(group.column("code").take(pa.array(at)).to_pylist(), kind)
+            d = _distances(v, v)
+            np.fill_diagonal(d, np.inf)
+            d[~(fresh[:, None] | fresh[None, :])] = np.inf
+            # Equally far ones may still win by lot.
+            d[d > group.column("worst").to_numpy()[at][:, None]] = np.inf
+            yield _nearest(nodes, d)
+
+    return lambda batches: _offered(found(batches))
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Take the nearest of a list and what was offered to it."""
     for batch in batches:
         out = {"near": [], "dist": [], "fresh": []}
-        columns = [batch.column(c).to_pylist() for c in ("near", "dist", "offers")]
-        for near, dist, offers in zip(*columns, strict=True):
+        columns = [batch.column(c).to_pylist() for c in ("node", "near", "dist", "others", "far")]
+        for node, near, dist, others, far in zip(*columns, strict=True):
             best = {y: (d, False) for y, d in zip(near, dist, strict=True)}
-            for o in offers or ():
-                best.setdefault(o["other"], (o["d"], True))
-            top = sorted((d, y, f) for y, (d, f) in best.items())[:K]
-            out["near"].append([y for _, y, _ in top])
-            out["dist"].append([d for d, _, _ in top])
-            out["fresh"].append([f for _, _, f in top])
+            for y, d in zip(others or (), far or (), strict=True):
+                best.setdefault(y, (d, True))
+            y = np.fromiter(best, np.int64, len(best))
+            d = np.array([x for x, _ in best.values()], np.float64)
+            fresh = np.array([f for _, f in best.values()], bool)
+            top = _best(np.full(len(y), node), y, d, K)
+            out["near"].append(y[top])
+            out["dist"].append(d[top])
+            out["fresh"].append(fresh[top].tolist())
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column("node"), batch.column("code"), batch.column("scale"),
+                batch.column("node"), batch.column("code"),
                 pa.array(out["near"], pa.list_(pa.int64())),
-                pa.array(out["dist"], pa.list_(pa.float32())),
+                pa.array(out["dist"], pa.list_(pa.float64())),
                 pa.array(out["fresh"], pa.list_(pa.bool_())),
             ],
-            names=["node", "code", "scale", "near", "dist", "fresh"],
+            names=["node", "code", "near", "dist", "fresh"],
         )
 
 
-def _cells(orders: int, bits: int):
+def _cells(orders: int, bits: int, kind: str):
     """A vector's cell in each of some random cuts: the signs of random projections."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            v = _decode(batch.column("code").to_pylist(), batch.column("scale").to_numpy())
+            v = _decode(batch.column("code").to_pylist(), kind)
             planes = np.random.default_rng(v.shape[1]).normal(size=(v.shape[1], orders * bits))
-            sides = (v @ planes.astype(np.float32) > 0).reshape(len(v), orders, bits)
+            sides = (v @ planes > 0).reshape(len(v), orders, bits)
             cells = (sides * (1 << np.arange(bits))).sum(axis=2) + (np.arange(orders) << bits)
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays(
@@ -184,9 +239,8 @@ def _cells(orders: int, bits: int):
                     pa.array(np.repeat(batch.column("node").to_numpy(), orders)),
                     pa.array(cells.ravel().astype(np.int64)),
                     batch.column("code").take(pa.array(np.repeat(np.arange(n), orders))),
-                    batch.column("scale").take(pa.array(np.repeat(np.arange(n), orders))),
                 ],
-                names=["node", "cell", "code", "scale"],
+                names=["node", "cell", "code"],
             )
 
     return run
@@ -199,7 +253,7 @@ def _tasks(df: DataFrame) -> int:
 def _take(graph: DataFrame, offers: DataFrame) -> DataFrame:
     """Lists with what was offered; a list's offers are bounded by its groups."""
     given = offers.groupBy(F.col("node").alias("n")).agg(
-        F.collect_list(F.struct("other", "d")).alias("offers")
+        F.collect_list("other").alias("others"), F.collect_list("d").alias("far")
     )
     joined = graph.join(given, F.col("node") == F.col("n"), "left").drop("n", "fresh")
     return joined.mapInArrow(_merge, _GRAPH)
@@ -208,16 +262,15 @@ def _take(graph: DataFrame, offers: DataFrame) -> DataFrame:
 def build_graph(nodes: DataFrame) -> DataFrame:
     """``nodes`` (node long, vector array<double> of one length) to lists of neighbours.
 
-    Returns ``node``, ``code``, ``scale``, ``near`` and ``dist`` (squared, nearest
-    first). Node ids are unique.
+    Returns ``node``, ``code``, ``near`` and ``dist`` (squared, nearest first). Node ids
+    are unique. A round only makes lists better, so rounds end.
     """
-    codes = frozen(nodes.mapInArrow(_encode, "node long, code binary, scale float"), "codes")
+    kind = _kind(nodes)
+    codes = frozen(nodes.mapInArrow(_encode(kind), "node long, code binary"), "codes")
     n = codes.count()
     bits = max(0, int(np.ceil(np.log2(max(n, 1) / FIRST_BLOCK)))) if n else 0
     cells = frozen(
-        codes.mapInArrow(
-            _cells(FIRST_ORDERS, bits), "node long, cell long, code binary, scale float"
-        ),
+        codes.mapInArrow(_cells(FIRST_ORDERS, bits, kind), "node long, cell long, code binary"),
         "cells",
     )
     # A cell that holds very many vectors is dealt out at random into blocks.
@@ -227,21 +280,21 @@ def build_graph(nodes: DataFrame) -> DataFrame:
     blocks = cells.join(full, F.col("cell") == F.col("c")).withColumn(
         "part", F.pmod(F.xxhash64("node", "cell"), F.col("parts")).cast("int")
     )
-    none = [F.array().cast(f"array<{t}>").alias(c) for c, t in (("near", "long"), ("dist", "float"))]
+    none = [F.array().cast(f"array<{t}>").alias(c) for c, t in (("near", "long"), ("dist", "double"))]
     start = codes.select("*", *none, F.array().cast("array<boolean>").alias("fresh"))
     offers = (
-        blocks.select("cell", "part", "node", "code", "scale")
+        blocks.select("cell", "part", "node", "code")
         .repartition(_tasks(nodes), "cell", "part")
         .sortWithinPartitions("cell", "part", "node")
-        .mapInArrow(_first, "node long, other long, d float")
+        .mapInArrow(_first(kind), "node long, other long, d double")
     )
     graph = frozen(_take(start, offers), "graph")
-    for _ in range(ROUNDS):
+    while True:
         changed = graph.agg(F.sum(F.size(F.filter("fresh", lambda f: f)))).first()[0] or 0
         if changed <= SETTLED * n * K:
             break
-        graph = frozen(_take(graph, _round(graph)), "graph")
-    return graph.select("node", "code", "scale", "near", "dist")
+        graph = frozen(_take(graph, _round(graph, kind)), "graph")
+    return graph.select("node", "code", "near", "dist")
 
 
 def _reverse(graph: DataFrame, *more) -> DataFrame:
@@ -249,28 +302,29 @@ def _reverse(graph: DataFrame, *more) -> DataFrame:
     entries = graph.select(
         F.col("node").alias("member"), F.explode(F.arrays_zip("near", "dist", *more)).alias("e")
     ).select(F.col("e.near").alias("hub"), "member", F.col("e.dist").alias("d"), *[f"e.{m}" for m in more])
+    lot = F.xxhash64("hub", "member")
     # First within slices of a popular hub's admirers, then among those left.
-    sliced = Window.partitionBy("hub", F.pmod(F.xxhash64("member"), F.lit(16))).orderBy("d", "member")
-    final = Window.partitionBy("hub").orderBy("d", "member")
+    sliced = Window.partitionBy("hub", F.pmod(F.xxhash64("member"), F.lit(16))).orderBy("d", lot)
+    final = Window.partitionBy("hub").orderBy("d", lot)
     for window in (sliced, final):
         entries = entries.withColumn("place", F.row_number().over(window))
         entries = entries.filter(F.col("place") <= REVERSE).drop("place")
     return entries
 
 
-def _round(graph: DataFrame) -> DataFrame:
+def _round(graph: DataFrame, kind: str) -> DataFrame:
     ahead = graph.select(
         F.col("node").alias("hub"), F.explode(F.arrays_zip("near", "fresh")).alias("e")
     ).select("hub", F.col("e.near").alias("member"), "e.fresh")
     pairs = ahead.union(_reverse(graph, "fresh").select("hub", "member", "fresh"))
     worst = F.when(F.size("dist") < K, F.lit(float("inf"))).otherwise(F.element_at("dist", -1))
-    facts = graph.select(F.col("node").alias("n"), "code", "scale", worst.cast("float").alias("worst"))
+    facts = graph.select(F.col("node").alias("n"), "code", worst.cast("double").alias("worst"))
     return (
         pairs.join(facts, F.col("member") == F.col("n"))
         .drop("n")
         .repartition(_tasks(graph), "hub")
         .sortWithinPartitions("hub", "member")
-        .mapInArrow(_meet, "node long, other long, d float")
+        .mapInArrow(_meet(kind), "node long, other long, d double")
     )
 
 
@@ -278,46 +332,67 @@ def _walkable(graph: DataFrame) -> DataFrame:
     """A row per node: those next to it, both ways, with their codes."""
     ahead = graph.select("node", F.explode("near").alias("other"))
     back = _reverse(graph).select(F.col("hub").alias("node"), F.col("member").alias("other"))
-    codes = graph.select(F.col("node").alias("other"), "code", "scale")
+    codes = graph.select(F.col("node").alias("other"), "code")
     return (
         ahead.union(back)
         .distinct()
         .join(codes, "other")
         .groupBy("node")
-        .agg(F.collect_list(F.struct("other", "code", "scale")).alias("next"))
+        .agg(F.collect_list(F.struct("other", "code")).alias("next"))
     )
 
 
-def _step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _step(kind: str):
     """Distances of a query to all that lie next to the nodes it expands."""
-    for batch in batches:
-        rows = batch.to_pylist()
-        q, other, d = [], [], []
-        for r in rows:
-            if not r["next"]:
-                continue
-            own = _decode([r["code"]], [r["scale"]])
-            v = _decode([x["code"] for x in r["next"]], [x["scale"] for x in r["next"]])
-            q += [r["query"]] * len(v)
-            other += [x["other"] for x in r["next"]]
-            d += _distances(own, v)[0].tolist()
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(q, pa.int64()), pa.array(other, pa.int64()), pa.array(d, pa.float32()),
-             pa.array(np.zeros(len(q), bool))],
-            names=["query", "node", "d", "done"],
-        )
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            q, other, d = [], [], []
+            for r in batch.to_pylist():
+                v = _decode([x["code"] for x in r["next"]], kind)
+                q += [r["query"]] * len(v)
+                other += [x["other"] for x in r["next"]]
+                d += ((v - _decode([r["code"]], kind)) ** 2).sum(axis=1).tolist()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(q, pa.int64()), pa.array(other, pa.int64()), pa.array(d, pa.float64()),
+                 pa.array(np.zeros(len(q), bool))],
+                names=["query", "node", "d", "done"],
+            )
+
+    return run
 
-def walk(graph: DataFrame, queries: DataFrame) -> DataFrame:
-    """Greedy search: ``query``, ``node``, ``d`` of the ``BEAM`` nearest nodes seen.
+
+def _nearest_of_all(graph: DataFrame, sample: list, kind: str, top: int) -> dict[int, list[float]]:
+    """How far the ``top`` nearest of each sampled node reach, all nodes compared."""
+    asked, own = np.array([r.query for r in sample], np.int64), _decode([r.code for r in sample], kind)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = np.full((len(asked), top), np.inf)
+        for batch in batches:
+            if batch.num_rows:
+                d = _distances(own, _decode(batch.column("code").to_pylist(), kind))
+                d[asked[:, None] == batch.column("node").to_numpy()[None, :]] = np.inf
+                best = np.sort(np.concatenate([best, d], axis=1), axis=1)[:, :top]
+        q, d = np.repeat(asked, top), best.ravel()
+        fine = np.isfinite(d)
+        yield pa.RecordBatch.from_arrays([pa.array(q[fine]), pa.array(d[fine])], names=["query", "d"])
+
+    found = graph.select("node", "code").mapInArrow(run, "query long, d double")
+    place = F.row_number().over(Window.partitionBy("query").orderBy("d"))
+    found = found.withColumn("place", place).filter(F.col("place") <= top)
+    return {r.query: sorted(r.d) for r in found.groupBy("query").agg(F.collect_list("d").alias("d")).collect()}
+
+
+def walk(graph: DataFrame, queries: DataFrame, kind: str, top: int = 10) -> DataFrame:
+    """Greedy search: ``query``, ``node``, ``d`` of the nearest nodes seen.
 
     ``queries`` are nodes of the graph (column ``query``). A walk starts at its own node
-    and at some random ones.
+    and at some random ones, and keeps ``BEAM`` nodes, more where that finds less than
+    ``RECALL`` of the ``top`` nearest of ``SAMPLE`` queries: the walks then go on with
+    twice the beam. A beam as large as the graph ends this too.
     """
     links = frozen(_walkable(graph), "links")
-    own = frozen(
-        queries.join(graph.select(F.col("node").alias("query"), "code", "scale"), "query"), "queries"
-    )
+    own = frozen(queries.join(graph.select(F.col("node").alias("query"), "code"), "query"), "queries")
     # Random entries: each query takes the next few nodes in the order of a hash ring cut
     # into as many cells as there are queries.
     cells = max(1, own.count())
@@ -326,27 +401,37 @@ def walk(graph: DataFrame, queries: DataFrame) -> DataFrame:
     doors = graph.select("node", ring.alias("cell")).withColumn("place", place)
     doors = doors.filter(F.col("place") <= ENTRIES).select("node", "cell")
     seats = own.select("query", F.pmod(F.xxhash64("query"), F.lit(cells)).alias("cell"))
-    far = F.lit(float("inf")).cast("float").alias("d")
-    beam = own.select("query", F.col("query").alias("node"), F.lit(0.0).cast("float").alias("d"), F.lit(False).alias("done"))
+    far = F.lit(float("inf")).alias("d")
+    beam = own.select("query", F.col("query").alias("node"), F.lit(0.0).alias("d"), F.lit(False).alias("done"))
     beam = beam.union(seats.join(doors, "cell").filter("query != node").select("query", "node", far, F.lit(False)))
     beam = frozen(beam, "beam")
-    nearest = Window.partitionBy("query").orderBy("d", "node")
+    nearest = Window.partitionBy("query").orderBy("d", F.xxhash64("query", "node"))
+    sample = own.orderBy(F.xxhash64("query"), "query").limit(SAMPLE).collect()
+    truth = _nearest_of_all(graph, sample, kind, top) if sample else {}
+    most, n = BEAM, graph.count()
     while True:
         todo = beam.filter("not done")
         if not todo.limit(1).count():
-            break
+            got = beam.filter(F.col("query").isin(list(truth))).filter("query != node").collect()
+            near = {q: sorted(r.d for r in got if r.query == q)[:top] for q in truth}
+            hits = sum(sum(d <= x[-1] * (1 + 1e-9) for d in near[q]) for q, x in truth.items())
+            if most >= n or hits >= RECALL * sum(map(len, truth.values())):
+                return beam.select("query", "node", "d")
+            # What the narrow beam dropped comes back when its nodes are expanded again.
+            most *= 2
+            beam = frozen(beam.withColumn("done", F.lit(False)), "beam")
+            continue
         found = (
             todo.select("query", "node")
             .join(own, "query")
             .join(links, "node")
-            .select("query", "code", "scale", "next")
-            .mapInArrow(_step, "query long, node long, d float, done boolean")
+            .select("query", "code", "next")
+            .mapInArrow(_step(kind), "query long, node long, d double, done boolean")
         )
         seen = beam.withColumn("done", F.lit(True)).union(found)
         merged = seen.groupBy("query", "node").agg(F.min("d").alias("d"), F.max("done").alias("done"))
         ranked = merged.withColumn("place", F.row_number().over(nearest))
-        beam = frozen(ranked.filter(F.col("place") <= BEAM).drop("place"), "beam")
-    return beam.select("query", "node", "d")
+        beam = frozen(ranked.filter(F.col("place") <= most).drop("place"), "beam")
 
 
 def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -396,7 +481,7 @@ def search(df: DataFrame, is_query, top: int = 10, key: str = "vec_id", vector:
         named.filter(is_query(F.col("id"))).select(F.col("id").alias("query_id"), F.col("node").alias("query")),
         "asked",
     )
-    found = walk(graph, asked.select("query").distinct())
+    found = walk(graph, asked.select("query").distinct(), _kind(nodes), top)
     ends_a = nodes.select(F.col("node").alias("query"), F.col("vector").alias("a"))
     ends_b = nodes.select("node", F.col("vector").alias("b"))
     scored = (

@@ -216,6 +216,47 @@ def test_neighbours_recall(spark):
     assert hits >= 0.95 * 10 * len(got)
 
 
+@pytest.mark.parametrize("noise", [None, 1e-4])
+def test_neighbours_of_near_copies(spark, noise):
+    """Thousands of near copies of one vector, and vectors without any structure."""
+    from labelweave.llm.neighbours import search
+
+    rng = np.random.default_rng(5)
+    v = rng.normal(size=(4000, 64))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    if noise:
+        v[:3000] = v[0] + rng.normal(size=(3000, 64)) * noise * np.abs(v[0]).max()
+    rows = [(n, x.tolist()) for n, x in enumerate(v)]
+    df = frozen(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "copies")
+    got = defaultdict(set)
+    for r in search(df, lambda i: i % 50 == 0).collect():
+        got[r.query_id].add(r.vec_id)
+    hits = 0
+    for q in range(0, 4000, 50):
+        d = ((v - v[q]) ** 2).sum(axis=1)
+        d[q] = np.inf
+        hits += len(set(np.argsort(d)[:10].tolist()) & got[q])
+    assert hits >= 0.95 * 10 * 80
+
+
+def test_a_group_offers_all_that_a_list_can_take():
+    import pyarrow as pa
+
+    from labelweave.llm import neighbours
+
+    n = 30
+    v = np.random.default_rng(1).normal(size=(n, 8))
+    group = pa.RecordBatch.from_pydict({
+        "hub": np.zeros(n, np.int64), "member": np.arange(n), "fresh": np.ones(n, bool),
+        "code": [x.tobytes() for x in v], "worst": np.full(n, np.inf),
+    })
+    offers = [b.to_pydict() for b in neighbours._meet("f8")([group])]
+    got = {pair for o in offers for pair in zip(o["node"], o["other"], strict=True)}
+    d = ((v[:, None] - v[None]) ** 2).sum(axis=2)
+    np.fill_diagonal(d, np.inf)
+    assert got == {(i, int(j)) for i in range(n) for j in np.argsort(d[i])[: neighbours.K]}
+
+
 def holds(text, item):
     def fold(t):
         return "".join(c if ord(c) > 127 or c.isalnum() else " " for c in t.lower()).split()
