@@ -2,7 +2,8 @@
 
 A word goes in as a vector of its own (hashed), the mean of its characters' vectors
 (hashed triples of bytes), and how much more often than by chance the word and its
-characters stood in toxic training texts. Two gated recurrent passes, one each way, read a window of
+characters stood in toxic training texts. Words longer than ``LONGEST`` bytes, such as text
+without spaces, go in as pieces, each a step of its own. Two gated recurrent passes, one each way, read a window of
 words; attention weighs their states into one vector, and a logit follows. Every window
 of every text is scored, and windows overlap. A text's score is a logistic function of
 its highest and mean logit and its number of windows.
@@ -40,7 +41,7 @@ SCORED = 2048  # windows scored at once
 
 # ASCII punctuation becomes white space.
 _FOLD = bytes(c if c > 127 or chr(c).isalnum() else 32 for c in range(256))
-_POWERS = powers(MIX_A, 64)
+LONGEST = 64  # bytes of a step; longer words are cut into pieces
 
 
 class Vocabulary:
@@ -51,20 +52,19 @@ class Vocabulary:
         ink = raw != 32
         edges = np.flatnonzero(np.diff(ink, prepend=False, append=False))
         starts, lengths = edges[::2], edges[1::2] - edges[::2]
-        # Words longer than the table count by their head and length.
-        heads = np.minimum(lengths, len(_POWERS))
-        offsets = np.cumsum(heads) - heads
-        place = np.arange(int(heads.sum())) - np.repeat(offsets, heads)
-        at = np.repeat(starts, heads) + place
+        offsets = np.cumsum(lengths) - lengths
+        place = np.arange(int(lengths.sum())) - np.repeat(offsets, lengths)
+        at = np.repeat(starts, lengths) + place
         if len(starts):
-            sums = np.add.reduceat(raw[at].astype(U) * _POWERS[place], offsets)
+            weights = powers(MIX_A, int(lengths.max()))
+            sums = np.add.reduceat(raw[at].astype(U) * weights[place], offsets)
             names = mix(sums + lengths.astype(U) * MIX_B)
         else:
             names = np.zeros(0, U)
         unique, first, self.index = np.unique(names, return_index=True, return_inverse=True)
         self.words = (unique >> U(64 - WORD_BITS)).astype(np.int64)
         self.wide = (unique >> U(64 - ODDS_BITS)).astype(np.int64)
-        self.sizes = heads[first]
+        self.sizes = lengths[first]
         self.starts = np.cumsum(self.sizes) - self.sizes
         inner = np.arange(int(self.sizes.sum())) - np.repeat(self.starts, self.sizes)
         p = np.repeat(starts[first], self.sizes) + inner
@@ -77,8 +77,27 @@ class Vocabulary:
 
 
 def fold(text: str | None) -> bytes:
-    """Lower-cased words without ASCII punctuation, one space between."""
-    return b" ".join((text or "").lower().encode().translate(_FOLD).split())
+    """Lower-cased words without ASCII punctuation, one space between; long ones in pieces."""
+    words = (text or "").lower().encode().translate(_FOLD).split()
+    if max(map(len, words), default=0) > LONGEST:
+        words = [piece for word in words for piece in _cut(word)]
+    return b" ".join(words)
+
+
+def _cut(word: bytes) -> Iterator[bytes]:
+    """Consecutive pieces of at most ``LONGEST`` bytes, cut between characters. The next
+    starts with the last character or two (at least two bytes) of the one before, so
+    that every triple of the word lies in a piece."""
+    lo = 0
+    while len(word) - lo > LONGEST:
+        hi = lo + LONGEST
+        while word[hi] & 0xC0 == 0x80:
+            hi -= 1
+        yield word[lo:hi]
+        lo = hi - 2
+        while word[lo] & 0xC0 == 0x80:
+            lo -= 1
+    yield word[lo:]
 
 
 def windows_of(n: int) -> np.ndarray:

@@ -140,6 +140,19 @@ def test_toxicity_on_held_out_labels(spark):
     assert np.mean([(s >= 0.5) == bool(t) for s, t in known]) > 0.96
 
 
+def test_long_words_are_read_whole():
+    long = "\u3042\u4e00b" * 400
+    ends = [long + end for end in ("\u6bd2\u6bd2\u6bd2", "\u826f\u3044\u65e5", "abc", "abd")]
+    net = toxicity.Network.fresh()
+    top = [x[1] for x in toxicity.logits(net, [toxicity.fold(t) for t in ends])]
+    assert len({round(x, 6) for x in top}) == len(ends)
+    for text in [*ends, "x" * 65, "\U0001f600" * 50]:
+        pieces = toxicity.fold(text).split()
+        body, whole = text.encode(), b" ".join(pieces)
+        assert max(map(len, pieces)) <= 64 and whole.decode()
+        assert all(any(body[i : i + 3] in p for p in pieces) for i in range(len(body) - 2))
+
+
 def test_gradients_are_right():
     texts = [b"some words here", b"other words", b"one", b"words and more words to read"]
     net = toxicity.Network.fresh()
