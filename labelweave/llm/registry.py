@@ -9,11 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import (
     anchors,
+    conversations,
     decontamination,
     minhash,
     mixing,
     neighbours,
     pages,
+    periods,
+    phrases,
     secrets,
     sharding,
     suffixes,
@@ -36,6 +39,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     ),
     "op9_minhash_near_dedup": lambda spark, sf: minhash.op9(documents(spark, sf)),
     "op10_jump_sharding": lambda spark, sf: sharding.op10(documents(spark, sf)),
+    "op11_checkpointed_repair": lambda spark, sf: conversations.op11(table(spark, sf, "conversations")),
+    "op12_phrase_fingerprints": lambda spark, sf: phrases.op12(documents(spark, sf)),
+    "op13_recompressed_runs": lambda spark, sf: periods.op13(documents(spark, sf)),
     "pipeline": corpus_pipeline.run,
 }
 
@@ -45,6 +51,8 @@ ORACLES: dict[str, str] = {
     "op5_sparse_suffixes": suffixes.OP5_SQL,
     "op7_secret_scan": secrets.OP7_SQL,
     "op9_minhash_near_dedup": minhash.OP9_SQL,
+    "op11_checkpointed_repair": conversations.OP11_SQL,
+    "op13_recompressed_runs": periods.OP13_SQL,
 }
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -15,6 +15,6 @@ def test_matches_sql(spark, name):
 
 
 def test_names():
-    wanted = [f"op{n}_" for n in range(1, 11)]
+    wanted = [f"op{n}_" for n in range(1, 14)]
     assert [q.split("_")[0] + "_" for q in QUERIES if q != "pipeline"] == wanted
     assert "pipeline" in QUERIES
