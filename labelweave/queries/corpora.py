@@ -630,7 +630,7 @@ AROUSAL_SQL = sql_pick(["high", "medium", "low"], "{} % 5")
         f"{sql_pick(ELECTORAL_LABELS, 'o_custkey % 19')}, {VALENCE_SQL.format('o_custkey')}, "
         f"{AROUSAL_SQL.format('o_custkey')} FROM orders",
         "text",
-        "id",
+        "id, trust_ NULLS FIRST, valence NULLS FIRST, arousal NULLS FIRST",
         {"ids": "id", "annotator_trusts": "trust_", "valence": "valence", "arousal": "arousal"},
         {n: f"COUNT(*) FILTER (WHERE emotion = {sql_text(n)})" for n in ELECTORAL_LABELS},
         ITEMS_PER_PART,

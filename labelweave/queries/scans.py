@@ -101,6 +101,13 @@ def scan_glob_union(spark, sf_dir):
     return read_delimited(spark, f"{base}/*/*.csv", "id bigint, text string")
 
 
+@query("scan_quoted_breaks", "SELECT doc_id AS id, text, source FROM documents")
+def scan_quoted_breaks(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text", "source")
+    path = staged_csv(docs, staging(spark), quoteAll="true")
+    return read_delimited(spark, path, "id bigint, text string, source string", Dialect(split=True))
+
+
 @query(
     "scan_union_by_name",
     "SELECT doc_id, text, lang, NULL::BIGINT AS page_id FROM documents "

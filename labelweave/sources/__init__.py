@@ -9,6 +9,7 @@ from .delimited import (
     read_headerless,
     read_union_by_name,
 )
+from .quoted import quoted_records
 from .records import (
     load_splits,
     read_json_records,
@@ -22,6 +23,7 @@ __all__ = [
     "Dialect",
     "count_malformed",
     "load_splits",
+    "quoted_records",
     "read_by_header",
     "read_delimited",
     "read_header_cast",

@@ -8,15 +8,17 @@ from labelweave.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
-# The only queries that may run Python: entity and encoding repair, user code.
+# The only queries that may run Python: entity and encoding repair, user code, and the
+# states of lines in blocks.
 PYTHON = {
     "html_unescape", "text_redecode", "row_map_udf", "pipe_tec", "pipe_emotionstimulus",
+    "scan_quoted_breaks",
 }
 # Row numbers within keys, files or listings.
 RANKED = {
     "dedup_merge_by_text", "collect_nullable_arrays", "collect_arrays_in_parts", "pipe_emoint",
     "pipe_electoraltweets", "join_positional", "join_positional_delimited", "pipe_wassa22",
-    "dataset_manifest",
+    "dataset_manifest", "scan_quoted_breaks",
 }
 # One shuffle, with partial aggregation before it.
 ONE_SHUFFLE = (
@@ -73,3 +75,12 @@ def test_pruning_and_pushdown(spark):
 
 def test_isear_is_not_sorted_before_it_is_written(spark):
     assert "rangepartitioning" not in plan(spark, "pipe_isear")
+
+
+def test_lists_need_one_shuffle_of_rows(spark):
+    """Where no key is large its branch falls away, and lists and sums share a shuffle."""
+    df = QUERIES["collect_nullable_arrays"](spark, SF)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "Window" not in final
+    assert final.count("ObjectHashAggregate") + final.count("SortAggregate") == 2  # partial and final
