@@ -116,6 +116,21 @@ class Network:
     # The same without the texts of each fold.
     without: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)
 
+    def __getstate__(self) -> tuple:
+        """Most units have no odds: only the others travel to tasks."""
+        odds = [(self.word_odds, self.char_odds), *self.without]
+        return self.p, [[(at.astype(np.int32), x[at]) for x in pair for at in [np.flatnonzero(x)]] for pair in odds]
+
+    def __setstate__(self, state: tuple) -> None:
+        self.p, sparse = state
+        odds = []
+        for pair in sparse:
+            dense = [np.zeros(1 << bits, np.float32) for bits in (ODDS_BITS, CHAR_BITS)]
+            for x, (at, values) in zip(dense, pair, strict=True):
+                x[at] = values
+            odds.append(tuple(dense))
+        (self.word_odds, self.char_odds), *self.without = odds
+
     def for_fold(self, fold: int) -> Network:
         """The network as texts of a fold may see it."""
         return Network(self.p, *self.without[fold])
@@ -272,8 +287,12 @@ def train(texts: list[bytes], labels: np.ndarray, owners: list[int], seed: int =
     says which text a window is of; the windows of a text come together."""
     net, rng = Network.fresh(), np.random.default_rng(seed)
     firsts = np.flatnonzero(np.diff(owners, prepend=-1))
-    whole = [Vocabulary([b" ".join(part)]) for part in _split(texts, firsts)]
-    wide, chars = [np.unique(v.wide) for v in whole], [np.unique(v.chars) for v in whole]
+    # One text's vocabulary at a time: what stays of it are the units it holds.
+    wide, chars = [], []
+    for part in _split(texts, firsts):
+        vocabulary = Vocabulary([b" ".join(part)])
+        wide.append(np.unique(vocabulary.wide).astype(np.int32))
+        chars.append(np.unique(vocabulary.chars).astype(np.int16))
     toxic, fold = labels[firsts], np.arange(len(firsts)) % FOLDS
 
     def odds(rows):
@@ -284,6 +303,7 @@ def train(texts: list[bytes], labels: np.ndarray, owners: list[int], seed: int =
 
     net.word_odds, net.char_odds = odds(np.arange(len(firsts)))
     net.without = [odds(np.flatnonzero(fold != f)) for f in range(FOLDS)]
+    del wide, chars
     window_fold = np.asarray(owners) % FOLDS
     share = max(labels.mean(), 1e-9), max(1 - labels.mean(), 1e-9)
     weights = np.where(labels == 1, 0.5 / share[0], 0.5 / share[1]).astype(np.float32)
@@ -434,9 +454,11 @@ def fit(df: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id
     train_labels = np.array([r.toxic for r in got for _ in r.windows], np.float32)
     if len(set(train_labels.tolist())) < 2:
         return Model(None, np.zeros(4), prior)
-    net = train(train_texts, train_labels, [i for i, r in enumerate(got) for _ in r.windows])
-
     fold_of = {r.doc_id: i % FOLDS for i, r in enumerate(got)}
+    owners = [i for i, r in enumerate(got) for _ in r.windows]
+    del got, drawn
+    net = train(train_texts, train_labels, owners)
+    del train_texts, owners
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
