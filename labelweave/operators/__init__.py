@@ -11,6 +11,14 @@ from .merging import (
     positional_join,
     with_row_position,
 )
+from .openlabels import (
+    frequent_labels,
+    label_summary,
+    merge_summaries,
+    open_vote_counts,
+    pivot_open,
+    summarised_labels,
+)
 from .reshape import (
     long_to_wide,
     pivot_any_value,
@@ -29,25 +37,31 @@ __all__ = [
     "append_by_position",
     "count_non_null",
     "full_outer_merge",
+    "frequent_labels",
     "gather_lists",
     "join_on",
+    "label_summary",
     "keep_arity",
     "keep_parseable",
     "long_to_wide",
     "map_batches",
     "means",
     "merge_by_key",
+    "merge_summaries",
     "natural_self_map",
+    "open_vote_counts",
     "ordered",
     "pivot_any_value",
     "pivot_count",
     "pivot_flag",
     "pivot_mean",
+    "pivot_open",
     "pivot_presence",
     "pivot_sum",
     "positional_join",
     "sorted_registry",
     "sql_over",
+    "summarised_labels",
     "unknown_labels",
     "unpivot",
     "with_row_position",

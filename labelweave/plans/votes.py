@@ -9,7 +9,13 @@ from pyspark.sql import types as T
 
 from ..columns import col
 from ..functions import map_codes, pair_votes, project, split_item, vote_counts
-from ..operators import append_by_name, gather_lists, natural_self_map, pivot_presence
+from ..operators import (
+    append_by_name,
+    gather_lists,
+    natural_self_map,
+    open_vote_counts,
+    pivot_presence,
+)
 from ..sources import Dialect, read_delimited, read_json_records, with_path_parts
 from ..sources.delimited import as_schema
 from .base import Corpus, CorpusInfo, Raws, register
@@ -147,6 +153,9 @@ HURRICANES24_SCHEMA = "text string, annotations map<string, struct<{}>>".format(
     ", ".join(f"{name}: boolean" for name in HURRICANES24_LABELS)
 )
 
+# The same with labels of any name.
+HURRICANES24_OPEN_SCHEMA = "text string, annotations map<string, map<string, boolean>>"
+
 
 def _hurricanes24_read(spark: SparkSession, folder: str) -> Raws:
     tweets = read_json_records(spark, f"{folder}/*.jsonl", HURRICANES24_SCHEMA)
@@ -154,7 +163,12 @@ def _hurricanes24_read(spark: SparkSession, folder: str) -> Raws:
 
 
 def _hurricanes24_build(raws: Raws) -> DataFrame:
+    """Votes per label. Answers read as maps of label to flag may name further labels:
+    their votes are in the map ``other``."""
     keep = ["hurricane", "text"]
+    answers = raws["tweets"].schema["annotations"].dataType.valueType
+    if isinstance(answers, T.MapType):
+        return open_vote_counts(raws["tweets"], "annotations", HURRICANES24_LABELS, keep)
     return vote_counts(raws["tweets"], "annotations", HURRICANES24_LABELS, keep)
 
 

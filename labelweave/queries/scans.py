@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..columns import col
 from ..functions import vote_counts
-from ..operators import sql_over
+from ..operators import open_vote_counts, sql_over
 from ..sinks import read_dataset, write_dataset
 from ..sources import (
     Dialect,
@@ -21,6 +21,8 @@ from ..sources import (
     read_union_by_name,
     redecode_utf7,
     regex_records,
+    rejected_rows,
+    scan_with_rejects,
     with_path_parts,
 )
 from .base import query, staged_csv, staging, table
@@ -88,6 +90,30 @@ def scan_tolerant_drop(spark, sf_dir):
     return read_headerless(spark, path, "event_id bigint, value double", dialect, bad_rows="drop")
 
 
+@query(
+    "scan_rejects",
+    "SELECT CASE event_type WHEN 'view' THEN 'user_id is no bigint' ELSE 'number of fields' END AS reason, "
+    "CAST(event_id AS VARCHAR) || CASE event_type WHEN 'error' THEN '' WHEN 'view' THEN '|n/a' "
+    "ELSE '|' || CAST(user_id AS VARCHAR) || '|more' END AS record FROM events "
+    "WHERE event_type IN ('error', 'signup', 'view')",
+)
+def scan_rejects(spark, sf_dir):
+    # Errors lack a field, sign-ups have one too many, views no number.
+    kind, number = F.col("event_type"), F.col("event_id").cast("string")
+    lines = table(spark, sf_dir, "events").select(
+        F.when(kind == "error", number)
+        .when(kind == "signup", F.concat_ws("|", number, "user_id", F.lit("more")))
+        .when(kind == "view", F.concat_ws("|", number, F.lit("n/a")))
+        .otherwise(F.concat_ws("|", number, "user_id"))
+        .alias("line")
+    )
+    path = staging(spark)
+    lines.write.text(path)
+    dialect = Dialect(sep="|", header=False, multi_line=False)
+    scan = scan_with_rejects(spark, path, "event_id bigint, user_id bigint", dialect)
+    return rejected_rows(scan).drop("file")
+
+
 @query(
     "scan_glob_union",
     "SELECT doc_id AS id, text FROM documents UNION ALL SELECT item_id AS id, text FROM benchmark",
@@ -180,6 +206,28 @@ def nested_vote_count(spark, sf_dir):
     return vote_counts(ballots, "annotations", VOTE_LABELS, keep=["text"], unasked=0)
 
 
+@query(
+    "open_vote_count",
+    VOTE_SQL.format(end="END").replace(' AS "R"', " AS r", 1).replace("SELECT 'order '", "SELECT * EXCLUDE (r), "
+    "COALESCE('R=' || CAST(r AS VARCHAR), '') AS other FROM (SELECT 'order '", 1) + ")",
+)
+def open_vote_count(spark, sf_dir):
+    """Two labels are listed, the third is among the others."""
+    flag = F.col("l_returnflag")
+    workers = {
+        "w1": F.create_map(flag, F.col("l_quantity") > 25),
+        "w2": F.create_map(flag, F.col("l_discount") > 0.05),
+        "w3": F.create_map(F.lit("N"), F.col("l_tax") > 0.04),
+    }
+    ballots = table(spark, sf_dir, "lineitem").select(
+        F.format_string("order %d line %d", F.col("l_orderkey"), F.col("l_linenumber")).alias("text"),
+        F.create_map(*[x for w, votes in workers.items() for x in (F.lit(w), votes)]).alias("annotations"),
+    )
+    counted = open_vote_counts(ballots, "annotations", VOTE_LABELS[:2], keep=["text"])
+    entries = F.transform(F.map_entries("other"), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string")))
+    return counted.withColumn("other", F.array_join(entries, ","))
+
+
 @query(
     "scan_json_field",
     "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events",

@@ -41,20 +41,24 @@ from ..operators import (
     join_on,
     keep_arity,
     keep_parseable,
+    label_summary,
     long_to_wide,
     map_batches,
     means,
     merge_by_key,
+    merge_summaries,
     natural_self_map,
     ordered,
     pivot_any_value,
     pivot_count,
     pivot_flag,
     pivot_mean,
+    pivot_open,
     pivot_presence,
     pivot_sum,
     positional_join,
     sorted_registry,
+    summarised_labels,
     unpivot,
 )
 from ..plans.records import XED_CODES
@@ -717,3 +721,59 @@ def count_non_null_(spark, sf_dir):
 )
 def mean_by_group(spark, sf_dir):
     return means(docs_with_labels(spark, sf_dir, "lang", "n_chars"), ["lang"], ["quality", "n_chars"])
+
+
+# --- labels that are not known beforehand ------------------------------------------
+
+
+def as_text(entries):
+    """A map as text, for comparison: its entries in the order they have."""
+    return F.array_join(
+        F.transform(F.map_entries(entries), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))), ","
+    )
+
+
+@query(
+    "label_summary",
+    "SELECT lang, source AS label, COUNT(*) AS n_rows FROM documents WHERE source IS NOT NULL GROUP BY ALL",
+)
+def label_summary_(spark, sf_dir):
+    """Summaries of two halves, merged per language."""
+    docs = table(spark, sf_dir, "documents").select("lang", "source", (F.col("n_chars") % 2).alias("half"))
+    parts = label_summary(docs, "source", by=["lang", "half"])
+    return summarised_labels(merge_summaries(parts, by=["lang"]), by=["lang"])
+
+
+OPEN_SQL = (
+    "WITH n AS (SELECT user_id, event_type, {cell} AS v FROM events GROUP BY ALL) SELECT user_id, "
+    "{click} AS click, {view} AS view, COALESCE(string_agg(event_type || '=' || CAST(v AS VARCHAR), ',' "
+    "ORDER BY event_type) FILTER (WHERE event_type NOT IN ('click', 'view')), '') AS other FROM n GROUP BY user_id"
+)
+
+
+@query(
+    "pivot_open_count",
+    OPEN_SQL.format(
+        cell="COUNT(*)",
+        click="COALESCE(CAST(SUM(v) FILTER (WHERE event_type = 'click') AS BIGINT), 0)",
+        view="COALESCE(CAST(SUM(v) FILTER (WHERE event_type = 'view') AS BIGINT), 0)",
+    ),
+)
+def pivot_open_count(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("user_id", "event_type")
+    wide = pivot_open(events, "event_type", labels=("click", "view"))
+    return wide.withColumn("other", as_text(F.col("other")))
+
+
+@query(
+    "pivot_open_max",
+    OPEN_SQL.format(
+        cell="MAX(event_id)",
+        click="MAX(v) FILTER (WHERE event_type = 'click')",
+        view="MAX(v) FILTER (WHERE event_type = 'view')",
+    ),
+)
+def pivot_open_max(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("user_id", "event_type", "event_id")
+    wide = pivot_open(events, "event_type", "max", "event_id", labels=("click", "view"))
+    return wide.withColumn("other", as_text(F.col("other")))

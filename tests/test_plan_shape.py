@@ -32,7 +32,7 @@ NO_SHUFFLE = (
     "vote_sum_pairs", "map_codes", "nested_vote_count", "text_clean", "html_unescape",
     "append_by_name", "split_concat", "pipe_goemotions", "pipe_ssec", "pipe_usvsthem",
     "pipe_carer", "pipe_xed", "pipe_ren20k", "pipe_talesemotions", "pipe_hurricanes24",
-    "pipe_sentimentalliar", "pipe_semeval2018classification", "pipe_fbvalencearousal",
+    "open_vote_count", "scan_rejects", "pipe_sentimentalliar", "pipe_semeval2018classification", "pipe_fbvalencearousal",
 )
 
 
