@@ -308,6 +308,32 @@ def test_paraphrases_and_answers(spark):
     assert {(r.doc_id, r.item_id) for r in op8(docs, bench).collect()} == {(0, 7), (1, 7), (2, 7)}
 
 
+@pytest.mark.parametrize("cosine", [0.5, 2.0])
+def test_a_paraphrase_that_only_the_latent_space_finds(spark, monkeypatch, cosine):
+    """Other words of the item's topic, few of its own, and its answer."""
+    from labelweave.llm import decontamination
+
+    monkeypatch.setattr(decontamination, "RANK", 6)
+    monkeypatch.setattr(decontamination, "COSINE", cosine)
+    rng = np.random.default_rng(5)
+    common = [f"c{i}" for i in range(40)]
+    items = [
+        [f"t{k % 4}x{i}" for i in sorted(rng.choice(40, 22, replace=False))] + rng.choice(common, 8, replace=False).tolist()
+        for k in range(60)
+    ]
+    topic = [f"t0x{i}" for i in range(40) if f"t0x{i}" not in items[0]]
+    own = items[0][:22:4]
+    near = [w for pair in zip(topic, own + [""] * len(topic)) for w in pair if w][: len(topic) + len(own)]
+    assert 0.4 * 30 <= len(own) + 8 < 0.6 * 30
+    plain = [f"p{i % 9}" for i in range(60)]
+    hosts = [plain + near + items[0][22:] + plain] + [plain] * 200
+    hosts += [rng.choice(common, 30).tolist() for _ in range(300)]
+    docs = spark.createDataFrame([(n, " ".join(w)) for n, w in enumerate(hosts)], "doc_id long, text string")
+    bench = spark.createDataFrame([(n, " ".join(w)) for n, w in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontamination.op8(docs, bench).collect()}
+    assert ((0, 0) in got) == (cosine < 1)
+
+
 def test_large_benchmark(spark):
     """Every one of 2,000 items in a host is found, also one of common words among rare ones."""
     from labelweave.llm.decontamination import op8
