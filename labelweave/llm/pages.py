@@ -204,7 +204,7 @@ def features(nodes: list[Node]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         own[1] = 0 < size < 40
         own[2] = size >= 120
         own[3] = size > 0 and node.linked > 0.5 * size
-        body = "".join(t for _, t in node.texts[:50])[:400] if size else ""
+        body = "".join(t for _, t in node.texts) if size else ""
         own[4] = any(mark in body for mark in (". ", ", ", "! ", "? ")) or body.rstrip()[-1:] in (".", "!", "?")
         own[5] = "©" in body or "copyright" in body.lower()
         own[6] = depth[i] <= 1

@@ -193,6 +193,16 @@ def test_page_text(spark):
         assert got[i].text == want and got[i].n_chars == len(want)
 
 
+def test_features_see_whole_blocks():
+    from labelweave.llm.pages import _OWN, features
+
+    spans = "".join(f"<span>word{i} </span>" for i in range(60))
+    ends, open_ = (features(parse(f"<body><p>{spans}and{mark}</p></body>"))[0][-1] for mark in (".", ""))
+    assert ends[_OWN + 4] == 1 and open_[_OWN + 4] == 0
+    late = features(parse(f"<body><p>{'long ' * 200}© us</p></body>"))[0][-1]
+    assert late[_OWN + 5] == 1
+
+
 def test_messages_give_exact_marginals():
     model = trained()
     nodes = parse("<body><nav><a href=/>x</a></nav><article><h1>A b</h1><p>Some text, here.</p></article>")
