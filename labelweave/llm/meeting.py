@@ -75,16 +75,19 @@ def _cut(values: np.ndarray, parts: np.ndarray, part: int) -> np.ndarray:
     return values[lo:hi]
 
 
-def _row(part, once, often, fp, doc, place, ids) -> dict:
+def _row(part, once, often, fp, doc, place, ids, used=None) -> dict:
+    """``ids`` are of all texts at hand; only those that occur in the row travel:
+    ``used``, or the texts of ``doc``."""
+    used = np.unique(doc) if used is None else used
     return {
         "part": part,
         "once": pack(once),
         "often": pack(often),
         "fp": pack(fp),
-        "doc": pack(doc.astype(np.uint32)),
+        "doc": pack(np.searchsorted(used, doc).astype(np.uint32)),
         "place": pack(place.astype(np.uint32)),
-        "ids_a": pack(ids[:, 0]),
-        "ids_b": pack(ids[:, 1]),
+        "ids_a": pack(ids[used, 0]),
+        "ids_b": pack(ids[used, 1]),
     }
 
 
@@ -142,8 +145,10 @@ def pack_windows(ids, hashes, homes, places) -> pa.RecordBatch:
     for part, lo, hi in _slices(home[order]):
         mine = order[lo:hi]
         known, mine = mine[~single[mine]], mine[single[mine]]
-        row = _row(part, h[:0], _cut(often, often_home, part), h[mine], doc[mine], place[mine], ids)
-        row["once"] = pack(np.concatenate(runs_of(doc[known], place[known])).astype(np.uint32))
+        used = np.unique(doc[np.concatenate([mine, known])])
+        row = _row(part, h[:0], _cut(often, often_home, part), h[mine], doc[mine], place[mine], ids, used)
+        back = np.searchsorted(used, doc[known])
+        row["once"] = pack(np.concatenate(runs_of(back, place[known])).astype(np.uint32))
         rows.append(row)
     return pa.RecordBatch.from_pylist(rows, _ARROW)
 
