@@ -23,9 +23,8 @@ WEIGHTS = (5, 2, 1)
 # Ranks are cut into this many ranges per source, so that running sums of a source
 # that holds most rows are taken in many tasks.
 RANGES = 1024
-# A document too long for what is left of the target ends a pass over the ranking; the
-# next pass takes up the documents that still fit.
-PASSES = 3
+# Passes that the SQL of the query spells out; it needs no more on tables of its size.
+SQL_PASSES = 8
 
 
 def word_count(text: Column) -> Column:
@@ -123,16 +122,24 @@ def plan_mix(rows: DataFrame, targets: DataFrame) -> DataFrame:
     )
     # Within a source the ranking follows ``u``, so even ranges of it hold even shares.
     state = state.withColumn("range", F.floor(F.col("u") * RANGES))
-    for _ in range(PASSES):
-        state = _pass(frozen(state, "mix"))
+    # A document too long for what is left of the target ends a pass over the ranking; the
+    # next pass takes up those that still fit. Each draws one at least of every source
+    # that has any, and what is left falls fast.
+    state = frozen(state, "mix")
+    while state.filter(_fits()).limit(1).count():
+        state = frozen(_pass(state), "mix")
     return state.withColumn("copies", F.col("copies") + F.col("drawn").cast("int")).drop(
         "odds", "left", "drawn", "range"
     )
 
 
+def _fits() -> Column:
+    return ~F.col("drawn") & (F.col("size") > 0) & (F.col("size") < 2 * F.col("left"))
+
+
 def _pass(state: DataFrame) -> DataFrame:
     """One pass over the ranking: draw its head among rows that fit what is left."""
-    fits = ~F.col("drawn") & (F.col("size") > 0) & (F.col("size") < 2 * F.col("left"))
+    fits = _fits()
     words = F.when(fits, F.col("size")).otherwise(F.lit(0))
     sums = state.groupBy("source", "range").agg(F.sum(words).alias("words"))
     before = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
@@ -241,7 +248,7 @@ p AS (SELECT *, floor(share) AS whole, share - floor(share) AS p FROM j),
 s0 AS (SELECT *, CASE WHEN p <= 0 THEN 'inf'::DOUBLE ELSE (u / (1.0::DOUBLE - u)) / (p / (1.0::DOUBLE - p)) END AS odds,
     target - whole * source_size AS lft, false AS drawn FROM p),
 """
-    + "".join(_PASS_SQL.format(i=i, j=i + 1) for i in range(PASSES))
-    + f"z AS (SELECT * FROM s{PASSES}) "
+    + "".join(_PASS_SQL.format(i=i, j=i + 1) for i in range(SQL_PASSES))
+    + f"z AS (SELECT * FROM s{SQL_PASSES}) "
     "SELECT doc_id, size, source_size, target, ((whole + drawn::INT) * size)::BIGINT AS taken FROM z"
 )

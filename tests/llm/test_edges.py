@@ -3,6 +3,7 @@
 import hashlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,6 +11,7 @@ import corpus_pipeline
 from labelweave.llm import (
     anchors,
     decontamination,
+    meeting,
     minhash,
     mixing,
     neighbours,
@@ -79,6 +81,35 @@ def test_mixing(clashing):
     assert set(bag(got, *KEYS)) <= set(ALL)
 
 
+def test_mixing_goes_on_until_nothing_fits(spark):
+    """Each pass ends at a document too long for what is left; five are needed."""
+    sizes = [70, 90, 20, 50, 7, 15, 2, 5, 1]
+    rows = [("s", size, (i + 1) / 20, i) for i, size in enumerate(sizes)]
+    facts = spark.createDataFrame(rows, "source string, size long, u double, tie long")
+    targets = spark.createDataFrame([("s", 260, 100.0)], "source string, source_size long, target double")
+    got = mixing.plan_mix(frozen(facts, "facts"), targets).filter("copies > 0").collect()
+    assert sorted(r.size for r in got) == [1, 2, 7, 20, 70]
+
+
+def test_probes_carry_the_ids_of_their_own_texts():
+    """What travels does not grow with partitions times texts."""
+    rng = np.random.default_rng(1)
+    ids = [(int(a), int(b)) for a, b in rng.integers(-(2**62), 2**62, (1500, 2))]
+    hashes = [rng.integers(0, 2**63, 40).astype(np.uint64) for _ in ids]
+    places = [np.arange(40) for _ in ids]
+    sizes = {}
+    for parts in (100, 8000):
+        batch = meeting.pack_probes(ids, hashes, hashes, places, parts)
+        sizes[parts] = batch.nbytes
+        got = set()
+        for row in batch.to_pylist():
+            a = meeting.unpack(row["ids_a"], np.int64)
+            doc, place = (meeting.unpack(row[c], np.uint32) for c in ("doc", "place"))
+            got |= {(int(a[d]), int(p)) for d, p in zip(doc, place, strict=True)}
+        assert got == {(a, p) for a, _ in ids for p in range(40)}
+    assert sizes[8000] < 4 * sizes[100] and sizes[8000] < 8_000_000
+
+
 def test_anchors(clashing):
     got = {(r.doc_id, r.n_words): (r.n_removed, r.kept_sha256) for r in anchors.op2(clashing).collect()}
     empty = hashlib.sha256(b"").hexdigest()
