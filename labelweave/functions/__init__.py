@@ -16,6 +16,7 @@ from .labels import (
 from .naming import drop_columns, normalize_columns, project, title_case
 from .text import (
     collapse_punctuation,
+    detokenize,
     drop_inline_tag,
     html_unescape,
     join_middle,
@@ -28,6 +29,7 @@ from .text import (
 __all__ = [
     "as_flag",
     "collapse_punctuation",
+    "detokenize",
     "drop_columns",
     "drop_inline_tag",
     "flag_if_present",

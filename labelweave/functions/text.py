@@ -84,6 +84,37 @@ def collapse_punctuation(text: Column) -> Column:
     return F.trim(text)
 
 
+# How tokens stand together in prose: (what is matched, what it becomes). Quotes are paired
+# from the left; a pair that shares its space with the next needs the second round.
+_QUOTED = ((r'(^| )" ([^"]*) "( |$)', '$1"$2"$3'), (r"(^| )' ([^']*) '( |$)", "$1'$2'$3"))
+DETOKENIZING = (
+    (r"[ \t]+", " "),
+    (r"(^| )(?:``|&quot;) ", '$1" '),
+    (r" ''( |$)", ' "$1'),
+    *_QUOTED,
+    *_QUOTED,
+    (r" ([.,!?;:%)\]}\x{2026}\x{201D}])", "$1"),
+    (r"([(\[{$\x{A3}\x{20AC}\x{201C}]) ", "$1"),
+    (r" ('(?:[sSmMdD]|re|RE|ve|VE|ll|LL)|n't|N'T)\b", "$1"),
+    (r"\b([cC]an|[gG]on|[gG]ot|[wW]an) (not|na|ta)\b", "$1$2"),
+    (r"(\w) / (\w)", "$1/$2"),
+    (r"^ | $", ""),
+)
+
+
+def detokenize(text: Column) -> Column:
+    """Prose from tokens that stand apart: paired quotes close on what they hold,
+    punctuation, ellipses and contractions join what is before them, brackets and
+    currency signs what follows, slashes both sides.
+
+    Quotes that have no partner are left as they stand. Every rule runs once over the
+    text, in the JVM; whole texts of any length take time in proportion.
+    """
+    for pattern, replacement in DETOKENIZING:
+        text = F.regexp_replace(text, pattern, replacement)
+    return text
+
+
 # The entities resolved without Python; the ampersand comes last,
 # so that what it uncovers is not resolved again.
 COMMON_ENTITIES = (

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from ..columns import col, cols
 from ..functions import (
-    collapse_punctuation,
+    detokenize,
     drop_inline_tag,
     html_unescape,
     join_middle,
@@ -100,7 +100,7 @@ def _stimulus_build(raws: Raws, strict: bool = False) -> DataFrame:
     )
     closing = F.char_length(F.substring_index("rest", "<\\", -1)) + 2
     spaced = body.select(
-        collapse_punctuation(F.left("rest", F.char_length("rest") - closing)).alias("text"),
+        detokenize(F.left("rest", F.char_length("rest") - closing)).alias("text"),
         strip_text(col("emotion")).alias("emotion"),
     )
     plain = spaced.select(html_unescape(col("text")).alias("text"), "emotion")

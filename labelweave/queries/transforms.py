@@ -10,6 +10,7 @@ from ..columns import col
 from ..functions import (
     as_flag,
     collapse_punctuation,
+    detokenize,
     drop_columns,
     drop_inline_tag,
     flag_if_present,
@@ -31,6 +32,7 @@ from ..functions import (
     tagged,
     title_case,
 )
+from ..functions.text import DETOKENIZING
 from ..operators.grouping import ITEMS_PER_PART
 from ..operators import (
     append_by_name,
@@ -63,7 +65,7 @@ from ..operators import (
 )
 from ..plans.records import XED_CODES
 from ..sources import read_delimited, regex_records
-from .base import query, sql_gathered, sql_in, sql_names, staged_csv, staging, table
+from .base import query, sql_gathered, sql_in, sql_names, sql_text, staged_csv, staging, table
 
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 EVENTS_IN = sql_in(EVENT_TYPES)
@@ -333,6 +335,24 @@ def normalize_punct_spacing(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", text)
 
 
+def detokenized_sql(text):
+    for pattern, replacement in DETOKENIZING:
+        groups = replacement.replace("$", "\\")
+        text = f"regexp_replace({text}, {sql_text(pattern)}, {sql_text(groups)}, 'g')"
+    return text
+
+
+APART_SQL = r"regexp_replace(text, '([.,!?;:()\"])', ' \1 ', 'g')"
+
+
+@query("detokenize_text", f"SELECT doc_id, {detokenized_sql(APART_SQL)} AS text FROM documents")
+def detokenize_text(spark, sf_dir):
+    # Marks are set apart first, as a tokenizer does.
+    apart = F.regexp_replace("text", r'([.,!?;:()"])', " $1 ")
+    docs = table(spark, sf_dir, "documents").select("doc_id", apart.alias("text"))
+    return docs.select("doc_id", detokenize(col("text")).alias("text"))
+
+
 @query(
     "parse_numeric",
     "SELECT event_id, CASE WHEN event_type <> 'error' THEN value END AS n, "
