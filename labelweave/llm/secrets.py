@@ -1,8 +1,8 @@
 """Secret scans over a trigram inverted index.
 
-Everything here is DataFrame code. A rule is a regular expression with what its
-matches must contain: a Boolean query of trigrams in disjunctive form, derived from
-the literals of the expression. The index maps each trigram that any rule asks for to
+Everything here is DataFrame code. A rule is a regular expression; what its matches must
+contain, a Boolean query of trigrams in disjunctive form, is derived from it
+(``trigrams.py``). The index maps each trigram that any rule asks for to
 the rows that contain it. A rule's candidates are the rows that hold all trigrams of
 one of its alternatives; only they are verified with the expression. A rule without
 mandatory trigrams scans all rows.
@@ -17,57 +17,47 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .frames import carried, same_row, scanned, with_row_id
+from .trigrams import repeated_class, required
 
 
 @dataclass(frozen=True)
 class Rule:
-    """``literals``: alternatives, each the strings that a match contains, lower case.
-
-    ``group`` is the capture that must have at least ``least`` characters; shorter
+    """``group`` is the capture that must have at least ``least`` characters; shorter
     matches count as found, and are then dropped.
     """
 
     kind: str
     pattern: str
-    literals: tuple[tuple[str, ...], ...] = ()
     group: int = 0
     least: int = 1
 
     def trigrams(self) -> list[list[str]]:
         """Alternatives of mandatory trigrams; none if a match need not have any."""
-        found = [
-            sorted({s[i : i + 3] for s in strings for i in range(len(s) - 2)})
-            for strings in self.literals
-        ]
-        return found if all(found) else []
+        return required(self.pattern)
+
+    def guard(self) -> str | None:
+        """What a text must match to hold a match that is long enough: for runs of one
+        class of characters, a run of ``least``. It is looked for before runs are cut."""
+        return repeated_class(self.pattern, self.least) if self.group == 0 else None
 
 
 BASE = (
     Rule(
         "assign",
         "(?i:(password|passwd|secret|token|api_?key))[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)",
-        (("password",), ("passwd",), ("secret",), ("token",), ("apikey",), ("api_key",)),
         group=2,
         least=8,
     ),
-    Rule("access", "AKIA[A-Z0-9]+", (("akia",),), least=16),
+    Rule("access", "AKIA[A-Z0-9]+", least=16),
     Rule("hex", "[0-9a-f]+", least=32),
 )
 EXTRA = (
-    Rule("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----", (("-----begin ", "private key-----"),)),
-    Rule(
-        "forge",
-        "gh[pousr]_[A-Za-z0-9]{36,}",
-        (("ghp_",), ("gho_",), ("ghu_",), ("ghs_",), ("ghr_",)),
-    ),
-    Rule("chat", "xox[abprs]-[A-Za-z0-9-]{10,}", (("xox",),)),
+    Rule("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("forge", "gh[pousr]_[A-Za-z0-9]{36,}"),
+    Rule("chat", "xox[abprs]-[A-Za-z0-9-]{10,}"),
 )
 RULES = BASE + EXTRA
 
-# A run of this many hexadecimal digits is looked for before runs are cut out.
-LONG_HEX = "[0-9a-f]{32}"
-
-
 def build_index(rows: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     """Postings (``trigram``, ``rid_a``, ``rid_b``) of the trigrams the rules ask for.
 
@@ -158,8 +148,8 @@ def scan(df: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text") -> Da
     for order, rule in enumerate(rules):
         if rule.trigrams():
             verify = F.array_contains("_kinds", rule.kind)
-        elif rule.kind == "hex":
-            verify = body.rlike(LONG_HEX)
+        elif rule.guard():
+            verify = body.rlike(rule.guard())
         else:
             verify = F.lit(True)
         parts.append(F.when(verify, matches(body, rule, order)).otherwise(empty))
