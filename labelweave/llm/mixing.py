@@ -1,11 +1,13 @@
 """Mixing sources to target weights by Pareto order sampling.
 
 Everything here is DataFrame code. A mix gives each source a target number of words.
-A source's documents are taken in certain whole copies first; the rest of its target
-is drawn by order sampling: every document gets a random number ``u`` and an
-inclusion probability ``p``, and documents are ranked by
-``(u / (1 - u)) / (p / (1 - p))``. The sample is the head of that ranking. Its size is
-fixed in words: it ends where the words come nearest the target.
+A source's documents are taken in certain whole copies first. The rest of its target is
+drawn with inclusion probabilities ``p`` in proportion to size, so that the words drawn
+are expected to be that rest; documents for which that would be one or more are certain
+too, and the others share what they leave. The others are ranked by random odds over
+inclusion odds, ``(u / (1 - u)) / (p / (1 - p))`` with a random number ``u`` each, and
+the sample is the head of that ranking. Its size is fixed in words: it ends where the
+words come nearest the target.
 """
 
 from __future__ import annotations
@@ -20,9 +22,6 @@ from ..columns import col
 from .frames import WORD, carried, frozen, same_row, scanned, with_row_id
 
 WEIGHTS = (5, 2, 1)
-# Ranks are cut into this many ranges per source, so that running sums of a source
-# that holds most rows are taken in many tasks.
-RANGES = 1024
 # Passes that the SQL of the query spells out; it needs no more on tables of its size.
 SQL_PASSES = 8
 
@@ -44,6 +43,36 @@ def pareto_rank(u: Column, p: Column) -> Column:
     return F.when(p >= 1.0, F.lit(0.0)).when(p <= 0.0, F.lit(float("inf"))).otherwise(odds)
 
 
+def inclusion(joined: DataFrame) -> DataFrame:
+    """Of each source ``_s``: ``rate``, inclusion probability per word; ``below``, the
+    largest size that is not certain (null: all are); ``held``, words of certain ones.
+
+    ``joined`` has source, size and ``left``, the words to be drawn. A source is a row
+    per size here, and the sizes that are certain are the largest: one more is, as long
+    as the rate that is left for it and all smaller ones makes it so.
+    """
+    sizes = joined.filter("size > 0").groupBy("source", "size").agg(
+        F.count(F.lit(1)).alias("n"), F.first("left").alias("left")
+    )
+    down = Window.partitionBy("source").orderBy(F.col("size").desc())
+    up = Window.partitionBy("source").orderBy("size").rowsBetween(Window.unboundedPreceding, 0)
+    larger = F.sum(F.col("size") * F.col("n")).over(down.rowsBetween(Window.unboundedPreceding, -1))
+    squares = F.sum(F.col("size") * F.col("size") * F.col("n")).over(up)
+    rated = sizes.withColumns({"held": F.coalesce(larger, F.lit(0)), "squares": squares}).withColumn(
+        "rate", (F.col("left") - F.col("held")) / F.col("squares")
+    )
+    open_ = F.when(F.col("rate") * F.col("size") < 1.0, F.struct("size", "rate", "held"))
+    found = rated.groupBy("source").agg(
+        F.max(open_).alias("top"), F.sum(F.col("size") * F.col("n")).alias("words")
+    )
+    return found.select(
+        F.col("source").alias("_s"),
+        F.col("top.rate").alias("rate"),
+        F.col("top.size").alias("below"),
+        F.coalesce("top.held", "words").alias("held"),
+    )
+
+
 def numbered(df: DataFrame, key: str, name: str) -> DataFrame:
     """Number rows from 0 in the order of ``key``, nulls last, without gathering them:
     sort into ranges, count the ranges, number within. One count per range moves."""
@@ -105,23 +134,32 @@ def source_targets(
 def plan_mix(rows: DataFrame, targets: DataFrame) -> DataFrame:
     """Add ``source_size``, ``target`` and ``copies`` to rows of (source, size, u, tie).
 
-    ``tie`` orders rows with equal ``u``. Copies are certain whole ones and at most one
-    drawn one.
+    ``tie`` orders rows with equal odds. Copies are certain whole ones and at most one
+    more, drawn or certain by its size.
     """
     share = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     whole = F.floor(share)
     joined = rows.join(
         targets.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))
     ).drop("_s")
-    state = joined.select(
-        "*",
-        whole.cast("int").alias("copies"),
-        pareto_rank(F.col("u"), share - whole).alias("odds"),
-        (F.col("target") - whole * F.col("source_size")).alias("left"),
-        F.lit(False).alias("drawn"),
-    )
-    # Within a source the ranking follows ``u``, so even ranges of it hold even shares.
-    state = state.withColumn("range", F.floor(F.col("u") * RANGES))
+    joined = frozen(
+        joined.select(
+            "*", whole.cast("int").alias("copies"), (F.col("target") - whole * F.col("source_size")).alias("left")
+        ),
+        "shares",
+    )
+    same = F.col("source").eqNullSafe(F.col("_s"))
+    placed = joined.join(inclusion(joined), same, "left").drop("_s")
+    certain = (F.col("size") > 0) & (F.col("below").isNull() | (F.col("size") > F.col("below")))
+    state = placed.select(
+        *[c for c in joined.columns if c != "left"],
+        pareto_rank(F.col("u"), F.col("rate") * F.col("size")).alias("odds"),
+        (F.col("left") - F.coalesce("held", F.lit(0))).alias("left"),
+        certain.alias("drawn"),
+    )
+    # Ranges of the ranking: a source that holds most rows lies in many.
+    ranked = state.repartitionByRange("source", *_ranking(state))
+    state = ranked.withColumn("range", F.spark_partition_id())
     # A document too long for what is left of the target ends a pass over the ranking; the
     # next pass takes up those that still fit. Each draws one at least of every source
     # that has any, and what is left falls fast.
@@ -133,6 +171,12 @@ def plan_mix(rows: DataFrame, targets: DataFrame) -> DataFrame:
     )
 
 
+def _ranking(state: DataFrame) -> list[Column]:
+    """By odds; ties by key, and rows with one key by the rows they are."""
+    rows = [F.col(c) for c in ("rid_a", "rid_b") if c in state.columns]
+    return [F.col("odds"), F.col("tie").asc_nulls_last(), *rows]
+
+
 def _fits() -> Column:
     return ~F.col("drawn") & (F.col("size") > 0) & (F.col("size") < 2 * F.col("left"))
 
@@ -150,7 +194,7 @@ def _pass(state: DataFrame) -> DataFrame:
     )
     running = F.sum(words).over(
         Window.partitionBy("source", "range")
-        .orderBy("odds", F.col("tie").asc_nulls_last())
+        .orderBy(*_ranking(state))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     ranked = state.withColumn("running", running).join(
@@ -244,9 +288,20 @@ v AS (SELECT coalesce((SELECT level FROM l WHERE (2 * ssize)::DOUBLE > weight *
 g AS (SELECT source, ssize AS source_size, least((2 * ssize)::DOUBLE, weight * c) AS target FROM w, v),
 j AS (SELECT d.*, g.source_size, g.target, CASE WHEN g.source_size > 0 THEN g.target / g.source_size ELSE 0 END AS share
     FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source),
-p AS (SELECT *, floor(share) AS whole, share - floor(share) AS p FROM j),
-s0 AS (SELECT *, CASE WHEN p <= 0 THEN 'inf'::DOUBLE ELSE (u / (1.0::DOUBLE - u)) / (p / (1.0::DOUBLE - p)) END AS odds,
-    target - whole * source_size AS lft, false AS drawn FROM p),
+b AS (SELECT *, floor(share) AS whole, target - floor(share) * source_size AS rest FROM j),
+n AS (SELECT source, size, count(*) AS n, any_value(rest) AS rest FROM b WHERE size > 0 GROUP BY source, size),
+q AS (SELECT *, coalesce(sum(size * n) OVER (PARTITION BY source ORDER BY size DESC
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS held, (sum(size * size * n) OVER (PARTITION BY source
+    ORDER BY size ROWS UNBOUNDED PRECEDING))::BIGINT AS squares FROM n),
+e AS (SELECT source, max(size) FILTER ((rest - held) / squares * size < 1) AS below,
+    max_by((rest - held) / squares, size) FILTER ((rest - held) / squares * size < 1) AS rate,
+    coalesce(max_by(held, size) FILTER ((rest - held) / squares * size < 1), sum(size * n))::BIGINT AS held
+    FROM q GROUP BY source),
+p AS (SELECT b.*, e.rate * size AS p, rest - coalesce(e.held, 0) AS lft,
+    size > 0 AND (below IS NULL OR size > below) AS drawn
+    FROM b LEFT JOIN e ON b.source IS NOT DISTINCT FROM e.source),
+s0 AS (SELECT doc_id, source, size, source_size, target, whole, lft, drawn, CASE WHEN p IS NULL OR p >= 1 THEN 0
+    WHEN p <= 0 THEN 'inf'::DOUBLE ELSE (u / (1.0::DOUBLE - u)) / (p / (1.0::DOUBLE - p)) END AS odds FROM p),
 """
     + "".join(_PASS_SQL.format(i=i, j=i + 1) for i in range(SQL_PASSES))
     + f"z AS (SELECT * FROM s{SQL_PASSES}) "

@@ -81,14 +81,37 @@ def test_mixing(clashing):
     assert set(bag(got, *KEYS)) <= set(ALL)
 
 
+def planned(spark, sizes, target, u):
+    rows = [("s", size, x, i) for i, (size, x) in enumerate(zip(sizes, u, strict=True))]
+    facts = spark.createDataFrame(rows, "source string, size long, u double, tie long")
+    targets = spark.createDataFrame([("s", sum(sizes), float(target))], "source string, source_size long, target double")
+    got = mixing.plan_mix(frozen(facts, "facts"), targets).collect()
+    return {r.tie: r.copies for r in got}
+
+
 def test_mixing_goes_on_until_nothing_fits(spark):
     """Each pass ends at a document too long for what is left; five are needed."""
     sizes = [70, 90, 20, 50, 7, 15, 2, 5, 1]
-    rows = [("s", size, (i + 1) / 20, i) for i, size in enumerate(sizes)]
-    facts = spark.createDataFrame(rows, "source string, size long, u double, tie long")
-    targets = spark.createDataFrame([("s", 260, 100.0)], "source string, source_size long, target double")
-    got = mixing.plan_mix(frozen(facts, "facts"), targets).filter("copies > 0").collect()
-    assert sorted(r.size for r in got) == [1, 2, 7, 20, 70]
+    # Ranks are the order given: random odds in proportion to inclusion odds and place.
+    rate = 100 / sum(x * x for x in sizes)
+    odds = [(i + 1) * rate * x / (1 - rate * x) for i, x in enumerate(sizes)]
+    got = planned(spark, sizes, 100, [o / (1 + o) for o in odds])
+    assert sorted(sizes[i] for i, n in got.items() if n) == [1, 2, 7, 20, 70]
+
+
+def test_inclusion_is_in_proportion_to_size(spark):
+    """Large documents are drawn more often; those too large for it are certain."""
+    rng = np.random.default_rng(2)
+    sizes = [1000] + [10] * 40 + [30] * 40
+    times = np.zeros(len(sizes))
+    for _ in range(12):
+        got = planned(spark, sizes, 1400, rng.random(len(sizes)).tolist())
+        times += [got[i] for i in range(len(sizes))]
+        assert abs(sum(n * sizes[i] for i, n in got.items()) - 1400) <= 15
+    # 400 words of 40 * 100 + 40 * 900 squares: a hundredth per word.
+    assert times[0] == 12
+    assert times[1:41].mean() / 12 == pytest.approx(0.1, abs=0.05)
+    assert times[41:].mean() / 12 == pytest.approx(0.3, abs=0.06)
 
 
 def test_probes_carry_the_ids_of_their_own_texts():
