@@ -317,6 +317,8 @@ def _round(graph: DataFrame, kind: str) -> DataFrame:
         F.col("node").alias("hub"), F.explode(F.arrays_zip("near", "fresh")).alias("e")
     ).select("hub", F.col("e.near").alias("member"), "e.fresh")
     pairs = ahead.union(_reverse(graph, "fresh").select("hub", "member", "fresh"))
+    # Where nobody is new, all have met before.
+    pairs = pairs.join(pairs.filter("fresh").select("hub").distinct(), "hub", "left_semi")
     worst = F.when(F.size("dist") < K, F.lit(float("inf"))).otherwise(F.element_at("dist", -1))
     facts = graph.select(F.col("node").alias("n"), "code", worst.cast("double").alias("worst"))
     return (
@@ -329,35 +331,25 @@ def _round(graph: DataFrame, kind: str) -> DataFrame:
 
 
 def _walkable(graph: DataFrame) -> DataFrame:
-    """A row per node: those next to it, both ways, with their codes."""
+    """A row per node: those next to it, both ways."""
     ahead = graph.select("node", F.explode("near").alias("other"))
     back = _reverse(graph).select(F.col("hub").alias("node"), F.col("member").alias("other"))
-    codes = graph.select(F.col("node").alias("other"), "code")
-    return (
-        ahead.union(back)
-        .distinct()
-        .join(codes, "other")
-        .groupBy("node")
-        .agg(F.collect_list(F.struct("other", "code")).alias("next"))
-    )
+    return ahead.union(back).groupBy("node").agg(F.collect_set("other").alias("next"))
 
 
 def _step(kind: str):
-    """Distances of a query to all that lie next to the nodes it expands."""
+    """How far each query is from the node beside it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            q, other, d = [], [], []
-            for r in batch.to_pylist():
-                v = _decode([x["code"] for x in r["next"]], kind)
-                q += [r["query"]] * len(v)
-                other += [x["other"] for x in r["next"]]
-                d += ((v - _decode([r["code"]], kind)) ** 2).sum(axis=1).tolist()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(q, pa.int64()), pa.array(other, pa.int64()), pa.array(d, pa.float64()),
-                 pa.array(np.zeros(len(q), bool))],
-                names=["query", "node", "d", "done"],
-            )
+            if batch.num_rows:
+                own, other = (_decode(batch.column(c).to_pylist(), kind) for c in ("own", "code"))
+                d = ((other - own) ** 2).sum(axis=1)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("query"), batch.column("node"), pa.array(d, pa.float64()),
+                     pa.array(np.zeros(len(d), bool))],
+                    names=["query", "node", "d", "done"],
+                )
 
     return run
 
@@ -412,7 +404,9 @@ def walk(graph: DataFrame, queries: DataFrame, kind: str, top: int = 10) -> Data
     while True:
         todo = beam.filter("not done")
         if not todo.limit(1).count():
-            got = beam.filter(F.col("query").isin(list(truth))).filter("query != node").collect()
+            place = F.row_number().over(nearest)
+            got = beam.filter(F.col("query").isin(list(truth))).filter("query != node")
+            got = got.withColumn("place", place).filter(F.col("place") <= top).collect()
             near = {q: sorted(r.d for r in got if r.query == q)[:top] for q in truth}
             hits = sum(sum(d <= x[-1] * (1 + 1e-9) for d in near[q]) for q, x in truth.items())
             if most >= n or hits >= RECALL * sum(map(len, truth.values())):
@@ -421,11 +415,18 @@ def walk(graph: DataFrame, queries: DataFrame, kind: str, top: int = 10) -> Data
             most *= 2
             beam = frozen(beam.withColumn("done", F.lit(False)), "beam")
             continue
-        found = (
+        # Links are ids: a vector travels for each node that a query has not in its beam.
+        fresh = (
             todo.select("query", "node")
-            .join(own, "query")
             .join(links, "node")
-            .select("query", "code", "next")
+            .select("query", F.explode("next").alias("node"))
+            .distinct()
+            .join(beam.select("query", "node"), ["query", "node"], "left_anti")
+        )
+        found = (
+            fresh.join(own.withColumnRenamed("code", "own"), "query")
+            .join(graph.select("node", "code"), "node")
+            .select("query", "node", "own", "code")
             .mapInArrow(_step(kind), "query long, node long, d double, done boolean")
         )
         seen = beam.withColumn("done", F.lit(True)).union(found)
