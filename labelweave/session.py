@@ -30,15 +30,22 @@ def build_session(
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder that every executor can reach.
+    """A fresh place that every executor can reach, for files of this session.
 
     It lies below ``spark.checkpoint.dir``, or below the session's warehouse, which
-    executors share as well, where that setting is absent.
+    executors share as well, where that setting is absent. Nothing is there yet; what is
+    written is removed when the driver's JVM ends.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/working"
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    folder = f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    # Only what exists can be marked, so the place is one level below.
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return f"{folder}/files"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
