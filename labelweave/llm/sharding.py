@@ -51,7 +51,9 @@ def with_shards(df: DataFrame, keys: Sequence[str], shards: int, grown: int | No
     """Add ``shard``, and ``grown_shard`` for another number of shards.
 
     Keys, nulls included, are hashed to 64 bits first. Equal keys share a shard;
-    rows that repeat are kept. Narrow: no shuffle. Empty frames stay empty.
+    rows that repeat are kept; texts of any length are carried as they are. Columns that
+    are named ``shard`` or, with ``grown``, ``grown_shard`` already, in any case, are
+    replaced; all others stay. Narrow: no shuffle. Empty frames stay empty.
     """
     key = F.xxhash64(*cols(keys))
     out = df.withColumn("shard", shard_of(key, shards))
@@ -59,7 +61,8 @@ def with_shards(df: DataFrame, keys: Sequence[str], shards: int, grown: int | No
 
 
 def with_slots(df: DataFrame, rows_per_task: int = 500_000, most_pieces: int = 100_000) -> DataFrame:
-    """Number the rows of each shard from 0, without gaps: ``slot``.
+    """Number the rows of each shard from 0, without gaps: ``slot``, which replaces a
+    column of that name; other columns keep theirs, as rows travel whole.
 
     A shard may hold any number of rows, so it is cut into pieces: rows are numbered
     within a piece, and pieces start where the ones before end. ``df`` is frozen, so

@@ -413,8 +413,9 @@ def labelled(labels: DataFrame) -> DataFrame:
 
 def fit(df: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id") -> Model:
     """Train on at most ``MOST_TOXIC`` and ``MOST_CLEAN`` labelled texts, drawn by a hash
-    of their id, and ``MOST_WINDOWS`` windows of each. Without both classes the model is
-    the share of toxic labels."""
+    of their id, and ``MOST_WINDOWS`` windows of each. Labels that are null or neither 0
+    nor 1 count for nothing; of several labels of an id the toxic one counts. Without both
+    classes the model is the share of toxic labels."""
     known = labelled(labels)
     counts = {r.toxic: r["n"] for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = sum(counts.values())
