@@ -17,27 +17,36 @@ SHARDS = 8
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the network trained on ``labels`` accepts."""
+    """Documents that the network trained on ``labels`` accepts. Null and empty texts are
+    scored as one empty window, very long ones in all of their windows; equal texts have
+    equal scores; without usable labels every document has the same score."""
     return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group whose five-word runs agree to four fifths or more."""
+    """One document of each group whose five-word runs agree to four fifths or more: the
+    one with the smallest id, of equal ids the first by file and place. Documents without
+    words all stay; whole texts are compared."""
     return minhash.keep_one(docs, size=5, percent=80)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no item of ``benchmark``."""
+    """Documents that hold no item of ``benchmark`` and no paraphrase of one. Documents
+    without words hold none; an empty benchmark removes nothing; texts are searched whole."""
     return decontamination.without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeated or left out so that sources reach their target weights."""
+    """Documents repeated or left out so that sources reach their target weights. Null
+    sources are one source; documents without words come in certain copies only; ties of
+    the ranking go by id."""
     return mixing.mix(docs)
 
 
 def to_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with the shard that their id hashes to."""
+    """Documents with the shard that their id hashes to, null ids together. A column
+    ``shard`` is replaced; all stages keep other columns, whatever their names, and give
+    an empty table for an empty one."""
     return sharding.with_shards(docs, ["doc_id"], SHARDS)
 
 
