@@ -192,9 +192,11 @@ def _first_lines(spark: SparkSession, paths: list[str]) -> list[tuple[str, str]]
     files = [unquote(file) for file in spark.read.text(paths).inputFiles()]
     heads: list[tuple[str, str]] = []
     for at in range(0, len(files), HEADERS_PER_JOB):
-        # Each scan ends at its limit, so no more than a file's first lines are read.
+        # Each scan ends at its limit, so no more than a file's first lines are read. The
+        # limit may take a row of any split, and a multi-line file has but one.
+        lines = spark.read.schema("value string").options(sep="\0", quote="", escape="", multiLine="true")
         scans = [
-            spark.read.text(_literal(file)).limit(1).select(F.lit(file).alias("path"), "value")
+            lines.csv(_literal(file)).limit(1).select(F.lit(file).alias("path"), "value")
             for file in files[at : at + HEADERS_PER_JOB]
         ]
         heads += [(r["path"], r["value"]) for r in reduce(DataFrame.union, scans).collect()]

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from labelweave.sources.delimited import HEADERS_PER_JOB
+from labelweave.sources.delimited import HEADERS_PER_JOB, _first_lines
 from labelweave.functions import (
     map_codes,
     multi_hot,
@@ -132,6 +132,24 @@ def test_union_by_name_fills_missing_columns(spark, tmp_path, monkeypatch, jobs)
     assert set(values(both.select("a", "b", "c"))) == {("1", "2", None), ("3", None, "4")}
 
 
+def test_headers_are_read_from_the_first_split_only(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("a,b\n" + "1,2\n" * 5000)
+    (tmp_path / "b.csv").write_text('\ufeffa,"c, d"\r\n' + "3,4\r\n" * 5000, newline="")
+    files = [str(tmp_path / name) for name in ("a.csv", "b.csv")]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    spark.sparkContext.setJobGroup("headers", "headers")
+    try:
+        assert [line for _, line in _first_lines(spark, files)] == ["a,b", 'a,"c, d"']
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [s for job in tracker.getJobIdsForGroup("headers") for s in tracker.getJobInfo(job).stageIds]
+    # Of several splits, whichever answers first gives the row that a limit takes.
+    assert max(tracker.getStageInfo(s).numTasks for s in stages) <= len(files)
+
+
 def test_header_cast_picks_by_name(spark, tmp_path):
     (tmp_path / "a.csv").write_text("z,b,a\nx,2.5,7\n")
     assert values(read_header_cast(spark, str(tmp_path), "a int, b double")) == [(7, 2.5)]
