@@ -344,6 +344,37 @@ def test_a_paraphrase_that_only_the_latent_space_finds(spark, monkeypatch, cosin
     assert ((0, 0) in got) == (cosine < 1)
 
 
+def test_every_passage_shapes_the_latent_space(spark, monkeypatch):
+    """The rows that the space is fitted on hold each word of each text, by its weight."""
+    from labelweave.llm import decontamination
+
+    shaped = []
+
+    def spy(passages, vocab, idf, rank):
+        rows = passages.mapInArrow(decontamination._matrix(vocab, idf), decontamination._MATRIX)
+        shaped.append((rows.collect(), len(vocab)))
+        return latent_space(passages, vocab, idf, rank)
+
+    latent_space = decontamination.latent_space
+    monkeypatch.setattr(decontamination, "latent_space", spy)
+    # Far more texts than a space needs, the first one of many passages.
+    texts = [" ".join(f"a{i % 50}" for i in range(1000)), *["a1 a2 b b b b"] * 5000, None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame([(7, " ".join(f"a{i}" for i in range(50)))], "item_id long, text string")
+    assert decontamination.op8(docs, bench).select("item_id").collect() == [(7,)]
+    [(blocks, known)] = shaped
+    assert known == 50
+    dense = []
+    for r in blocks:
+        a = np.zeros((r.n, len(np.frombuffer(r["at"], np.int32))))
+        a[np.frombuffer(r["row"], np.int32), np.frombuffer(r["col"], np.int32)] = np.frombuffer(r["w"], np.float32)
+        dense += (a**2).sum(axis=1).tolist()
+    # Sixteen passages of the first text, one of each other, one of the item; texts together
+    # weigh as much as the items.
+    assert len(dense) == 16 + 5000 + 1
+    assert sorted(dense)[-1] == pytest.approx(1) and sum(dense) == pytest.approx(2, rel=1e-4)
+
+
 def test_large_benchmark(spark):
     """Every one of 2,000 items in a host is found, also one of common words among rare ones."""
     from labelweave.llm.decontamination import op8
