@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..session import shared_folder
 from .frames import frozen
 from .words import MIX_B, U, mix
 
@@ -381,8 +382,10 @@ def walk(graph: DataFrame, queries: DataFrame, kind: str, top: int = 10) -> Data
     ``queries`` are nodes of the graph (column ``query``). A walk starts at its own node
     and at some random ones, and keeps ``BEAM`` nodes, more where that finds less than
     ``RECALL`` of the ``top`` nearest of ``SAMPLE`` queries: the walks then go on with
-    twice the beam. A beam as large as the graph ends this too.
+    twice the beam. A beam as large as the graph ends this too. What falls out of a beam is
+    set aside with its distance, so no query meets a node's vector twice.
     """
+    spark = graph.sparkSession
     links = frozen(_walkable(graph), "links")
     own = frozen(queries.join(graph.select(F.col("node").alias("query"), "code"), "query"), "queries")
     # Random entries: each query takes the next few nodes in the order of a hash ring cut
@@ -396,12 +399,22 @@ def walk(graph: DataFrame, queries: DataFrame, kind: str, top: int = 10) -> Data
     far = F.lit(float("inf")).alias("d")
     beam = own.select("query", F.col("query").alias("node"), F.lit(0.0).alias("d"), F.lit(False).alias("done"))
     beam = beam.union(seats.join(doors, "cell").filter("query != node").select("query", "node", far, F.lit(False)))
-    beam = frozen(beam, "beam")
     nearest = Window.partitionBy("query").orderBy("d", F.xxhash64("query", "node"))
     sample = own.orderBy(F.xxhash64("query"), "query").limit(SAMPLE).collect()
     truth = _nearest_of_all(graph, sample, kind, top) if sample else {}
     most, n = BEAM, graph.count()
+
+    def held(rows: DataFrame, aside: str) -> DataFrame:
+        """The new beam; the rest goes to the folder ``aside``. A door has no distance yet."""
+        ranked = frozen(rows.withColumn("place", F.row_number().over(nearest)), "beam")
+        rest = ranked.filter((F.col("place") > most) & (F.col("d") < float("inf"))).drop("place")
+        rest.write.mode("append").parquet(aside)
+        return ranked.filter(F.col("place") <= most).drop("place")
+
+    aside = shared_folder(spark, "aside")
+    beam = held(beam, aside)
     while True:
+        dropped = spark.read.schema(beam.schema).parquet(aside)
         todo = beam.filter("not done")
         if not todo.limit(1).count():
             place = F.row_number().over(nearest)
@@ -411,17 +424,19 @@ def walk(graph: DataFrame, queries: DataFrame, kind: str, top: int = 10) -> Data
             hits = sum(sum(d <= x[-1] * (1 + 1e-9) for d in near[q]) for q, x in truth.items())
             if most >= n or hits >= RECALL * sum(map(len, truth.values())):
                 return beam.select("query", "node", "d")
-            # What the narrow beam dropped comes back when its nodes are expanded again.
+            # What the narrow beam dropped comes back, expanded or not.
             most *= 2
-            beam = frozen(beam.withColumn("done", F.lit(False)), "beam")
+            aside = shared_folder(spark, "aside")
+            beam = held(beam.union(dropped), aside)
             continue
-        # Links are ids: a vector travels for each node that a query has not in its beam.
+        # Links are ids: a vector travels for each node that a query has not met.
+        met = beam.select("query", "node").union(dropped.select("query", "node"))
         fresh = (
             todo.select("query", "node")
             .join(links, "node")
             .select("query", F.explode("next").alias("node"))
             .distinct()
-            .join(beam.select("query", "node"), ["query", "node"], "left_anti")
+            .join(met, ["query", "node"], "left_anti")
         )
         found = (
             fresh.join(own.withColumnRenamed("code", "own"), "query")
@@ -431,8 +446,7 @@ def walk(graph: DataFrame, queries: DataFrame, kind: str, top: int = 10) -> Data
         )
         seen = beam.withColumn("done", F.lit(True)).union(found)
         merged = seen.groupBy("query", "node").agg(F.min("d").alias("d"), F.max("done").alias("done"))
-        ranked = merged.withColumn("place", F.row_number().over(nearest))
-        beam = frozen(ranked.filter(F.col("place") <= most).drop("place"), "beam")
+        beam = held(merged, aside)
 
 
 def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -239,6 +239,47 @@ def test_neighbours_recall(spark):
     assert hits >= 0.95 * 10 * len(got)
 
 
+def test_no_query_meets_a_vector_twice(spark, monkeypatch):
+    """Narrow beams drop much, and are widened."""
+    from labelweave.llm import neighbours
+    from labelweave.session import shared_folder
+
+    monkeypatch.setattr(neighbours, "BEAM", 12)
+    monkeypatch.setattr(neighbours, "RECALL", 1.0)
+    met = []
+    rng = np.random.default_rng(11)
+    df = spark.createDataFrame(
+        [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(1500, 24)))], "node long, vector array<double>"
+    )
+    nodes = frozen(df, "nodes")
+    graph = frozen(neighbours.build_graph(nodes), "graph")
+    step = neighbours._step
+
+    def spy(kind):
+        run = step(kind)
+        folder = shared_folder(spark, "met")
+        met.append(folder)
+
+        def noted(batches):
+            import os
+            import uuid
+
+            os.makedirs(folder, exist_ok=True)
+            for batch in run(batches):
+                with open(f"{folder}/{uuid.uuid4().hex}", "w") as out:
+                    out.writelines(f"{q} {n}\n" for q, n in zip(*(batch.column(c).to_pylist() for c in ("query", "node"))))
+                yield batch
+
+        return noted
+
+    monkeypatch.setattr(neighbours, "_step", spy)
+    queries = nodes.filter("node % 100 = 0").selectExpr("node AS query")
+    found = neighbours.walk(graph, queries, "f8", 10)
+    pairs = spark.read.text(met).select("value")
+    assert pairs.count() == pairs.distinct().count() > 0
+    assert found.groupBy("query").count().filter("count >= 11").count() == 15
+
+
 @pytest.mark.parametrize("noise", [None, 1e-4])
 def test_neighbours_of_near_copies(spark, noise):
     """Thousands of near copies of one vector, and vectors without any structure."""
