@@ -99,6 +99,20 @@ def test_mixing_goes_on_until_nothing_fits(spark):
     assert sorted(sizes[i] for i, n in got.items() if n) == [1, 2, 7, 20, 70]
 
 
+def test_passes_leave_the_rows_as_they_are_written(spark, monkeypatch):
+    """A pass writes a line per source; five passes used to write all rows five times."""
+    written = []
+
+    def spy(df, purpose):
+        out = frozen(df, purpose)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(mixing, "frozen", spy)
+    test_mixing_goes_on_until_nothing_fits(spark)
+    assert sorted(written) == [1] * (len(written) - 1) + [9]
+
+
 def test_inclusion_is_in_proportion_to_size(spark):
     """Large documents are drawn more often; those too large for it are certain."""
     rng = np.random.default_rng(2)
