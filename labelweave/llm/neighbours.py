@@ -1,6 +1,6 @@
 """Approximate nearest neighbours: NN-descent and greedy graph search.
 
-NN-descent keeps ``K`` near neighbours per vector and improves them by a principle: a
+NN-descent keeps some near neighbours per vector, more among more vectors, and improves them by a principle: a
 neighbour of a neighbour is likely a neighbour. Each round is a join: every vector's
 group, its neighbours and those that have it as one, meets with its members' vectors,
 and each member learns of better ones. Rounds end when few lists change. A query walks
@@ -27,11 +27,12 @@ from ..session import shared_folder
 from .frames import frozen
 from .words import MIX_B, U, mix
 
-K = 24  # neighbours kept per vector
-REVERSE = 2 * K  # nearest of those that have a vector as their neighbour
+K = 24  # neighbours kept per vector, of few vectors
+ROOMY, MORE = 10_000, 6  # vectors past which each doubling adds so many to that
 HELD = 1 << 19  # offers that a task cuts to each member's best before it goes on
 SETTLED = 0.005  # share of list entries that change, below which rounds end
-FIRST_ORDERS, FIRST_BLOCK = 3, 192  # random cuts into blocks that the first lists come from
+FIRST_ORDERS, FIRST_BLOCK = 3, 192  # random cuts into blocks, taken together for first lists
+FIRST_TIMES, SPLIT = 2, 0.585  # how often, of few vectors; growth: a cut parts 1 in 3 near pairs
 BEAM = 96  # vectors a walk keeps at first
 RECALL, SAMPLE = 0.95, 100  # least recall, and queries that it is measured on
 CLOSE = 1e-6  # squared distance, against the norms, below which it is taken anew
@@ -40,6 +41,17 @@ ENTRIES = 8  # random vectors a walk starts from, beside its own neighbours
 _GRAPH = "node long, code binary, near array<long>, dist array<double>, fresh array<boolean>"
 
 
+def listed(n: int) -> int:
+    """How many neighbours a list holds among ``n`` vectors. Lists of one length hold ever
+    fewer of the true neighbours as vectors grow in number, and walks pay for that."""
+    return K + int(MORE * max(0.0, np.log2(max(n, 1) / ROOMY)))
+
+
+def _times(n: int) -> int:
+    """How often first lists are improved by cuts: one holds fewer near pairs among more."""
+    return round(FIRST_TIMES * max(1.0, n / ROOMY) ** SPLIT)
+
+
 def usable(vector):
     """Not null, not zero, all components finite."""
     good = F.forall(vector, lambda x: x.isNotNull() & (F.abs(x) < float("inf")) & ~F.isnan(x))
@@ -122,19 +134,19 @@ def _best(x, y, d, most: int) -> np.ndarray:
     return order[place < most]
 
 
-def _nearest(nodes: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The best finite pairs of every row. A list holds ``K``, so it can take no more of
-    one group than its ``K`` best."""
+def _nearest(nodes: np.ndarray, d: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The best finite pairs of every row. A list holds ``most``, so it can take no more of
+    one group than its ``most`` best."""
     inside = np.isfinite(d)
-    if d.shape[1] > K:
-        inside &= d <= np.partition(d, K - 1, axis=1)[:, K - 1 : K]
+    if d.shape[1] > most:
+        inside &= d <= np.partition(d, most - 1, axis=1)[:, most - 1 : most]
     row, column = np.nonzero(inside)
     d = d[row, column]
-    at = _best(row.astype(np.int64), nodes[column], d, K)
+    at = _best(row.astype(np.int64), nodes[column], d, most)
     return nodes[row[at]], nodes[column[at]], d[at]
 
 
-def _offered(found) -> Iterator[pa.RecordBatch]:
+def _offered(found, most: int) -> Iterator[pa.RecordBatch]:
     """Offers of a task's groups, cut to each member's best as they pile up."""
     held, size = [], 0
 
@@ -144,7 +156,7 @@ def _offered(found) -> Iterator[pa.RecordBatch]:
         x, y, d = x[order], y[order], d[order]
         once = np.flatnonzero((np.diff(x, prepend=-1) != 0) | (np.diff(y, prepend=-1) != 0))
         x, y, d = x[once], y[once], d[once]
-        at = _best(x, y, d, K)
+        at = _best(x, y, d, most)
         return x[at], y[at], d[at]
 
     for part in found:
@@ -160,7 +172,7 @@ def _offered(found) -> Iterator[pa.RecordBatch]:
         yield _offers(*cut())
 
 
-def _first(kind: str):
+def _first(kind: str, most: int):
     """Nearest neighbours within a block."""
 
     def found(batches):
@@ -168,12 +180,13 @@ def _first(kind: str):
             v = _decode(block.column("code").to_pylist(), kind)
             d = _distances(v, v)
             np.fill_diagonal(d, np.inf)
-            yield _nearest(block.column("node").to_numpy(), d)
+            d[d > block.column("worst").to_numpy()[:, None]] = np.inf
+            yield _nearest(block.column("node").to_numpy(), d, most)
 
-    return lambda batches: _offered(found(batches))
+    return lambda batches: _offered(found(batches), most)
 
 
-def _meet(kind: str):
+def _meet(kind: str, most: int = K):
     """A group's members learn of one another; at least one of a pair is fresh."""
 
     def found(batches):
@@ -191,39 +204,43 @@ def _meet(kind: str):
             d[~(fresh[:, None] | fresh[None, :])] = np.inf
             # Equally far ones may still win by lot.
             d[d > group.column("worst").to_numpy()[at][:, None]] = np.inf
-            yield _nearest(nodes, d)
+            yield _nearest(nodes, d, most)
 
-    return lambda batches: _offered(found(batches))
+    return lambda batches: _offered(found(batches), most)
 
 
-def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _merge(most: int):
     """Take the nearest of a list and what was offered to it."""
-    for batch in batches:
-        out = {"near": [], "dist": [], "fresh": []}
-        columns = [batch.column(c).to_pylist() for c in ("node", "near", "dist", "others", "far")]
-        for node, near, dist, others, far in zip(*columns, strict=True):
-            best = {y: (d, False) for y, d in zip(near, dist, strict=True)}
-            for y, d in zip(others or (), far or (), strict=True):
-                best.setdefault(y, (d, True))
-            y = np.fromiter(best, np.int64, len(best))
-            d = np.array([x for x, _ in best.values()], np.float64)
-            fresh = np.array([f for _, f in best.values()], bool)
-            top = _best(np.full(len(y), node), y, d, K)
-            out["near"].append(y[top])
-            out["dist"].append(d[top])
-            out["fresh"].append(fresh[top].tolist())
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("node"), batch.column("code"),
-                pa.array(out["near"], pa.list_(pa.int64())),
-                pa.array(out["dist"], pa.list_(pa.float64())),
-                pa.array(out["fresh"], pa.list_(pa.bool_())),
-            ],
-            names=["node", "code", "near", "dist", "fresh"],
-        )
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = {"near": [], "dist": [], "fresh": []}
+            columns = [batch.column(c).to_pylist() for c in ("node", "near", "dist", "others", "far")]
+            for node, near, dist, others, far in zip(*columns, strict=True):
+                best = {y: (d, False) for y, d in zip(near, dist, strict=True)}
+                for y, d in zip(others or (), far or (), strict=True):
+                    best.setdefault(y, (d, True))
+                y = np.fromiter(best, np.int64, len(best))
+                d = np.array([x for x, _ in best.values()], np.float64)
+                fresh = np.array([f for _, f in best.values()], bool)
+                top = _best(np.full(len(y), node), y, d, most)
+                out["near"].append(y[top])
+                out["dist"].append(d[top])
+                out["fresh"].append(fresh[top].tolist())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("node"), batch.column("code"),
+                    pa.array(out["near"], pa.list_(pa.int64())),
+                    pa.array(out["dist"], pa.list_(pa.float64())),
+                    pa.array(out["fresh"], pa.list_(pa.bool_())),
+                ],
+                names=["node", "code", "near", "dist", "fresh"],
+            )
 
-def _cells(orders: int, bits: int, kind: str):
+    return run
+
+
+def _cells(orders: int, bits: int, kind: str, seed: int):
     """A vector's cell in each of some random cuts: the signs of random projections."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,7 +248,7 @@ def _cells(orders: int, bits: int, kind: str):
             if not batch.num_rows:
                 continue
             v = _decode(batch.column("code").to_pylist(), kind)
-            planes = np.random.default_rng(v.shape[1]).normal(size=(v.shape[1], orders * bits))
+            planes = np.random.default_rng([v.shape[1], seed]).normal(size=(v.shape[1], orders * bits))
             sides = (v @ planes > 0).reshape(len(v), orders, bits)
             cells = (sides * (1 << np.arange(bits))).sum(axis=2) + (np.arange(orders) << bits)
             n = batch.num_rows
@@ -239,9 +256,9 @@ def _cells(orders: int, bits: int, kind: str):
                 [
                     pa.array(np.repeat(batch.column("node").to_numpy(), orders)),
                     pa.array(cells.ravel().astype(np.int64)),
-                    batch.column("code").take(pa.array(np.repeat(np.arange(n), orders))),
+                    *(batch.column(c).take(pa.array(np.repeat(np.arange(n), orders))) for c in ("code", "worst")),
                 ],
-                names=["node", "cell", "code"],
+                names=["node", "cell", "code", "worst"],
             )
 
     return run
@@ -251,13 +268,13 @@ def _tasks(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _take(graph: DataFrame, offers: DataFrame) -> DataFrame:
+def _take(graph: DataFrame, offers: DataFrame, most: int) -> DataFrame:
     """Lists with what was offered; a list's offers are bounded by its groups."""
     given = offers.groupBy(F.col("node").alias("n")).agg(
         F.collect_list("other").alias("others"), F.collect_list("d").alias("far")
     )
     joined = graph.join(given, F.col("node") == F.col("n"), "left").drop("n", "fresh")
-    return joined.mapInArrow(_merge, _GRAPH)
+    return joined.mapInArrow(_merge(most), _GRAPH)
 
 
 def build_graph(nodes: DataFrame) -> DataFrame:
@@ -269,9 +286,34 @@ def build_graph(nodes: DataFrame) -> DataFrame:
     kind = _kind(nodes)
     codes = frozen(nodes.mapInArrow(_encode(kind), "node long, code binary"), "codes")
     n = codes.count()
+    most = listed(n)
     bits = max(0, int(np.ceil(np.log2(max(n, 1) / FIRST_BLOCK)))) if n else 0
+    none = [F.array().cast(f"array<{t}>").alias(c) for c, t in (("near", "long"), ("dist", "double"))]
+    graph = codes.select("*", *none, F.array().cast("array<boolean>").alias("fresh"))
+    for seed in range(_times(n)):
+        graph = frozen(_take(graph, _cut(graph, bits, kind, most, seed), most), "graph")
+    # Lists have met in blocks only.
+    graph = graph.withColumn("fresh", F.transform("near", lambda y: F.lit(True)))
+    while True:
+        changed = graph.agg(F.sum(F.size(F.filter("fresh", lambda f: f)))).first()[0] or 0
+        if changed <= SETTLED * n * most:
+            break
+        graph = frozen(_take(graph, _round(graph, kind, most), most), "graph")
+    return graph.select("node", "code", "near", "dist")
+
+
+def _worst(most: int):
+    """The distance that an offer to a list must not exceed."""
+    worst = F.when(F.size("dist") < most, F.lit(float("inf"))).otherwise(F.element_at("dist", -1))
+    return worst.cast("double").alias("worst")
+
+
+def _cut(graph: DataFrame, bits: int, kind: str, most: int, seed: int) -> DataFrame:
+    """Offers within the blocks of some random cuts."""
     cells = frozen(
-        codes.mapInArrow(_cells(FIRST_ORDERS, bits, kind), "node long, cell long, code binary"),
+        graph.select("node", "code", _worst(most)).mapInArrow(
+            _cells(FIRST_ORDERS, bits, kind, seed), "node long, cell long, code binary, worst double"
+        ),
         "cells",
     )
     # A cell that holds very many vectors is dealt out at random into blocks.
@@ -279,27 +321,18 @@ def build_graph(nodes: DataFrame) -> DataFrame:
         F.ceil(F.count(F.lit(1)) / (2 * FIRST_BLOCK)).cast("int").alias("parts")
     )
     blocks = cells.join(full, F.col("cell") == F.col("c")).withColumn(
-        "part", F.pmod(F.xxhash64("node", "cell"), F.col("parts")).cast("int")
+        "part", F.pmod(F.xxhash64("node", "cell", F.lit(seed)), F.col("parts")).cast("int")
     )
-    none = [F.array().cast(f"array<{t}>").alias(c) for c, t in (("near", "long"), ("dist", "double"))]
-    start = codes.select("*", *none, F.array().cast("array<boolean>").alias("fresh"))
-    offers = (
-        blocks.select("cell", "part", "node", "code")
-        .repartition(_tasks(nodes), "cell", "part")
+    return (
+        blocks.select("cell", "part", "node", "code", "worst")
+        .repartition(_tasks(graph), "cell", "part")
         .sortWithinPartitions("cell", "part", "node")
-        .mapInArrow(_first(kind), "node long, other long, d double")
+        .mapInArrow(_first(kind, most), "node long, other long, d double")
     )
-    graph = frozen(_take(start, offers), "graph")
-    while True:
-        changed = graph.agg(F.sum(F.size(F.filter("fresh", lambda f: f)))).first()[0] or 0
-        if changed <= SETTLED * n * K:
-            break
-        graph = frozen(_take(graph, _round(graph, kind)), "graph")
-    return graph.select("node", "code", "near", "dist")
 
 
-def _reverse(graph: DataFrame, *more) -> DataFrame:
-    """(hub, member, d): the nearest of those that have ``hub`` on their lists."""
+def _reverse(graph: DataFrame, most: int, *more) -> DataFrame:
+    """(hub, member, d): the ``2 * most`` nearest of those that have ``hub`` on their lists."""
     entries = graph.select(
         F.col("node").alias("member"), F.explode(F.arrays_zip("near", "dist", *more)).alias("e")
     ).select(F.col("e.near").alias("hub"), "member", F.col("e.dist").alias("d"), *[f"e.{m}" for m in more])
@@ -309,32 +342,31 @@ def _reverse(graph: DataFrame, *more) -> DataFrame:
     final = Window.partitionBy("hub").orderBy("d", lot)
     for window in (sliced, final):
         entries = entries.withColumn("place", F.row_number().over(window))
-        entries = entries.filter(F.col("place") <= REVERSE).drop("place")
+        entries = entries.filter(F.col("place") <= 2 * most).drop("place")
     return entries
 
 
-def _round(graph: DataFrame, kind: str) -> DataFrame:
+def _round(graph: DataFrame, kind: str, most: int) -> DataFrame:
     ahead = graph.select(
         F.col("node").alias("hub"), F.explode(F.arrays_zip("near", "fresh")).alias("e")
     ).select("hub", F.col("e.near").alias("member"), "e.fresh")
-    pairs = ahead.union(_reverse(graph, "fresh").select("hub", "member", "fresh"))
+    pairs = ahead.union(_reverse(graph, most, "fresh").select("hub", "member", "fresh"))
     # Where nobody is new, all have met before.
     pairs = pairs.join(pairs.filter("fresh").select("hub").distinct(), "hub", "left_semi")
-    worst = F.when(F.size("dist") < K, F.lit(float("inf"))).otherwise(F.element_at("dist", -1))
-    facts = graph.select(F.col("node").alias("n"), "code", worst.cast("double").alias("worst"))
+    facts = graph.select(F.col("node").alias("n"), "code", _worst(most))
     return (
         pairs.join(facts, F.col("member") == F.col("n"))
         .drop("n")
         .repartition(_tasks(graph), "hub")
         .sortWithinPartitions("hub", "member")
-        .mapInArrow(_meet(kind), "node long, other long, d double")
+        .mapInArrow(_meet(kind, most), "node long, other long, d double")
     )
 
 
-def _walkable(graph: DataFrame) -> DataFrame:
+def _walkable(graph: DataFrame, most: int) -> DataFrame:
     """A row per node: those next to it, both ways."""
     ahead = graph.select("node", F.explode("near").alias("other"))
-    back = _reverse(graph).select(F.col("hub").alias("node"), F.col("member").alias("other"))
+    back = _reverse(graph, most).select(F.col("hub").alias("node"), F.col("member").alias("other"))
     return ahead.union(back).groupBy("node").agg(F.collect_set("other").alias("next"))
 
 
@@ -382,11 +414,12 @@ def walk(graph: DataFrame, queries: DataFrame, kind: str, top: int = 10) -> Data
     ``queries`` are nodes of the graph (column ``query``). A walk starts at its own node
     and at some random ones, and keeps ``BEAM`` nodes, more where that finds less than
     ``RECALL`` of the ``top`` nearest of ``SAMPLE`` queries: the walks then go on with
-    twice the beam. A beam as large as the graph ends this too. What falls out of a beam is
+    half as much again. A beam as large as the graph ends this too. What falls out of a beam is
     set aside with its distance, so no query meets a node's vector twice.
     """
     spark = graph.sparkSession
-    links = frozen(_walkable(graph), "links")
+    n = graph.count()
+    links = frozen(_walkable(graph, listed(n)), "links")
     own = frozen(queries.join(graph.select(F.col("node").alias("query"), "code"), "query"), "queries")
     # Random entries: each query takes the next few nodes in the order of a hash ring cut
     # into as many cells as there are queries.
@@ -402,7 +435,7 @@ def walk(graph: DataFrame, queries: DataFrame, kind: str, top: int = 10) -> Data
     nearest = Window.partitionBy("query").orderBy("d", F.xxhash64("query", "node"))
     sample = own.orderBy(F.xxhash64("query"), "query").limit(SAMPLE).collect()
     truth = _nearest_of_all(graph, sample, kind, top) if sample else {}
-    most, n = BEAM, graph.count()
+    most = BEAM
 
     def held(rows: DataFrame, aside: str) -> DataFrame:
         """The new beam; the rest goes to the folder ``aside``. A door has no distance yet."""
@@ -425,7 +458,7 @@ def walk(graph: DataFrame, queries: DataFrame, kind: str, top: int = 10) -> Data
             if most >= n or hits >= RECALL * sum(map(len, truth.values())):
                 return beam.select("query", "node", "d")
             # What the narrow beam dropped comes back, expanded or not.
-            most *= 2
+            most += (most + 1) // 2
             aside = shared_folder(spark, "aside")
             beam = held(beam.union(dropped), aside)
             continue

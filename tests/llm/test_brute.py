@@ -321,6 +321,26 @@ def test_a_group_offers_all_that_a_list_can_take():
     assert got == {(i, int(j)) for i in range(n) for j in np.argsort(d[i])[: neighbours.K]}
 
 
+def test_lists_grow_with_the_vectors(spark, monkeypatch):
+    """Lists of one length hold a smaller share of the neighbours of more vectors."""
+    from labelweave.llm import neighbours
+
+    monkeypatch.setattr(neighbours, "ROOMY", 150)
+    rng = np.random.default_rng(3)
+    v = rng.normal(size=(1200, 32))
+    nodes = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "node long, vector array<double>")
+    rows = neighbours.build_graph(frozen(nodes, "nodes")).collect()
+    most = neighbours.K + 3 * neighbours.MORE
+    hits = 0
+    for r in rows:
+        assert len(set(r.near)) == most and r.node not in r.near and r.dist == sorted(r.dist)
+        d = ((v - v[r.node]) ** 2).sum(axis=1)
+        assert r.dist == pytest.approx(d[r.near])
+        d[r.node] = np.inf
+        hits += len(set(np.argsort(d)[:10].tolist()) & set(r.near))
+    assert len(rows) == 1200 and hits >= 0.9 * 10 * 1200
+
+
 def holds(text, item):
     def fold(t):
         return "".join(c if ord(c) > 127 or c.isalnum() else " " for c in t.lower()).split()
