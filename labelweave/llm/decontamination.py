@@ -48,6 +48,7 @@ ANSWER_SHARE = 0.85
 SHORTEST = 4  # items of fewer words have no passage to find
 BLOCK_ITEMS = 2048  # items that a task holds at once; more take further passes
 PIECE = 1 << 15  # words searched at once
+GIVEN = 1 << 17  # hashed words given out at once
 ROWS = 1 << 12  # words of passages multiplied at once, with the part of the vocabulary they hold
 
 # ASCII punctuation becomes white space.
@@ -66,18 +67,27 @@ def hashed(rows: DataFrame) -> DataFrame:
     """``words``, the hashes of each text's words as bytes, and their number ``n``, for
     ``text``."""
 
+    def given(batch: pa.RecordBatch, words: list[np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [
+                *[batch.column(c) for c in ("rid_a", "rid_b", "doc_id")],
+                pa.array([len(w) for w in words], pa.int64()),
+                pa.array([w.tobytes() for w in words], pa.binary()),
+            ],
+            names=["rid_a", "rid_b", "doc_id", "n", "words"],
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         for batch in batches:
-            words = [_words(hasher, text.as_py()) for text in batch.column("text")]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *[batch.column(c) for c in ("rid_a", "rid_b", "doc_id")],
-                    pa.array([len(w) for w in words], pa.int64()),
-                    pa.array([w.tobytes() for w in words], pa.binary()),
-                ],
-                names=["rid_a", "rid_b", "doc_id", "n", "words"],
-            )
+            # Hashes take more room than texts, so few rows at a time are given out.
+            words, held, done = [], 0, 0
+            for row, text in enumerate(batch.column("text"), 1):
+                words.append(_words(hasher, text.as_py()))
+                held += len(words[-1])
+                if held >= GIVEN or row == batch.num_rows:
+                    yield given(batch.slice(done, len(words)), words)
+                    words, held, done = [], 0, row
 
     return rows.mapInArrow(run, "rid_a long, rid_b long, doc_id long, n long, words binary")
 

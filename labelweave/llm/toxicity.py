@@ -53,11 +53,14 @@ class Vocabulary:
         edges = np.flatnonzero(np.diff(ink, prepend=False, append=False))
         starts, lengths = edges[::2], edges[1::2] - edges[::2]
         offsets = np.cumsum(lengths) - lengths
-        place = np.arange(int(lengths.sum())) - np.repeat(offsets, lengths)
-        at = np.repeat(starts, lengths) + place
         if len(starts):
-            weights = powers(MIX_A, int(lengths.max()))
-            sums = np.add.reduceat(raw[at].astype(U) * weights[place], offsets)
+            # In place: a reused worker keeps the room that these take.
+            place = np.arange(int(lengths.sum()))
+            place -= np.repeat(offsets, lengths)
+            terms = powers(MIX_A, int(lengths.max()))[place]
+            terms *= raw[ink]
+            sums = np.add.reduceat(terms, offsets)
+            del place, terms
             names = mix(sums + lengths.astype(U) * MIX_B)
         else:
             names = np.zeros(0, U)
@@ -496,19 +499,23 @@ def score(df: DataFrame, model: Model, text: str = "text", name: str = "score")
     empty frame stays empty; other columns are untouched whatever their names, and one
     called ``name`` is replaced.
     """
-    body = hidden(df, "_body")
     keep = [c for c in df.columns if c != name]
+    # The text travels once: as the column that stays, or beside the columns that stay.
+    place = keep.index(text) if text in keep else len(keep)
+    whole = df.select(*cols(keep), *([] if text in keep else [col(text).alias(hidden(df, "_body"))]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bodies = (t.as_py() for t in batch.column(batch.num_columns - 1))
-            parts = [model.scores(part) for part in chunked(bodies)]
-            scores = np.concatenate(parts) if parts else np.zeros(0)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(scores, pa.float64())], names=[*keep, name]
-            )
+            bodies = (t.as_py() for t in batch.column(place))
+            done = 0
+            for part in chunked(bodies):
+                # A row per text, given out chunk by chunk.
+                rows = batch.slice(done, len(part))
+                done += len(part)
+                yield pa.RecordBatch.from_arrays(
+                    [*rows.columns[: len(keep)], pa.array(model.scores(part), pa.float64())], names=[*keep, name]
+                )
 
-    whole = df.select(*cols(keep), col(text).alias(body))
     schema = T.StructType([*df.select(*cols(keep)).schema, T.StructField(name, T.DoubleType())])
     return whole.mapInArrow(run, schema)
 
