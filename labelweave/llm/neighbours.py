@@ -15,7 +15,8 @@ until a sample of the queries, compared with all vectors, reaches the recall ask
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import groupby, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -27,18 +28,26 @@ from ..session import shared_folder
 from .frames import frozen
 from .words import MIX_B, U, mix
 
+GIVEN = 1 << 14  # members whose vectors a task lays out at once
 K = 24  # neighbours kept per vector, of few vectors
 ROOMY, MORE = 10_000, 6  # vectors past which each doubling adds so many to that
 HELD = 1 << 19  # offers that a task cuts to each member's best before it goes on
 SETTLED = 0.005  # share of list entries that change, below which rounds end
-FIRST_ORDERS, FIRST_BLOCK = 3, 192  # random cuts into blocks, taken together for first lists
-FIRST_TIMES, SPLIT = 2, 0.585  # how often, of few vectors; growth: a cut parts 1 in 3 near pairs
+FIRST_ORDERS, FIRST_BLOCK = 3, 4096  # random cuts into blocks, taken together for first lists
+MEETINGS, SPLIT = 1.0, 0.585  # blocks that near pairs share; a cut parts 1 in 3 near pairs
+ROWS = 256  # of a block, compared with all of it at once
 BEAM = 96  # vectors a walk keeps at first
 RECALL, SAMPLE = 0.95, 100  # least recall, and queries that it is measured on
+PART_BYTES = 1 << 27  # of vectors at most that the groups of a part meet with
 CLOSE = 1e-6  # squared distance, against the norms, below which it is taken anew
 ENTRIES = 8  # random vectors a walk starts from, beside its own neighbours
 
-_GRAPH = "node long, code binary, near array<long>, dist array<double>, fresh array<boolean>"
+_GRAPH = "node long, code binary, near array<long>, dist array<double>"
+# Rows between tasks are letters: many nodes, pairs or vectors in one, as bytes, to a part.
+_LETTER = "part long, kind int, n long, a binary, b binary, c binary, d binary, e binary"
+_NAMES = ["part", "kind", "n", "a", "b", "c", "d", "e"]
+LISTS, EDGES, GROUPS, WANTED = range(4)  # kinds of letters; those first that others need
+I, D, B = np.int64, np.float64, np.bool_
 
 
 def listed(n: int) -> int:
@@ -48,8 +57,9 @@ def listed(n: int) -> int:
 
 
 def _times(n: int) -> int:
-    """How often first lists are improved by cuts: one holds fewer near pairs among more."""
-    return round(FIRST_TIMES * max(1.0, n / ROOMY) ** SPLIT)
+    """How often first lists are improved by cuts, so that near pairs share ``MEETINGS`` blocks
+    of all cuts: a block holds fewer near pairs among more vectors."""
+    return max(1, int(np.ceil(MEETINGS * max(1.0, n / FIRST_BLOCK) ** SPLIT / FIRST_ORDERS)))
 
 
 def usable(vector):
@@ -73,8 +83,17 @@ def _encode(kind: str):
     return run
 
 
-def _decode(codes: list[bytes], kind: str) -> np.ndarray:
-    return np.frombuffer(b"".join(codes), kind).reshape(len(codes), -1).astype(np.float64)
+def _raw(codes: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """A column of equally long bytes as a matrix, without a copy per row."""
+    if isinstance(codes, pa.ChunkedArray):
+        codes = codes.combine_chunks()
+    _, ends, data = codes.buffers()
+    ends = np.frombuffer(ends, np.int32)[codes.offset : codes.offset + len(codes) + 1]
+    return np.frombuffer(data, np.uint8)[ends[0] : ends[-1]].reshape(len(codes), -1)
+
+
+def _decode(codes: pa.Array | pa.ChunkedArray, kind: str) -> np.ndarray:
+    return _raw(codes).view(kind).astype(D)
 
 
 def _kind(nodes: DataFrame) -> str:
@@ -102,20 +121,22 @@ def _lot(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return mix(mix(x.astype(U)) ^ (y.astype(U) * MIX_B))
 
 
-def _runs(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]):
-    """The rows of one group at a time, as columns; rows come sorted by group."""
+def _whole(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """Tables of whole groups; rows come sorted by group."""
     rest = None
     for batch in batches:
+        if not batch.num_rows:
+            continue
         table = pa.Table.from_batches([batch])
         if rest is not None:
             table = pa.concat_tables([rest, table])
-        marks = [table.column(k).to_numpy() for k in keys]
-        edges = np.flatnonzero(np.any([m[1:] != m[:-1] for m in marks], axis=0)) + 1
-        cuts = [0, *edges.tolist()]
-        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-            yield table.slice(lo, hi - lo)
-        rest = table.slice(cuts[-1])
-    if rest is not None and rest.num_rows:
+        marks = table.column(key).to_numpy()
+        ended = np.flatnonzero(marks != marks[-1])
+        last = int(ended[-1]) + 1 if len(ended) else 0
+        if last:
+            yield table.slice(0, last)
+        rest = table.slice(last)
+    if rest is not None:
         yield rest
 
 
@@ -126,24 +147,34 @@ def _offers(x, y, d) -> pa.RecordBatch:
     )
 
 
-def _best(x, y, d, most: int) -> np.ndarray:
-    """Which of some distinct pairs are among the ``most`` nearest of their first node."""
+def _ranked(x, y, d) -> tuple[np.ndarray, np.ndarray]:
+    """Some distinct pairs in order of their first node, then of how near; and each one's place."""
     order = np.lexsort((_lot(x, y), d, x))
     first = np.flatnonzero(np.diff(x[order], prepend=-1))
-    place = np.arange(len(x)) - np.repeat(first, np.diff(first, append=len(x)))
+    return order, np.arange(len(x)) - np.repeat(first, np.diff(first, append=len(x)))
+
+
+def _best(x, y, d, most: int) -> np.ndarray:
+    """Which of some distinct pairs are among the ``most`` nearest of their first node."""
+    order, place = _ranked(x, y, d)
     return order[place < most]
 
 
-def _nearest(nodes: np.ndarray, d: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The best finite pairs of every row. A list holds ``most``, so it can take no more of
-    one group than its ``most`` best."""
-    inside = np.isfinite(d)
-    if d.shape[1] > most:
-        inside &= d <= np.partition(d, most - 1, axis=1)[:, most - 1 : most]
+def _once(x, y) -> np.ndarray:
+    """The first of every distinct pair."""
+    order = np.lexsort((y, x))
+    return order[(np.diff(x[order], prepend=-1) != 0) | (np.diff(y[order], prepend=-1) != 0)]
+
+
+def _nearest(own, nodes, d, worst, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The finite pairs of every row that its list can take: no more of one group than its
+    ``most`` best, and as near. Equally far ones may still win by lot."""
+    inside = d <= np.minimum(worst, np.finfo(D).max)[:, None]
+    full = np.flatnonzero(inside.sum(axis=1) > most)
+    if len(full):
+        inside[full] &= d[full] <= np.partition(d[full], most - 1, axis=1)[:, most - 1 : most]
     row, column = np.nonzero(inside)
-    d = d[row, column]
-    at = _best(row.astype(np.int64), nodes[column], d, most)
-    return nodes[row[at]], nodes[column[at]], d[at]
+    return own[row], nodes[column], d[row, column]
 
 
 def _offered(found, most: int) -> Iterator[pa.RecordBatch]:
@@ -152,10 +183,8 @@ def _offered(found, most: int) -> Iterator[pa.RecordBatch]:
 
     def cut():
         x, y, d = (np.concatenate(c) for c in zip(*held, strict=True))
-        order = np.lexsort((y, x))
-        x, y, d = x[order], y[order], d[order]
-        once = np.flatnonzero((np.diff(x, prepend=-1) != 0) | (np.diff(y, prepend=-1) != 0))
-        x, y, d = x[once], y[once], d[once]
+        at = _once(x, y)
+        x, y, d = x[at], y[at], d[at]
         at = _best(x, y, d, most)
         return x[at], y[at], d[at]
 
@@ -172,93 +201,341 @@ def _offered(found, most: int) -> Iterator[pa.RecordBatch]:
         yield _offers(*cut())
 
 
-def _first(kind: str, most: int):
-    """Nearest neighbours within a block."""
+def _meet(kind: str, most: int = K):
+    """A group's members learn of one another; at least one of a pair is fresh."""
 
     def found(batches):
-        for block in _runs(batches, ("cell", "part")):
-            v = _decode(block.column("code").to_pylist(), kind)
-            d = _distances(v, v)
-            np.fill_diagonal(d, np.inf)
-            d[d > block.column("worst").to_numpy()[:, None]] = np.inf
-            yield _nearest(block.column("node").to_numpy(), d, most)
+        for table in _whole(batches, "hub"):
+            hub, member, worst = (table.column(c).to_numpy() for c in ("hub", "member", "worst"))
+            order = np.lexsort((member, hub))
+            h, m = hub[order], member[order]
+            firsts = np.flatnonzero((np.diff(h, prepend=-1) != 0) | (np.diff(m, prepend=-1) != 0))
+            fresh = table.column("fresh").to_numpy(zero_copy_only=False)[order]
+            fresh, at = np.logical_or.reduceat(fresh, firsts), order[firsts]
+            hub, member, worst = hub[at], member[at], worst[at]
+            v = _decode(table.column("code"), kind)[at]
+            cuts = [*np.flatnonzero(np.diff(hub, prepend=-1)).tolist(), len(hub)]
+            for lo, hi in pairwise(cuts):
+                nodes, most_far, x = member[lo:hi], worst[lo:hi], v[lo:hi]
+                new = np.flatnonzero(fresh[lo:hi])
+                if hi - lo < 2 or not len(new):
+                    continue
+                d = _distances(x[new], x)
+                d[np.arange(len(new)), new] = np.inf
+                yield _nearest(nodes[new], nodes, d, most_far[new], most)
+                old = np.flatnonzero(~fresh[lo:hi])
+                if len(old):
+                    yield _nearest(nodes[old], nodes[new], d[:, old].T, most_far[old], most)
 
     return lambda batches: _offered(found(batches), most)
 
 
-def _meet(kind: str, most: int = K):
-    """A group's members learn of one another; at least one of a pair is fresh."""
+def _part(nodes: np.ndarray, parts: int) -> np.ndarray:
+    """Where a node's list and vector are kept."""
+    return (mix(nodes.astype(U)) % U(parts)).astype(I)
 
-    def found(batches):
-        for group in _runs(batches, ("hub",)):
-            every = group.column("member").to_numpy()
-            nodes, at = np.unique(every, return_index=True)
-            fresh = np.zeros(len(nodes), bool)
-            flags = group.column("fresh").to_numpy(zero_copy_only=False)
-            np.logical_or.at(fresh, np.searchsorted(nodes, every), flags)
-            if len(nodes) < 2 or not fresh.any():
-                continue
-            v = _decode(group.column("code").take(pa.array(at)).to_pylist(), kind)
-            d = _distances(v, v)
-            np.fill_diagonal(d, np.inf)
-            d[~(fresh[:, None] | fresh[None, :])] = np.inf
-            # Equally far ones may still win by lot.
-            d[d > group.column("worst").to_numpy()[at][:, None]] = np.inf
-            yield _nearest(nodes, d, most)
 
-    return lambda batches: _offered(found(batches), most)
+def _split(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each key and where it is."""
+    order = np.argsort(keys, kind="stable")
+    cuts = [*np.flatnonzero(np.diff(keys[order], prepend=-1)).tolist(), len(keys)]
+    for lo, hi in pairwise(cuts):
+        yield int(keys[order[lo]]), order[lo:hi]
 
 
-def _merge(most: int):
-    """Take the nearest of a list and what was offered to it."""
+def _letters(rows: Iterable[tuple]) -> Iterator[pa.RecordBatch]:
+    """Letters (part, kind, n, arrays) as batches of bounded size."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def batch():
+        part, kind, n, *data = zip(*held, strict=True)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(part, pa.int64()), pa.array(kind, pa.int32()), pa.array(n, pa.int64()),
+             *(pa.array(c, pa.binary()) for c in data)],
+            names=_NAMES,
+        )
+
+    held, size = [], 0
+    for part, kind, n, *arrays in rows:
+        data = [x.tobytes() for x in arrays]
+        held.append((part, kind, n, *data, *[None] * (5 - len(data))))
+        size += 64 + sum(map(len, data))
+        if size > 1 << 22:
+            yield batch()
+            held, size = [], 0
+    if held:
+        yield batch()
+
+
+def _opened(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in batches:
+        yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
+
+
+def _by_part(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[tuple]]]:
+    return groupby(_opened(batches), key=lambda r: r[0])
+
+
+def _read(data: bytes, kind, width: int = 0) -> np.ndarray:
+    """What a letter holds; rows of ``width`` where given."""
+    out = np.frombuffer(data, kind)
+    return out.reshape(-1, width) if width else out
+
+
+def _joined(rows: list[tuple], *kinds) -> list[np.ndarray]:
+    """The first arrays of all letters, end to end."""
+    return [np.concatenate([np.empty(0, k), *(_read(r[3 + i], k) for r in rows)]) for i, k in enumerate(kinds)]
+
+
+def _vectors(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes of some letters, in order, and their vectors as rows of bytes."""
+    nodes = np.concatenate([_read(r[3], I) for r in rows])
+    codes = np.frombuffer(b"".join(r[4] for r in rows), np.uint8).reshape(len(nodes), -1)
+    return nodes, codes
+
+
+def _crowded(x, y, d, most: int) -> np.ndarray:
+    """Which pairs stay where no node keeps more than its ``most`` nearest."""
+    _, back, count = np.unique(x, return_inverse=True, return_counts=True)
+    crowd = count[back] > most
+    if not crowd.any():
+        return np.arange(len(x))
+    at = np.flatnonzero(crowd)
+    return np.concatenate([np.flatnonzero(~crowd), at[_best(x[at], y[at], d[at], most)]])
+
+
+def _posted(flat, parts: int):
+    """Offers as letters to the nodes that they are made to."""
+
+    def rows(batches):
+        for batch in flat(batches):
+            x, y, d = (c.to_numpy() for c in batch.columns)
+            for part, at in _split(_part(x, parts)):
+                yield part, EDGES, 0, x[at], y[at], d[at]
+
+    return lambda batches: _letters(rows(batches))
+
+
+def _placed(parts: int):
+    """Vectors as letters to the parts that keep them."""
+
+    def rows(batches):
         for batch in batches:
-            out = {"near": [], "dist": [], "fresh": []}
-            columns = [batch.column(c).to_pylist() for c in ("node", "near", "dist", "others", "far")]
-            for node, near, dist, others, far in zip(*columns, strict=True):
-                best = {y: (d, False) for y, d in zip(near, dist, strict=True)}
-                for y, d in zip(others or (), far or (), strict=True):
-                    best.setdefault(y, (d, True))
-                y = np.fromiter(best, np.int64, len(best))
-                d = np.array([x for x, _ in best.values()], np.float64)
-                fresh = np.array([f for _, f in best.values()], bool)
-                top = _best(np.full(len(y), node), y, d, most)
-                out["near"].append(y[top])
-                out["dist"].append(d[top])
-                out["fresh"].append(fresh[top].tolist())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("node"), batch.column("code"),
-                    pa.array(out["near"], pa.list_(pa.int64())),
-                    pa.array(out["dist"], pa.list_(pa.float64())),
-                    pa.array(out["fresh"], pa.list_(pa.bool_())),
-                ],
-                names=["node", "code", "near", "dist", "fresh"],
+            if batch.num_rows:
+                nodes, codes = batch.column("node").to_numpy(), _raw(batch.column("code"))
+                for part, at in _split(_part(nodes, parts)):
+                    yield part, LISTS, 0, nodes[at], codes[at]
+
+    return lambda batches: _letters(rows(batches))
+
+
+def _begun(most: int):
+    """Parts with empty lists."""
+
+    def rows(batches):
+        for part, letters in _by_part(batches):
+            nodes, codes = _vectors(list(letters))
+            order, shape = np.argsort(nodes), (len(nodes), most)
+            yield (
+                part, LISTS, 0, nodes[order], codes[order],
+                np.full(shape, -1, I), np.full(shape, np.inf, D), np.zeros(shape, B),
             )
 
-    return run
+    return lambda batches: _letters(rows(batches))
 
 
-def _cells(orders: int, bits: int, kind: str, seed: int):
+def _cells(v: np.ndarray, orders: int, bits: int, seed: int) -> np.ndarray:
     """A vector's cell in each of some random cuts: the signs of random projections."""
+    planes = np.random.default_rng([v.shape[1], seed]).normal(size=(v.shape[1], orders * bits))
+    sides = (v @ planes > 0).reshape(len(v), orders, bits)
+    return (sides * (1 << np.arange(bits))).sum(axis=2) + (np.arange(orders) << bits)
+
+
+def _counted(orders: int, bits: int, kind: str, seed: int):
+    """How many vectors of a task are in each cell."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
+        total = np.zeros(orders << bits, I)
+        for _, _, _, nodes, codes, *_ in _opened(batches):
+            v = _read(codes, kind).reshape(len(nodes) // 8, -1).astype(D)
+            total += np.bincount(_cells(v, orders, bits, seed).ravel(), minlength=len(total))
+        cell = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(total[cell])], names=["cell", "n"])
+
+    return run
+
+
+def _dealt_cells(orders: int, bits: int, kind: str, seed: int, full: dict[int, tuple[int, int]]):
+    """Vectors as letters to their blocks: a cell, or the blocks that a full one is dealt out to."""
+
+    def rows(batches):
+        for _, _, _, a, codes, _, dist, _ in _opened(batches):
+            nodes, worst = _read(a, I), _read(dist, D).reshape(len(a) // 8, -1)[:, -1]
+            codes = _read(codes, np.uint8).reshape(len(nodes), -1)
+            v = np.ascontiguousarray(codes).view(kind).astype(D)
+            for cell, at in _split(_cells(v, orders, bits, seed).ravel()):
+                at = at // orders
+                first, blocks = full.get(cell, (cell, 1))
+                lot = _lot(nodes[at], np.full(len(at), cell * 64 + seed, I)) % U(blocks)
+                for block, some in _split(lot.astype(I)):
+                    some = at[some]
+                    yield first + block, EDGES, 0, nodes[some], codes[some], worst[some]
+
+    return lambda batches: _letters(rows(batches))
+
+
+def _first(kind: str, most: int):
+    """Nearest neighbours within a block."""
+
+    def found(batches):
+        for _, letters in _by_part(batches):
+            rows = list(letters)
+            nodes, codes = _vectors(rows)
+            worst = np.concatenate([_read(r[5], D) for r in rows])
+            v = codes.view(kind).astype(D)
+            for lo in range(0, len(v) if len(v) > 1 else 0, ROWS):
+                d = _distances(v[lo : lo + ROWS], v)
+                some = np.arange(len(d))
+                d[some, lo + some] = np.inf
+                yield _nearest(nodes[lo : lo + ROWS], nodes, d, worst[lo : lo + ROWS], most)
+
+    return lambda batches: _offered(found(batches), most)
+
+
+def _merged(most: int):
+    """Parts with the nearest of each list and what was offered to it."""
+
+    def rows(batches):
+        for part, letters in _by_part(batches):
+            a, codes, near, dist, _ = next(letters)[3:]
+            nodes, near, dist = _read(a, I), _read(near, I, most), _read(dist, D, most)
+            held, size = [], 0
+
+            def cut(held):
+                x, y, d, new = (np.concatenate(c) for c in zip(*held, strict=True))
+                at = _once(x, y)  # of a list's entry and an offer, the entry
+                x, y, d, new = x[at], y[at], d[at], new[at]
+                order, place = _ranked(x, y, d)
+                top, place = order[place < most], place[place < most]
+                return (x[top], y[top], d[top], new[top]), place
+
+            row, column = np.nonzero(near >= 0)
+            held = [(nodes[row], near[row, column], dist[row, column], np.zeros(len(row), B))]
+            for letter in letters:
+                x, y, d = _read(letter[3], I), _read(letter[4], I), _read(letter[5], D)
+                held.append((x, y, d, np.ones(len(x), B)))
+                size += len(x)
+                if size > 4 * HELD:
+                    held, size = [cut(held)[0]], 0
+            (x, y, d, new), place = cut(held)
+            near, dist = np.full(near.shape, -1, I), np.full(dist.shape, np.inf, D)
+            fresh, row = np.zeros(near.shape, B), np.searchsorted(nodes, x)
+            near[row, place], dist[row, place], fresh[row, place] = y, d, new
+            yield part, LISTS, int(new.sum()), nodes, _read(codes, np.uint8), near, dist, fresh
+
+    return lambda batches: _letters(rows(batches))
+
+
+def _edges(parts: int, most: int, every: bool):
+    """A part's lists to itself, and their entries to the parts of those they name. ``every``
+    entry counts as fresh after the cuts: lists have met in blocks only."""
+
+    def rows(batches):
+        for part, _, _, a, _, near, dist, fresh in _opened(batches):
+            nodes, near, dist, fresh = _read(a, I), _read(near, I, most), _read(dist, D, most), _read(fresh, B, most)
+            fresh = near >= 0 if every else fresh
+            yield part, LISTS, 0, nodes, near, fresh
+            row, column = np.nonzero(near >= 0)
+            x, y, d, new = nodes[row], near[row, column], dist[row, column], fresh[row, column]
+            at = _crowded(y, x, d, 2 * most)
+            x, y, d, new = x[at], y[at], d[at], new[at]
+            for owner, at in _split(_part(y, parts)):
+                yield owner, EDGES, 0, y[at], x[at], d[at], new[at]
+
+    return lambda batches: _letters(rows(batches))
+
+
+def _gathered(parts: int, most: int):
+    """The groups of a part's nodes, and what vectors are wanted for them from where. A hub
+    has the ``2 * most`` nearest of those that have it on their lists; where nobody is new,
+    all have met before."""
+
+    def rows(batches):
+        for part, letters in _by_part(batches):
+            _, _, _, a, near, fresh, *_ = next(letters)
+            nodes, near, fresh = _read(a, I), _read(near, I, most), _read(fresh, B, most)
+            row, column = np.nonzero(near >= 0)
+            y, x, d, new = _joined(list(letters), I, I, D, B)
+            at = _crowded(y, x, d, 2 * most)
+            hub = np.concatenate([nodes[row], y[at]])
+            member = np.concatenate([near[row, column], x[at]])
+            new = np.concatenate([fresh[row, column], new[at]])
+            at = np.flatnonzero(np.isin(hub, np.unique(hub[new])))
+            if not len(at):
                 continue
-            v = _decode(batch.column("code").to_pylist(), kind)
-            planes = np.random.default_rng([v.shape[1], seed]).normal(size=(v.shape[1], orders * bits))
-            sides = (v @ planes > 0).reshape(len(v), orders, bits)
-            cells = (sides * (1 << np.arange(bits))).sum(axis=2) + (np.arange(orders) << bits)
-            n = batch.num_rows
+            at = at[np.argsort(hub[at], kind="stable")]
+            yield part, GROUPS, 0, hub[at], member[at], new[at]
+            wanted = np.unique(member[at])
+            for owner, some in _split(_part(wanted, parts)):
+                yield owner, WANTED, part, wanted[some]
+
+    return lambda batches: _letters(rows(batches))
+
+
+def _sent(most: int):
+    """Vectors to the parts that want them, and how far offers to them may be."""
+
+    def rows(batches):
+        for _, letters in _by_part(batches):
+            _, _, _, a, codes, _, dist, _ = next(letters)
+            nodes, worst = _read(a, I), _read(dist, D, most)[:, -1]
+            codes = _read(codes, np.uint8).reshape(len(nodes), -1)
+            for letter in letters:
+                wanted = _read(letter[3], I)
+                at = np.searchsorted(nodes, wanted)
+                yield letter[2], LISTS, 0, wanted, codes[at], worst[at]
+
+    return lambda batches: _letters(rows(batches))
+
+
+def _groups(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The groups of a part with their members' vectors, some at a time."""
+    for _, letters in _by_part(batches):
+        rows = list(letters)
+        given = [r for r in rows if r[1] == LISTS]
+        nodes, codes = _vectors(given)
+        worst, order = np.concatenate([_read(r[5], D) for r in given]), np.argsort(nodes)
+        nodes = nodes[order]
+        for _, _, _, hub, member, new, *_ in (r for r in rows if r[1] == GROUPS):
+            hub, member, new = _read(hub, I), _read(member, I), _read(new, B)
+            for lo in range(0, len(hub), GIVEN):
+                some = slice(lo, lo + GIVEN)
+                at = order[np.searchsorted(nodes, member[some])]
+                ends = np.arange(len(at) + 1, dtype=np.int32) * codes.shape[1]
+                code = pa.Array.from_buffers(
+                    pa.binary(), len(at), [None, pa.py_buffer(ends), pa.py_buffer(codes[at])]
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(hub[some]), pa.array(member[some]), pa.array(new[some]), code, pa.array(worst[at])],
+                    names=["hub", "member", "fresh", "code", "worst"],
+                )
+
+
+def _listing(most: int):
+    """Parts as a row per node."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, _, a, codes, near, dist, _ in _opened(batches):
+            nodes, near, dist = _read(a, I), _read(near, I, most), _read(dist, D, most)
+            ends = np.concatenate([[0], np.cumsum((near >= 0).sum(axis=1))]).astype(np.int32)
+            size, there = len(codes) // len(nodes), near >= 0
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.repeat(batch.column("node").to_numpy(), orders)),
-                    pa.array(cells.ravel().astype(np.int64)),
-                    *(batch.column(c).take(pa.array(np.repeat(np.arange(n), orders))) for c in ("code", "worst")),
+                    pa.array(nodes),
+                    pa.array([codes[i : i + size] for i in range(0, len(codes), size)], pa.binary()),
+                    pa.ListArray.from_arrays(ends, pa.array(near[there])),
+                    pa.ListArray.from_arrays(ends, pa.array(dist[there])),
                 ],
-                names=["node", "cell", "code", "worst"],
+                names=["node", "code", "near", "dist"],
             )
 
     return run
@@ -268,67 +545,71 @@ def _tasks(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _dealt(*letters: DataFrame) -> DataFrame:
+    """Letters at their parts, each part in one task."""
+    df = letters[0]
+    for more in letters[1:]:
+        df = df.union(more)
+    tasks = _tasks(df)
+    df = df.repartitionById(tasks, F.pmod("part", F.lit(tasks)).cast("int"))
+    return df.sortWithinPartitions("part", "kind")
+
+
 def _take(graph: DataFrame, offers: DataFrame, most: int) -> DataFrame:
-    """Lists with what was offered; a list's offers are bounded by its groups."""
-    given = offers.groupBy(F.col("node").alias("n")).agg(
-        F.collect_list("other").alias("others"), F.collect_list("d").alias("far")
-    )
-    joined = graph.join(given, F.col("node") == F.col("n"), "left").drop("n", "fresh")
-    return joined.mapInArrow(_merge(most), _GRAPH)
+    """Lists with what was offered; those before are not needed any more."""
+    taken = frozen(_dealt(graph, offers).mapInArrow(_merged(most), _LETTER), "graph")
+    _forget(graph)
+    return taken
+
+
+def _forget(df: DataFrame) -> None:
+    """Remove the files of a frozen frame that nothing reads any more."""
+    jvm, spark = df.sparkSession._jvm, df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def build_graph(nodes: DataFrame) -> DataFrame:
     """``nodes`` (node long, vector array<double> of one length) to lists of neighbours.
 
     Returns ``node``, ``code``, ``near`` and ``dist`` (squared, nearest first). Node ids
-    are unique. A round only makes lists better, so rounds end.
+    are unique. A round only makes lists better, so rounds end. Lists and vectors are kept in
+    parts by a hash of the node; a part is sent each vector that its groups meet with once.
     """
     kind = _kind(nodes)
     codes = frozen(nodes.mapInArrow(_encode(kind), "node long, code binary"), "codes")
     n = codes.count()
     most = listed(n)
+    size = codes.select(F.length("code")).first()[0] if n else 1
+    parts = max(_tasks(nodes), -(-n * 3 * most * size // PART_BYTES))
+    graph = frozen(_dealt(codes.mapInArrow(_placed(parts), _LETTER)).mapInArrow(_begun(most), _LETTER), "graph")
     bits = max(0, int(np.ceil(np.log2(max(n, 1) / FIRST_BLOCK)))) if n else 0
-    none = [F.array().cast(f"array<{t}>").alias(c) for c, t in (("near", "long"), ("dist", "double"))]
-    graph = codes.select("*", *none, F.array().cast("array<boolean>").alias("fresh"))
     for seed in range(_times(n)):
-        graph = frozen(_take(graph, _cut(graph, bits, kind, most, seed), most), "graph")
-    # Lists have met in blocks only.
-    graph = graph.withColumn("fresh", F.transform("near", lambda y: F.lit(True)))
-    while True:
-        changed = graph.agg(F.sum(F.size(F.filter("fresh", lambda f: f)))).first()[0] or 0
-        if changed <= SETTLED * n * most:
+        graph = _take(graph, _cut(graph, bits, kind, most, parts, seed), most)
+    first = True
+    while n:
+        changed = graph.agg(F.sum("n")).first()[0] or 0
+        if not first and changed <= SETTLED * n * most:
             break
-        graph = frozen(_take(graph, _round(graph, kind, most), most), "graph")
-    return graph.select("node", "code", "near", "dist")
-
+        graph = _take(graph, _round(graph, kind, most, parts, first), most)
+        first = False
+    rows = frozen(graph.mapInArrow(_listing(most), _GRAPH), "lists")
+    _forget(graph)
+    return rows
 
-def _worst(most: int):
-    """The distance that an offer to a list must not exceed."""
-    worst = F.when(F.size("dist") < most, F.lit(float("inf"))).otherwise(F.element_at("dist", -1))
-    return worst.cast("double").alias("worst")
 
-
-def _cut(graph: DataFrame, bits: int, kind: str, most: int, seed: int) -> DataFrame:
+def _cut(graph: DataFrame, bits: int, kind: str, most: int, parts: int, seed: int) -> DataFrame:
     """Offers within the blocks of some random cuts."""
-    cells = frozen(
-        graph.select("node", "code", _worst(most)).mapInArrow(
-            _cells(FIRST_ORDERS, bits, kind, seed), "node long, cell long, code binary, worst double"
-        ),
-        "cells",
-    )
+    counts = graph.mapInArrow(_counted(FIRST_ORDERS, bits, kind, seed), "cell long, n long")
+    counts = counts.groupBy("cell").agg(F.sum("n").alias("n")).filter(F.col("n") > 2 * FIRST_BLOCK)
     # A cell that holds very many vectors is dealt out at random into blocks.
-    full = cells.groupBy(F.col("cell").alias("c")).agg(
-        F.ceil(F.count(F.lit(1)) / (2 * FIRST_BLOCK)).cast("int").alias("parts")
-    )
-    blocks = cells.join(full, F.col("cell") == F.col("c")).withColumn(
-        "part", F.pmod(F.xxhash64("node", "cell", F.lit(seed)), F.col("parts")).cast("int")
-    )
-    return (
-        blocks.select("cell", "part", "node", "code", "worst")
-        .repartition(_tasks(graph), "cell", "part")
-        .sortWithinPartitions("cell", "part", "node")
-        .mapInArrow(_first(kind, most), "node long, other long, d double")
-    )
+    full, blocks = {}, FIRST_ORDERS << bits
+    for row in counts.orderBy("cell").collect():
+        full[row.cell] = (blocks, -(-row.n // (2 * FIRST_BLOCK)))
+        blocks += full[row.cell][1]
+    cells = graph.mapInArrow(_dealt_cells(FIRST_ORDERS, bits, kind, seed, full), _LETTER)
+    return _dealt(cells).mapInArrow(_posted(_first(kind, most), parts), _LETTER)
 
 
 def _reverse(graph: DataFrame, most: int, *more) -> DataFrame:
@@ -346,21 +627,15 @@ def _reverse(graph: DataFrame, most: int, *more) -> DataFrame:
     return entries
 
 
-def _round(graph: DataFrame, kind: str, most: int) -> DataFrame:
-    ahead = graph.select(
-        F.col("node").alias("hub"), F.explode(F.arrays_zip("near", "fresh")).alias("e")
-    ).select("hub", F.col("e.near").alias("member"), "e.fresh")
-    pairs = ahead.union(_reverse(graph, most, "fresh").select("hub", "member", "fresh"))
-    # Where nobody is new, all have met before.
-    pairs = pairs.join(pairs.filter("fresh").select("hub").distinct(), "hub", "left_semi")
-    facts = graph.select(F.col("node").alias("n"), "code", _worst(most))
-    return (
-        pairs.join(facts, F.col("member") == F.col("n"))
-        .drop("n")
-        .repartition(_tasks(graph), "hub")
-        .sortWithinPartitions("hub", "member")
-        .mapInArrow(_meet(kind, most), "node long, other long, d double")
-    )
+def _round(graph: DataFrame, kind: str, most: int, parts: int, first: bool) -> DataFrame:
+    """Offers within the groups of all nodes that have a fresh member; ``first``: all have."""
+    edges = graph.mapInArrow(_edges(parts, most, first), _LETTER)
+    met = frozen(_dealt(edges).mapInArrow(_gathered(parts, most), _LETTER), "groups")
+    wanted = met.filter(F.col("kind") == WANTED)
+    vectors = _dealt(graph, wanted).mapInArrow(_sent(most), _LETTER)
+    meet = _meet(kind, most)
+    offers = _dealt(vectors, met.filter(F.col("kind") == GROUPS))
+    return offers.mapInArrow(_posted(lambda batches: meet(_groups(batches)), parts), _LETTER)
 
 
 def _walkable(graph: DataFrame, most: int) -> DataFrame:
@@ -376,7 +651,7 @@ def _step(kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                own, other = (_decode(batch.column(c).to_pylist(), kind) for c in ("own", "code"))
+                own, other = (_decode(batch.column(c), kind) for c in ("own", "code"))
                 d = ((other - own) ** 2).sum(axis=1)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("query"), batch.column("node"), pa.array(d, pa.float64()),
@@ -389,13 +664,13 @@ def _step(kind: str):
 
 def _nearest_of_all(graph: DataFrame, sample: list, kind: str, top: int) -> dict[int, list[float]]:
     """How far the ``top`` nearest of each sampled node reach, all nodes compared."""
-    asked, own = np.array([r.query for r in sample], np.int64), _decode([r.code for r in sample], kind)
+    asked, own = np.array([r.query for r in sample], np.int64), _decode(pa.array([r.code for r in sample], pa.binary()), kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = np.full((len(asked), top), np.inf)
         for batch in batches:
             if batch.num_rows:
-                d = _distances(own, _decode(batch.column("code").to_pylist(), kind))
+                d = _distances(own, _decode(batch.column("code"), kind))
                 d[asked[:, None] == batch.column("node").to_numpy()[None, :]] = np.inf
                 best = np.sort(np.concatenate([best, d], axis=1), axis=1)[:, :top]
         q, d = np.repeat(asked, top), best.ravel()
