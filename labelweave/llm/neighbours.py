@@ -40,6 +40,7 @@ BEAM = 96  # vectors a walk keeps at first
 RECALL, SAMPLE = 0.95, 100  # least recall, and queries that it is measured on
 PART_BYTES = 1 << 27  # of vectors at most that the groups of a part meet with
 CLOSE = 1e-6  # squared distance, against the norms, below which it is taken anew
+WALKS = 64  # queries whose walks a part keeps, of many
 ENTRIES = 8  # random vectors a walk starts from, beside its own neighbours
 
 _GRAPH = "node long, code binary, near array<long>, dist array<double>"
@@ -92,6 +93,12 @@ def _raw(codes: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return np.frombuffer(data, np.uint8)[ends[0] : ends[-1]].reshape(len(codes), -1)
 
 
+def _binary(rows: np.ndarray) -> pa.Array:
+    """A matrix of bytes as a column."""
+    ends = np.arange(len(rows) + 1, dtype=np.int32) * np.int32(rows.shape[1])
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends), pa.py_buffer(rows)])
+
+
 def _decode(codes: pa.Array | pa.ChunkedArray, kind: str) -> np.ndarray:
     return _raw(codes).view(kind).astype(D)
 
@@ -510,14 +517,11 @@ def _groups(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for lo in range(0, len(hub), GIVEN):
                 some = slice(lo, lo + GIVEN)
                 at = order[np.searchsorted(nodes, member[some])]
-                ends = np.arange(len(at) + 1, dtype=np.int32) * codes.shape[1]
-                code = pa.Array.from_buffers(
-                    pa.binary(), len(at), [None, pa.py_buffer(ends), pa.py_buffer(codes[at])]
-                )
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(hub[some]), pa.array(member[some]), pa.array(new[some]), code, pa.array(worst[at])],
+                    [pa.array(hub[some]), pa.array(member[some]), pa.array(new[some]), _binary(codes[at]),
+                     pa.array(worst[at])],
                     names=["hub", "member", "fresh", "code", "worst"],
-                )
+                )
 
 
 def _listing(most: int):
@@ -526,12 +530,12 @@ def _listing(most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, _, _, a, codes, near, dist, _ in _opened(batches):
             nodes, near, dist = _read(a, I), _read(near, I, most), _read(dist, D, most)
-            ends = np.concatenate([[0], np.cumsum((near >= 0).sum(axis=1))]).astype(np.int32)
-            size, there = len(codes) // len(nodes), near >= 0
+            there = near >= 0
+            ends = np.concatenate([[0], np.cumsum(there.sum(axis=1))]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(nodes),
-                    pa.array([codes[i : i + size] for i in range(0, len(codes), size)], pa.binary()),
+                    _binary(_read(codes, np.uint8).reshape(len(nodes), -1)),
                     pa.ListArray.from_arrays(ends, pa.array(near[there])),
                     pa.ListArray.from_arrays(ends, pa.array(dist[there])),
                 ],
@@ -683,6 +687,165 @@ def _nearest_of_all(graph: DataFrame, sample: list, kind: str, top: int) -> dict
     return {r.query: sorted(r.d) for r in found.groupBy("query").agg(F.collect_list("d").alias("d")).collect()}
 
 
+def _shelved(parts: int):
+    """Nodes with their vectors and those next to them as letters to the parts that keep them."""
+
+    def rows(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            nodes, codes = batch.column("node").to_numpy(), _raw(batch.column("code"))
+            ends = batch.column("next").value_lengths().fill_null(0).to_numpy().astype(I)
+            beside = batch.column("next").flatten().to_numpy()
+            for part, at in _split(_part(nodes, parts)):
+                yield part, LISTS, 0, nodes[at], codes[at], ends[at], beside[_ranges(ends, at)]
+
+    return lambda batches: _letters(rows(batches))
+
+
+def _ranges(lengths: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Where the items of the lists ``at`` are, of lists of such lengths end to end."""
+    starts, long = (np.cumsum(lengths) - lengths)[at], lengths[at]
+    return np.repeat(starts - (np.cumsum(long) - long), long) + np.arange(int(long.sum()))
+
+
+def _shelf(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One letter per part, nodes in order."""
+
+    def rows():
+        for part, letters in _by_part(batches):
+            given = list(letters)
+            nodes, codes = _vectors(given)
+            lengths, beside = (np.concatenate([_read(r[i], I) for r in given]) for i in (5, 6))
+            order = np.argsort(nodes)
+            yield part, LISTS, 0, nodes[order], codes[order], lengths[order], beside[_ranges(lengths, order)]
+
+    return _letters(rows())
+
+
+def _seated(parts: int):
+    """Queries as letters to the parts that keep their walks; each starts at its own node."""
+
+    def rows(batches):
+        for batch in batches:
+            if batch.num_rows:
+                query, codes = batch.column("query").to_numpy(), _raw(batch.column("code"))
+                for part, at in _split(_part(query, parts)):
+                    yield part, LISTS, 0, query[at], codes[at]
+                    yield part, EDGES, 0, query[at], query[at], np.zeros(len(at), D), np.zeros(len(at), B)
+
+    return lambda batches: _letters(rows(batches))
+
+
+def _doors(parts: int):
+    """Nodes to start from as letters to the queries' parts."""
+
+    def rows(batches):
+        for batch in batches:
+            if batch.num_rows:
+                query, node = batch.column("query").to_numpy(), batch.column("node").to_numpy()
+                for part, at in _split(_part(query, parts)):
+                    yield part, GROUPS, 0, query[at], node[at]
+
+    return lambda batches: _letters(rows(batches))
+
+
+def _walked(most: int, parts: int):
+    """A step of a part's walks: what they met, and letters to the nodes' parts that ask for
+    the distances of nodes not met, and for the lists of nodes to expand."""
+
+    def rows(batches):
+        for part, letters in _by_part(batches):
+            got = [[] for _ in range(4)]
+            for letter in letters:
+                got[letter[1]].append(letter)
+            query, codes = _vectors(got[LISTS])
+            order = np.argsort(query)
+            query, codes = query[order], codes[order]
+            q, node, d = _joined(got[EDGES], I, I, D)
+            # Letters of answers say nothing of what is done.
+            done = np.concatenate([np.zeros(len(r[3]) // 8, B) if r[6] is None else _read(r[6], B) for r in got[EDGES]])
+            order, place = _ranked(q, node, d)
+            q, node, d, done = q[order], node[order], d[order], done[order]
+            reach = np.full(len(query), np.inf)
+            last = place == most - 1
+            reach[np.searchsorted(query, q[last])] = d[last]
+            todo = np.flatnonzero((place < most) & ~done)
+            named, lengths, beside = _joined(got[WANTED], I, I, I)
+            first = np.unique(named, return_index=True)[1]
+            here = np.isin(node[todo], named)
+            now, later = todo[here], np.unique(node[todo[~here]])
+            at = first[np.searchsorted(named[first], node[now])]
+            new_q, new_node = np.repeat(q[now], lengths[at]), beside[_ranges(lengths, at)]
+            done[now] = True
+            doors = _joined(got[GROUPS], I, I)
+            every_q, every_node = np.concatenate([q, doors[0], new_q]), np.concatenate([node, doors[1], new_node])
+            fresh = _once(every_q, every_node)
+            fresh = fresh[fresh >= len(q)]
+            new_q, new_node = every_q[fresh], every_node[fresh]
+            yield part, LISTS, len(fresh) + len(later), query, codes
+            yield part, EDGES, 0, q, node, d, done
+            for owner, at in _split(_part(new_node, parts)):
+                asks = np.unique(new_q[at])
+                own = np.searchsorted(query, asks)
+                yield owner, GROUPS, part, new_q[at], new_node[at], asks, codes[own], reach[own]
+            for owner, at in _split(_part(later, parts)):
+                yield owner, WANTED, part, later[at]
+
+    return lambda batches: _letters(rows(batches))
+
+
+def _answered(step):
+    """How far queries are from nodes of a part, and the lists of nodes near enough for a beam."""
+
+    def rows(batches):
+        for _, letters in _by_part(batches):
+            shelf = next(letters)
+            nodes, lengths, beside = (_read(shelf[i], I) for i in (3, 5, 6))
+            codes = _read(shelf[4], np.uint8).reshape(len(nodes), -1)
+
+            def lists(at):
+                return nodes[at], lengths[at], beside[_ranges(lengths, at)]
+
+            for _, kind, asker, a, b, c, own, reach in letters:
+                if kind == WANTED:
+                    yield asker, WANTED, 0, *lists(np.searchsorted(nodes, _read(a, I)))
+                    continue
+                query, node, asks = _read(a, I), _read(b, I), _read(c, I)
+                own, reach = _read(own, np.uint8).reshape(len(asks), -1), _read(reach, D)
+                at, whose = np.searchsorted(nodes, node), np.searchsorted(asks, query)
+                pieces = (slice(lo, lo + GIVEN) for lo in range(0, len(node), GIVEN))
+                flat = (
+                    pa.RecordBatch.from_arrays(
+                        [pa.array(query[s]), pa.array(node[s]), _binary(own[whose[s]]), _binary(codes[at[s]])],
+                        names=["query", "node", "own", "code"],
+                    )
+                    for s in pieces
+                )
+                d = np.concatenate([out.column("d").to_numpy() for out in step(flat)])
+                yield asker, EDGES, 0, query, node, d
+                near = np.unique(at[d <= reach[whose]])
+                if len(near):
+                    yield asker, WANTED, 0, *lists(near)
+
+    return lambda batches: _letters(rows(batches))
+
+
+def _beams(most: int, only: list[int] | None = None):
+    """The walks' ``most`` nearest nodes as rows; ``only`` of some queries."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for letter in _opened(batches):
+            q, node, d = _joined([letter], I, I, D)
+            at = np.arange(len(q)) if only is None else np.flatnonzero(np.isin(q, only))
+            at = at[_best(q[at], node[at], d[at], most)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(q[at]), pa.array(node[at]), pa.array(d[at])], names=["query", "node", "d"]
+            )
+
+    return run
+
+
 def walk(graph: DataFrame, queries: DataFrame, kind: str, top: int = 10) -> DataFrame:
     """Greedy search: ``query``, ``node``, ``d`` of the nearest nodes seen.
 
@@ -690,71 +853,51 @@ def walk(graph: DataFrame, queries: DataFrame, kind: str, top: int = 10) -> Data
     and at some random ones, and keeps ``BEAM`` nodes, more where that finds less than
     ``RECALL`` of the ``top`` nearest of ``SAMPLE`` queries: the walks then go on with
     half as much again. A beam as large as the graph ends this too. What falls out of a beam is
-    set aside with its distance, so no query meets a node's vector twice.
+    kept with its distance, so no query meets a node's vector twice. Vectors and lists of
+    nodes stay in their parts; a query's vector goes to each part where it has not met some.
     """
-    spark = graph.sparkSession
-    n = graph.count()
-    links = frozen(_walkable(graph, listed(n)), "links")
+    n, tasks = graph.count(), _tasks(graph)
+    links = _walkable(graph, listed(n))
     own = frozen(queries.join(graph.select(F.col("node").alias("query"), "code"), "query"), "queries")
     # Random entries: each query takes the next few nodes in the order of a hash ring cut
     # into as many cells as there are queries.
-    cells = max(1, own.count())
+    count = own.count()
+    cells = max(1, count)
     ring = F.pmod(F.xxhash64("node"), F.lit(cells))
     place = F.row_number().over(Window.partitionBy("cell").orderBy(F.xxhash64("node")))
     doors = graph.select("node", ring.alias("cell")).withColumn("place", place)
     doors = doors.filter(F.col("place") <= ENTRIES).select("node", "cell")
     seats = own.select("query", F.pmod(F.xxhash64("query"), F.lit(cells)).alias("cell"))
-    far = F.lit(float("inf")).alias("d")
-    beam = own.select("query", F.col("query").alias("node"), F.lit(0.0).alias("d"), F.lit(False).alias("done"))
-    beam = beam.union(seats.join(doors, "cell").filter("query != node").select("query", "node", far, F.lit(False)))
-    nearest = Window.partitionBy("query").orderBy("d", F.xxhash64("query", "node"))
+    doors = seats.join(doors, "cell").filter("query != node").select("query", "node")
     sample = own.orderBy(F.xxhash64("query"), "query").limit(SAMPLE).collect()
     truth = _nearest_of_all(graph, sample, kind, top) if sample else {}
+    size = len(sample[0].code) if sample else 1
+    shelves = max(tasks, -(-n * (size + 24 * listed(n)) // PART_BYTES))
+    halls = max(tasks, -(-count // WALKS))
+    shelf = graph.select("node", "code").join(links, "node", "left").select("node", "code", "next")
+    shelf = frozen(_dealt(shelf.mapInArrow(_shelved(shelves), _LETTER)).mapInArrow(_shelf, _LETTER), "shelf")
     most = BEAM
-
-    def held(rows: DataFrame, aside: str) -> DataFrame:
-        """The new beam; the rest goes to the folder ``aside``. A door has no distance yet."""
-        ranked = frozen(rows.withColumn("place", F.row_number().over(nearest)), "beam")
-        rest = ranked.filter((F.col("place") > most) & (F.col("d") < float("inf"))).drop("place")
-        rest.write.mode("append").parquet(aside)
-        return ranked.filter(F.col("place") <= most).drop("place")
-
-    aside = shared_folder(spark, "aside")
-    beam = held(beam, aside)
+    walks = _dealt(own.mapInArrow(_seated(halls), _LETTER), doors.mapInArrow(_doors(halls), _LETTER))
+    walks = frozen(walks.mapInArrow(_walked(most, shelves), _LETTER), "walks")
     while True:
-        dropped = spark.read.schema(beam.schema).parquet(aside)
-        todo = beam.filter("not done")
-        if not todo.limit(1).count():
-            place = F.row_number().over(nearest)
-            got = beam.filter(F.col("query").isin(list(truth))).filter("query != node")
-            got = got.withColumn("place", place).filter(F.col("place") <= top).collect()
-            near = {q: sorted(r.d for r in got if r.query == q)[:top] for q in truth}
-            hits = sum(sum(d <= x[-1] * (1 + 1e-9) for d in near[q]) for q, x in truth.items())
+        before, kept = walks, walks.filter(F.col("kind") <= EDGES)
+        if kept.agg(F.sum("n")).first()[0]:
+            answers = _dealt(shelf, walks.filter(F.col("kind") > EDGES)).mapInArrow(_answered(_step(kind)), _LETTER)
+            walks = _dealt(kept, answers)
+        else:
+            met = walks.filter(F.col("kind") == EDGES)
+            got = met.mapInArrow(_beams(top + 1, list(truth)), "query long, node long, d double")
+            near: dict[int, list[float]] = {q: [] for q in truth}
+            for r in got.filter("query != node").collect():
+                near[r.query].append(r.d)
+            hits = sum(sum(d <= x[-1] * (1 + 1e-9) for d in sorted(near[q])[:top]) for q, x in truth.items())
             if most >= n or hits >= RECALL * sum(map(len, truth.values())):
-                return beam.select("query", "node", "d")
+                return met.mapInArrow(_beams(most), "query long, node long, d double")
             # What the narrow beam dropped comes back, expanded or not.
             most += (most + 1) // 2
-            aside = shared_folder(spark, "aside")
-            beam = held(beam.union(dropped), aside)
-            continue
-        # Links are ids: a vector travels for each node that a query has not met.
-        met = beam.select("query", "node").union(dropped.select("query", "node"))
-        fresh = (
-            todo.select("query", "node")
-            .join(links, "node")
-            .select("query", F.explode("next").alias("node"))
-            .distinct()
-            .join(met, ["query", "node"], "left_anti")
-        )
-        found = (
-            fresh.join(own.withColumnRenamed("code", "own"), "query")
-            .join(graph.select("node", "code"), "node")
-            .select("query", "node", "own", "code")
-            .mapInArrow(_step(kind), "query long, node long, d double, done boolean")
-        )
-        seen = beam.withColumn("done", F.lit(True)).union(found)
-        merged = seen.groupBy("query", "node").agg(F.min("d").alias("d"), F.max("done").alias("done"))
-        beam = held(merged, aside)
+            walks = _dealt(kept)
+        walks = frozen(walks.mapInArrow(_walked(most, shelves), _LETTER), "walks")
+        _forget(before)
 
 
 def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
