@@ -36,6 +36,7 @@ SETTLED = 0.005  # share of list entries that change, below which rounds end
 FIRST_ORDERS, FIRST_BLOCK = 3, 4096  # random cuts into blocks, taken together for first lists
 MEETINGS, SPLIT = 1.0, 0.585  # blocks that near pairs share; a cut parts 1 in 3 near pairs
 ROWS = 256  # of a block, compared with all of it at once
+MANY = 8  # a share of pairs, 1 in so many, past which all are taken in double precision at once
 BEAM = 96  # vectors a walk keeps at first
 RECALL, SAMPLE = 0.95, 100  # least recall, and queries that it is measured on
 PART_BYTES = 1 << 27  # of vectors at most that the groups of a part meet with
@@ -123,6 +124,24 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+def _rough(v: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """Centred vectors in single precision, half their squared lengths, less what products may
+    be wrong by, and that error against the lengths. Two vectors may be as near as ``w`` if
+    their product reaches the sum of those halves less ``w / 2``."""
+    v = v - v.mean(axis=0)
+    error = (v.shape[1] + 16) * 2.0**-23
+    half = (v * v).sum(axis=1) / 2
+    if not half.max(initial=0.0) < 1e30:  # too large: all may be near
+        return np.zeros(v.shape, np.float32), np.full(len(v), -np.inf, np.float32), error
+    return v.astype(np.float32), (half * (1 - error) - 1e-37).astype(np.float32), error
+
+
+def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Squared distances of rows to rows beside them."""
+    step = a - b
+    return np.einsum("ij,ij->i", step, step)
+
+
 def _lot(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """What decides between equally far pairs."""
     return mix(mix(x.astype(U)) ^ (y.astype(U) * MIX_B))
@@ -221,18 +240,38 @@ def _meet(kind: str, most: int = K):
             fresh, at = np.logical_or.reduceat(fresh, firsts), order[firsts]
             hub, member, worst = hub[at], member[at], worst[at]
             v = _decode(table.column("code"), kind)[at]
+            rough, half, _ = _rough(v)
+            bound = (half - worst / 2).astype(np.float32)
             cuts = [*np.flatnonzero(np.diff(hub, prepend=-1)).tolist(), len(hub)]
+            left, right = [], []
             for lo, hi in pairwise(cuts):
-                nodes, most_far, x = member[lo:hi], worst[lo:hi], v[lo:hi]
-                new = np.flatnonzero(fresh[lo:hi])
+                new = np.flatnonzero(fresh[lo:hi]) + lo
                 if hi - lo < 2 or not len(new):
                     continue
+                # A pair stays if either list may take the other.
+                least = np.minimum(bound[new, None] + half[lo:hi], half[new, None] + bound[lo:hi])
+                may = rough[new] @ rough[lo:hi].T >= least
+                if np.count_nonzero(may) <= may.size // MANY:
+                    row, column = np.nonzero(may)
+                    left.append(new[row])
+                    right.append(column + lo)
+                    continue
+                nodes, most_far, x, new = member[lo:hi], worst[lo:hi], v[lo:hi], new - lo
                 d = _distances(x[new], x)
                 d[np.arange(len(new)), new] = np.inf
                 yield _nearest(nodes[new], nodes, d, most_far[new], most)
                 old = np.flatnonzero(~fresh[lo:hi])
                 if len(old):
                     yield _nearest(nodes[old], nodes[new], d[:, old].T, most_far[old], most)
+            if left:
+                i, j = np.concatenate(left), np.concatenate(right)
+                i, j = i[i != j], j[i != j]
+                for lo in range(0, len(i), GIVEN):
+                    x, y = i[lo : lo + GIVEN], j[lo : lo + GIVEN]
+                    d = _apart(v[x], v[y])
+                    fine, back = d <= worst[x], (d <= worst[y]) & ~fresh[y]
+                    yield member[x[fine]], member[y[fine]], d[fine]
+                    yield member[y[back]], member[x[back]], d[back]
 
     return lambda batches: _offered(found(batches), most)
 
@@ -399,11 +438,28 @@ def _first(kind: str, most: int):
             nodes, codes = _vectors(rows)
             worst = np.concatenate([_read(r[5], D) for r in rows])
             v = codes.view(kind).astype(D)
+            rough, half, error = _rough(v)
             for lo in range(0, len(v) if len(v) > 1 else 0, ROWS):
+                far, own = worst[lo : lo + ROWS], nodes[lo : lo + ROWS]
+                some = np.arange(len(own))
+                score = rough[lo : lo + ROWS] @ rough.T - half
+                score[some, lo + some] = -np.inf
+                least = half[lo : lo + ROWS] - far / 2
+                short = np.flatnonzero(np.isinf(far))
+                if len(short) and len(v) > most:
+                    # The nearest of the block, and as near as products may be wrong by.
+                    last = np.partition(score[short], len(v) - most, axis=1)[:, len(v) - most]
+                    least[short] = last - 4 * error * (half[lo + short] + half.max())
+                may = score >= least.astype(np.float32)[:, None]
+                if np.count_nonzero(may) <= may.size // MANY:
+                    row, column = np.nonzero(may)
+                    d = _apart(v[lo + row], v[column])
+                    fine = d <= far[row]
+                    yield own[row[fine]], nodes[column[fine]], d[fine]
+                    continue
                 d = _distances(v[lo : lo + ROWS], v)
-                some = np.arange(len(d))
                 d[some, lo + some] = np.inf
-                yield _nearest(nodes[lo : lo + ROWS], nodes, d, worst[lo : lo + ROWS], most)
+                yield _nearest(own, nodes, d, far, most)
 
     return lambda batches: _offered(found(batches), most)
 
@@ -616,21 +672,6 @@ def _cut(graph: DataFrame, bits: int, kind: str, most: int, parts: int, seed: in
     return _dealt(cells).mapInArrow(_posted(_first(kind, most), parts), _LETTER)
 
 
-def _reverse(graph: DataFrame, most: int, *more) -> DataFrame:
-    """(hub, member, d): the ``2 * most`` nearest of those that have ``hub`` on their lists."""
-    entries = graph.select(
-        F.col("node").alias("member"), F.explode(F.arrays_zip("near", "dist", *more)).alias("e")
-    ).select(F.col("e.near").alias("hub"), "member", F.col("e.dist").alias("d"), *[f"e.{m}" for m in more])
-    lot = F.xxhash64("hub", "member")
-    # First within slices of a popular hub's admirers, then among those left.
-    sliced = Window.partitionBy("hub", F.pmod(F.xxhash64("member"), F.lit(16))).orderBy("d", lot)
-    final = Window.partitionBy("hub").orderBy("d", lot)
-    for window in (sliced, final):
-        entries = entries.withColumn("place", F.row_number().over(window))
-        entries = entries.filter(F.col("place") <= 2 * most).drop("place")
-    return entries
-
-
 def _round(graph: DataFrame, kind: str, most: int, parts: int, first: bool) -> DataFrame:
     """Offers within the groups of all nodes that have a fresh member; ``first``: all have."""
     edges = graph.mapInArrow(_edges(parts, most, first), _LETTER)
@@ -642,13 +683,6 @@ def _round(graph: DataFrame, kind: str, most: int, parts: int, first: bool) -> D
     return offers.mapInArrow(_posted(lambda batches: meet(_groups(batches)), parts), _LETTER)
 
 
-def _walkable(graph: DataFrame, most: int) -> DataFrame:
-    """A row per node: those next to it, both ways."""
-    ahead = graph.select("node", F.explode("near").alias("other"))
-    back = _reverse(graph, most).select(F.col("hub").alias("node"), F.col("member").alias("other"))
-    return ahead.union(back).groupBy("node").agg(F.collect_set("other").alias("next"))
-
-
 def _step(kind: str):
     """How far each query is from the node beside it."""
 
@@ -687,18 +721,24 @@ def _nearest_of_all(graph: DataFrame, sample: list, kind: str, top: int) -> dict
     return {r.query: sorted(r.d) for r in found.groupBy("query").agg(F.collect_list("d").alias("d")).collect()}
 
 
-def _shelved(parts: int):
-    """Nodes with their vectors and those next to them as letters to the parts that keep them."""
+def _shelved(parts: int, most: int):
+    """Nodes with their vectors and lists as letters to the parts that keep them, and the
+    lists' entries to the parts of those they name."""
 
     def rows(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
             nodes, codes = batch.column("node").to_numpy(), _raw(batch.column("code"))
-            ends = batch.column("next").value_lengths().fill_null(0).to_numpy().astype(I)
-            beside = batch.column("next").flatten().to_numpy()
+            near, dist = (batch.column(c).flatten().to_numpy() for c in ("near", "dist"))
+            ends = batch.column("near").value_lengths().to_numpy().astype(I)
             for part, at in _split(_part(nodes, parts)):
-                yield part, LISTS, 0, nodes[at], codes[at], ends[at], beside[_ranges(ends, at)]
+                yield part, LISTS, 0, nodes[at], codes[at], ends[at], near[_ranges(ends, at)]
+            named = np.repeat(nodes, ends)
+            at = _crowded(near, named, dist, 2 * most)
+            x, y, d = near[at], named[at], dist[at]
+            for part, at in _split(_part(x, parts)):
+                yield part, EDGES, 0, x[at], y[at], d[at]
 
     return lambda batches: _letters(rows(batches))
 
@@ -709,18 +749,27 @@ def _ranges(lengths: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (np.cumsum(long) - long), long) + np.arange(int(long.sum()))
 
 
-def _shelf(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One letter per part, nodes in order."""
+def _shelf(most: int):
+    """One letter per part: nodes in order, and those next to them: a node's own list and the
+    ``2 * most`` nearest of those that have it on theirs."""
 
-    def rows():
+    def rows(batches):
         for part, letters in _by_part(batches):
-            given = list(letters)
+            given, named = [], []
+            for letter in letters:
+                (given if letter[1] == LISTS else named).append(letter)
             nodes, codes = _vectors(given)
-            lengths, beside = (np.concatenate([_read(r[i], I) for r in given]) for i in (5, 6))
+            lengths, near = (np.concatenate([_read(r[i], I) for r in given]) for i in (5, 6))
+            x, y, d = _joined(named, I, I, D)
+            at = _crowded(x, y, d, 2 * most)
+            x, y = np.concatenate([np.repeat(nodes, lengths), x[at]]), np.concatenate([near, y[at]])
+            at = _once(x, y)
             order = np.argsort(nodes)
-            yield part, LISTS, 0, nodes[order], codes[order], lengths[order], beside[_ranges(lengths, order)]
+            nodes = nodes[order]
+            lengths = np.bincount(np.searchsorted(nodes, x[at]), minlength=len(nodes))
+            yield part, LISTS, 0, nodes, codes[order], lengths.astype(I), y[at]
 
-    return _letters(rows())
+    return lambda batches: _letters(rows(batches))
 
 
 def _seated(parts: int):
@@ -857,7 +906,6 @@ def walk(graph: DataFrame, queries: DataFrame, kind: str, top: int = 10) -> Data
     nodes stay in their parts; a query's vector goes to each part where it has not met some.
     """
     n, tasks = graph.count(), _tasks(graph)
-    links = _walkable(graph, listed(n))
     own = frozen(queries.join(graph.select(F.col("node").alias("query"), "code"), "query"), "queries")
     # Random entries: each query takes the next few nodes in the order of a hash ring cut
     # into as many cells as there are queries.
@@ -874,8 +922,8 @@ def walk(graph: DataFrame, queries: DataFrame, kind: str, top: int = 10) -> Data
     size = len(sample[0].code) if sample else 1
     shelves = max(tasks, -(-n * (size + 24 * listed(n)) // PART_BYTES))
     halls = max(tasks, -(-count // WALKS))
-    shelf = graph.select("node", "code").join(links, "node", "left").select("node", "code", "next")
-    shelf = frozen(_dealt(shelf.mapInArrow(_shelved(shelves), _LETTER)).mapInArrow(_shelf, _LETTER), "shelf")
+    shelf = _dealt(graph.mapInArrow(_shelved(shelves, listed(n)), _LETTER))
+    shelf = frozen(shelf.mapInArrow(_shelf(listed(n)), _LETTER), "shelf")
     most = BEAM
     walks = _dealt(own.mapInArrow(_seated(halls), _LETTER), doors.mapInArrow(_doors(halls), _LETTER))
     walks = frozen(walks.mapInArrow(_walked(most, shelves), _LETTER), "walks")
