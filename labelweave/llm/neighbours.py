@@ -41,7 +41,9 @@ BEAM = 96  # vectors a walk keeps at first
 RECALL, SAMPLE = 0.95, 100  # least recall, and queries that it is measured on
 PART_BYTES = 1 << 27  # of vectors at most that the groups of a part meet with
 CLOSE = 1e-6  # squared distance, against the norms, below which it is taken anew
-WALKS = 64  # queries whose walks a part keeps, of many
+PART_ITEMS = 1024  # nodes at least that a part keeps, of many
+FEW_WALKS, WALKS = 16, 64  # queries whose walks a part keeps, at least and at most, of many
+LOAD = 1 << 25  # bytes of letters that a task deals out together
 ENTRIES = 8  # random vectors a walk starts from, beside its own neighbours
 
 _GRAPH = "node long, code binary, near array<long>, dist array<double>"
@@ -321,6 +323,19 @@ def _by_part(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[
     return groupby(_opened(batches), key=lambda r: r[0])
 
 
+def _loads(letters: Iterable[tuple]) -> Iterator[list[tuple]]:
+    """Letters that are dealt out together, so that they make few."""
+    held, size = [], 0
+    for letter in letters:
+        held.append(letter)
+        size += sum(map(len, filter(None, letter[3:])))
+        if size >= LOAD:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def _read(data: bytes, kind, width: int = 0) -> np.ndarray:
     """What a letter holds; rows of ``width`` where given."""
     out = np.frombuffer(data, kind)
@@ -414,10 +429,10 @@ def _dealt_cells(orders: int, bits: int, kind: str, seed: int, full: dict[int, t
     """Vectors as letters to their blocks: a cell, or the blocks that a full one is dealt out to."""
 
     def rows(batches):
-        for _, _, _, a, codes, _, dist, _ in _opened(batches):
-            nodes, worst = _read(a, I), _read(dist, D).reshape(len(a) // 8, -1)[:, -1]
-            codes = _read(codes, np.uint8).reshape(len(nodes), -1)
-            v = np.ascontiguousarray(codes).view(kind).astype(D)
+        for load in _loads(_opened(batches)):
+            nodes, codes = _vectors(load)
+            worst = np.concatenate([_read(r[6], D, len(r[6]) // len(r[3]))[:, -1] for r in load])
+            v = codes.view(kind).astype(D)
             for cell, at in _split(_cells(v, orders, bits, seed).ravel()):
                 at = at // orders
                 first, blocks = full.get(cell, (cell, 1))
@@ -503,14 +518,17 @@ def _edges(parts: int, most: int, every: bool):
     entry counts as fresh after the cuts: lists have met in blocks only."""
 
     def rows(batches):
-        for part, _, _, a, _, near, dist, fresh in _opened(batches):
-            nodes, near, dist, fresh = _read(a, I), _read(near, I, most), _read(dist, D, most), _read(fresh, B, most)
-            fresh = near >= 0 if every else fresh
-            yield part, LISTS, 0, nodes, near, fresh
-            row, column = np.nonzero(near >= 0)
-            x, y, d, new = nodes[row], near[row, column], dist[row, column], fresh[row, column]
+        for load in _loads(_opened(batches)):
+            found = []
+            for part, _, _, a, _, near, dist, fresh in load:
+                nodes, near, dist = _read(a, I), _read(near, I, most), _read(dist, D, most)
+                fresh = near >= 0 if every else _read(fresh, B, most)
+                yield part, LISTS, 0, nodes, near, fresh
+                row, column = np.nonzero(near >= 0)
+                found.append((near[row, column], nodes[row], dist[row, column], fresh[row, column]))
+            y, x, d, new = (np.concatenate(c) for c in zip(*found, strict=True))
             at = _crowded(y, x, d, 2 * most)
-            x, y, d, new = x[at], y[at], d[at], new[at]
+            y, x, d, new = y[at], x[at], d[at], new[at]
             for owner, at in _split(_part(y, parts)):
                 yield owner, EDGES, 0, y[at], x[at], d[at], new[at]
 
@@ -605,19 +623,26 @@ def _tasks(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _dealt(*letters: DataFrame) -> DataFrame:
+def _parts(df: DataFrame, items: int, size: int) -> int:
+    """In how many parts items are kept: none so large that a task cannot hold what it meets
+    with, ``size`` bytes an item; else one per task, but of many items, as parts write to parts."""
+    least = -(-items * size // PART_BYTES)
+    return max(1, least, min(_tasks(df), -(-items // PART_ITEMS)))
+
+
+def _dealt(parts: int, *letters: DataFrame) -> DataFrame:
     """Letters at their parts, each part in one task."""
     df = letters[0]
     for more in letters[1:]:
         df = df.union(more)
-    tasks = _tasks(df)
+    tasks = min(parts, _tasks(df))
     df = df.repartitionById(tasks, F.pmod("part", F.lit(tasks)).cast("int"))
     return df.sortWithinPartitions("part", "kind")
 
 
-def _take(graph: DataFrame, offers: DataFrame, most: int) -> DataFrame:
+def _take(graph: DataFrame, offers: DataFrame, most: int, parts: int) -> DataFrame:
     """Lists with what was offered; those before are not needed any more."""
-    taken = frozen(_dealt(graph, offers).mapInArrow(_merged(most), _LETTER), "graph")
+    taken = frozen(_dealt(parts, graph, offers).mapInArrow(_merged(most), _LETTER), "graph")
     _forget(graph)
     return taken
 
@@ -642,17 +667,17 @@ def build_graph(nodes: DataFrame) -> DataFrame:
     n = codes.count()
     most = listed(n)
     size = codes.select(F.length("code")).first()[0] if n else 1
-    parts = max(_tasks(nodes), -(-n * 3 * most * size // PART_BYTES))
-    graph = frozen(_dealt(codes.mapInArrow(_placed(parts), _LETTER)).mapInArrow(_begun(most), _LETTER), "graph")
+    parts = _parts(nodes, n, 3 * most * size)
+    graph = frozen(_dealt(parts, codes.mapInArrow(_placed(parts), _LETTER)).mapInArrow(_begun(most), _LETTER), "graph")
     bits = max(0, int(np.ceil(np.log2(max(n, 1) / FIRST_BLOCK)))) if n else 0
     for seed in range(_times(n)):
-        graph = _take(graph, _cut(graph, bits, kind, most, parts, seed), most)
+        graph = _take(graph, _cut(graph, bits, kind, most, parts, seed), most, parts)
     first = True
     while n:
         changed = graph.agg(F.sum("n")).first()[0] or 0
         if not first and changed <= SETTLED * n * most:
             break
-        graph = _take(graph, _round(graph, kind, most, parts, first), most)
+        graph = _take(graph, _round(graph, kind, most, parts, first), most, parts)
         first = False
     rows = frozen(graph.mapInArrow(_listing(most), _GRAPH), "lists")
     _forget(graph)
@@ -669,17 +694,17 @@ def _cut(graph: DataFrame, bits: int, kind: str, most: int, parts: int, seed: in
         full[row.cell] = (blocks, -(-row.n // (2 * FIRST_BLOCK)))
         blocks += full[row.cell][1]
     cells = graph.mapInArrow(_dealt_cells(FIRST_ORDERS, bits, kind, seed, full), _LETTER)
-    return _dealt(cells).mapInArrow(_posted(_first(kind, most), parts), _LETTER)
+    return _dealt(blocks, cells).mapInArrow(_posted(_first(kind, most), parts), _LETTER)
 
 
 def _round(graph: DataFrame, kind: str, most: int, parts: int, first: bool) -> DataFrame:
     """Offers within the groups of all nodes that have a fresh member; ``first``: all have."""
     edges = graph.mapInArrow(_edges(parts, most, first), _LETTER)
-    met = frozen(_dealt(edges).mapInArrow(_gathered(parts, most), _LETTER), "groups")
+    met = frozen(_dealt(parts, edges).mapInArrow(_gathered(parts, most), _LETTER), "groups")
     wanted = met.filter(F.col("kind") == WANTED)
-    vectors = _dealt(graph, wanted).mapInArrow(_sent(most), _LETTER)
+    vectors = _dealt(parts, graph, wanted).mapInArrow(_sent(most), _LETTER)
     meet = _meet(kind, most)
-    offers = _dealt(vectors, met.filter(F.col("kind") == GROUPS))
+    offers = _dealt(parts, vectors, met.filter(F.col("kind") == GROUPS))
     return offers.mapInArrow(_posted(lambda batches: meet(_groups(batches)), parts), _LETTER)
 
 
@@ -905,7 +930,7 @@ def walk(graph: DataFrame, queries: DataFrame, kind: str, top: int = 10) -> Data
     kept with its distance, so no query meets a node's vector twice. Vectors and lists of
     nodes stay in their parts; a query's vector goes to each part where it has not met some.
     """
-    n, tasks = graph.count(), _tasks(graph)
+    n = graph.count()
     own = frozen(queries.join(graph.select(F.col("node").alias("query"), "code"), "query"), "queries")
     # Random entries: each query takes the next few nodes in the order of a hash ring cut
     # into as many cells as there are queries.
@@ -920,18 +945,18 @@ def walk(graph: DataFrame, queries: DataFrame, kind: str, top: int = 10) -> Data
     sample = own.orderBy(F.xxhash64("query"), "query").limit(SAMPLE).collect()
     truth = _nearest_of_all(graph, sample, kind, top) if sample else {}
     size = len(sample[0].code) if sample else 1
-    shelves = max(tasks, -(-n * (size + 24 * listed(n)) // PART_BYTES))
-    halls = max(tasks, -(-count // WALKS))
-    shelf = _dealt(graph.mapInArrow(_shelved(shelves, listed(n)), _LETTER))
+    shelves = _parts(graph, n, size + 24 * listed(n))
+    halls = max(1, -(-count // WALKS), min(_tasks(graph), -(-count // FEW_WALKS)))
+    shelf = _dealt(shelves, graph.mapInArrow(_shelved(shelves, listed(n)), _LETTER))
     shelf = frozen(shelf.mapInArrow(_shelf(listed(n)), _LETTER), "shelf")
     most = BEAM
-    walks = _dealt(own.mapInArrow(_seated(halls), _LETTER), doors.mapInArrow(_doors(halls), _LETTER))
+    walks = _dealt(halls, own.mapInArrow(_seated(halls), _LETTER), doors.mapInArrow(_doors(halls), _LETTER))
     walks = frozen(walks.mapInArrow(_walked(most, shelves), _LETTER), "walks")
     while True:
         before, kept = walks, walks.filter(F.col("kind") <= EDGES)
         if kept.agg(F.sum("n")).first()[0]:
-            answers = _dealt(shelf, walks.filter(F.col("kind") > EDGES)).mapInArrow(_answered(_step(kind)), _LETTER)
-            walks = _dealt(kept, answers)
+            asked = _dealt(shelves, shelf, walks.filter(F.col("kind") > EDGES))
+            walks = _dealt(halls, kept, asked.mapInArrow(_answered(_step(kind)), _LETTER))
         else:
             met = walks.filter(F.col("kind") == EDGES)
             got = met.mapInArrow(_beams(top + 1, list(truth)), "query long, node long, d double")
@@ -943,7 +968,7 @@ def walk(graph: DataFrame, queries: DataFrame, kind: str, top: int = 10) -> Data
                 return met.mapInArrow(_beams(most), "query long, node long, d double")
             # What the narrow beam dropped comes back, expanded or not.
             most += (most + 1) // 2
-            walks = _dealt(kept)
+            walks = _dealt(halls, kept)
         walks = frozen(walks.mapInArrow(_walked(most, shelves), _LETTER), "walks")
         _forget(before)
 

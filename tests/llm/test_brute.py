@@ -321,6 +321,110 @@ def test_a_group_offers_all_that_a_list_can_take():
     assert got == {(i, int(j)) for i in range(n) for j in np.argsort(d[i])[: neighbours.K]}
 
 
+def _parts_of(neighbours, v, near, dist, fresh, parts):
+    """Lists as letters of their parts."""
+    nodes = np.arange(len(v))
+    rows = []
+    for part, at in neighbours._split(neighbours._part(nodes, parts)):
+        rows.append((part, neighbours.LISTS, 0, nodes[at], v[at], near[at], dist[at], fresh[at]))
+    return list(neighbours._letters(rows))
+
+
+def _delivered(batches):
+    import pyarrow as pa
+
+    table = pa.Table.from_batches(batches).sort_by([("part", "ascending"), ("kind", "ascending")])
+    return table.to_batches(max_chunksize=7)
+
+
+def test_a_round_sends_a_vector_to_a_part_once():
+    """All pairs that a round compares by brute force are offered, and no part is sent a
+    member's vector for each of its groups."""
+    from labelweave.llm import neighbours
+
+    n, most, parts = 400, 6, 3
+    rng = np.random.default_rng(8)
+    v = rng.normal(size=(n, 16))
+    near = np.array([rng.choice(np.delete(np.arange(n), i), most, replace=False) for i in range(n)])
+    dist = ((v[:, None] - v[near]) ** 2).sum(axis=2)
+    order = np.argsort(dist, axis=1)
+    near, dist = np.take_along_axis(near, order, 1), np.take_along_axis(dist, order, 1)
+    fresh = rng.random((n, most)) < 0.2
+    graph = _parts_of(neighbours, v, near, dist, fresh, parts)
+    met = list(neighbours._gathered(parts, most)(_delivered(neighbours._edges(parts, most, False)(graph))))
+    kinds = [np.array(b.column("kind")) for b in met]
+    wanted = [b.filter(k == neighbours.WANTED) for b, k in zip(met, kinds, strict=True)]
+    groups = [b.filter(k == neighbours.GROUPS) for b, k in zip(met, kinds, strict=True)]
+    vectors = list(neighbours._sent(most)(_delivered([*graph, *wanted])))
+    sent = [(r[0], int(x)) for r in neighbours._opened(vectors) for x in np.frombuffer(r[3], np.int64)]
+    assert len(sent) == len(set(sent)) <= parts * n
+    flat = neighbours._meet("f8", most)(neighbours._groups(_delivered([*vectors, *groups])))
+    got = defaultdict(dict)
+    for batch in flat:
+        for x, y, d in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            got[x][y] = d
+    hubs = defaultdict(dict)
+    for x in range(n):
+        for y, new in zip(near[x].tolist(), fresh[x].tolist(), strict=True):
+            hubs[x][y] = hubs[x].get(y, False) or new
+    back = defaultdict(list)
+    for x in range(n):
+        for y, d, new in zip(near[x].tolist(), dist[x].tolist(), fresh[x].tolist(), strict=True):
+            back[y].append((d, x, new))
+    for y, admirers in back.items():
+        for _, x, new in sorted(admirers)[: 2 * most]:
+            hubs[y][x] = hubs[y].get(x, False) or new
+    want = defaultdict(dict)
+    for members in hubs.values():
+        for x, a in members.items():
+            for y, b in members.items():
+                d = ((v[x] - v[y]) ** 2).sum()
+                if x != y and (a or b) and d <= dist[x, -1] * (1 + 1e-12):
+                    want[x][y] = d
+    for x in range(n):
+        best = dict(sorted(want[x].items(), key=lambda e: e[1])[:most])
+        assert got[x] == pytest.approx(best)
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e-25, 1e25])
+@pytest.mark.parametrize("noise", [None, 1e-7])
+def test_blocks_hold_the_nearest(scale, noise):
+    """Pairs are screened in single precision; what they are compared by is exact."""
+    from labelweave.llm import neighbours
+
+    rng = np.random.default_rng(4)
+    n, most = 700, 9
+    v = rng.normal(size=(n, 12))
+    if noise:
+        v[:300] = v[0] + noise * rng.normal(size=(300, 12))
+    v *= scale
+    d = np.array([((v - x) ** 2).sum(axis=1) for x in v])
+    np.fill_diagonal(d, np.inf)
+    worst = np.where(np.arange(n) % 2, np.inf, np.sort(d, axis=1)[:, 20])
+    rows = [(5, neighbours.EDGES, 0, np.arange(at, at + 100), v[at : at + 100], worst[at : at + 100]) for at in range(0, n, 100)]
+    got = defaultdict(dict)
+    for batch in neighbours._first("f8", most)(list(neighbours._letters(rows))):
+        for x, y, far in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            got[x][y] = far
+    for x in range(n):
+        assert sorted(got[x].values()) == pytest.approx(np.sort(d[x])[:most], rel=1e-6, abs=0)
+
+
+def test_letters_do_not_grow_with_the_tasks(spark):
+    """A small table in many tasks is kept in few parts, as every part writes to every other."""
+    from labelweave.llm import neighbours
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "211")
+    try:
+        df = spark.range(1)
+        assert neighbours._parts(df, 10_000, 1000) == 10
+        assert neighbours._parts(df, 0, 1000) == 1
+        assert neighbours._parts(df, 10_000_000, 100_000) == -(-10_000_000 * 100_000 // neighbours.PART_BYTES)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_lists_grow_with_the_vectors(spark, monkeypatch):
     """Lists of one length hold a smaller share of the neighbours of more vectors."""
     from labelweave.llm import neighbours
